@@ -33,7 +33,9 @@ class LakeConfig:
 
     ``shuffle_partitions`` is fixed for the life of a streaming checkpoint, so
     size it for the peak, not for the first day. ``None`` derives it from the
-    cores the cluster offers.
+    cores the cluster offers. ``silver_files_per_date`` shuffles each batch of
+    the enriched layer into that many files per date: set it for backfills, whose
+    batches span many dates; a live batch spans one or two and needs no shuffle.
     """
 
     bronze: str = "/data/bronze/netflow"
@@ -53,6 +55,7 @@ class LakeConfig:
     trigger: str = "10 seconds"
     distinct: str = "approx"
     shuffle_partitions: int | None = None
+    silver_files_per_date: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> LakeConfig:

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlake.functions.timing import epoch_seconds
-from flowlake.operators.rollup import syn_ratio
-from flowlake.operators.rules import SYN_FLOOD_RATIO, Rule, detect
+from flowlake.operators.rules import SYN_FLOOD_RATIO, SYN_RATIO, Rule, detect
 
 DEFAULT_LOOKBACK = 7
 DEFAULT_FACTOR = 2
@@ -47,7 +46,7 @@ def judge(profile: DataFrame, rule: Rule, window_seconds: int, lookback: int = D
     stored tables: they are read once for the alerts and once more for the few
     entities that have one, so the sort never covers entities without an alert.
     """
-    suspects = profile.where(rule.matches()).select("window", rule.entity)
+    suspects = rule.over(profile).where(rule.matches()).select("window", rule.entity)
     trails = with_trailing(
         (profile if history is None else history).join(suspects, rule.entity, "left_semi"),
         rule.entity, rule.evidence, window_seconds, lookback,
@@ -55,7 +54,8 @@ def judge(profile: DataFrame, rule: Rule, window_seconds: int, lookback: int = D
     if history is not None:
         trails = trails.join(suspects, ["window", rule.entity], "left_semi")
     alerts = detect(
-        syn_ratio(trails), rule, "syn_ratio", "history_windows", "history_sum"
+        trails.withColumn("syn_ratio", F.expr(SYN_RATIO)),
+        rule, "syn_ratio", "history_windows", "history_sum",
     )
     within_baseline = (
         F.col("unique_sources") * F.col("history_windows") <= F.lit(factor) * F.col("history_sum")

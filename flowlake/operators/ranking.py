@@ -32,6 +32,24 @@ def newest(df: DataFrame, n: int, time: str = "ts") -> DataFrame:
     return df.orderBy(F.desc(time), *(F.asc(name) for name in rest)).limit(n)
 
 
+def newest_dated(silver: DataFrame, n: int) -> DataFrame:
+    """As ``newest``, for a layer partitioned by ``date``.
+
+    Only the latest dates that together hold ``n`` rows are scanned; the others
+    are pruned. Finding them reads row counts, not rows.
+    """
+    per_date = silver.groupBy("date").agg(F.count("*").alias("_rows"))
+    # One row per date, so the single ordered partition stays small.
+    from_latest = Window.partitionBy(F.lit(0)).orderBy(F.desc("date"))
+    newer = F.sum("_rows").over(from_latest.rowsBetween(Window.unboundedPreceding, -1))
+    first_date = (
+        per_date.withColumn("_newer", F.coalesce(newer, F.lit(0)))
+        .where(F.col("_newer") < n)
+        .agg(F.min("date"))
+    )
+    return newest(silver.where(F.col("date") >= first_date.scalar()), n)
+
+
 def count_per_window(flows: DataFrame, columns: list[str], window: str,
                      watermark: str = "2 minutes") -> DataFrame:
     return (
@@ -69,3 +87,40 @@ def heavy_hitters_approx(flows: DataFrame, entity: str = "dst_ip", window: str =
         .agg(F.expr(f"approx_top_k({entity}, {int(k)}, {int(tracked)})").alias("_top"))
     )
     return sketched.select("window", *groups, F.inline("_top").alias(entity, "flow_count"))
+
+
+def count_min(flows: DataFrame, entity: str = "dst_ip", window: str = "1 minute",
+              depth: int = 4, width: int = 2048, watermark: str = "2 minutes") -> DataFrame:
+    """Count-Min sketch of flows per entity, as a table of counters.
+
+    Each flow adds to one of ``width`` counters in each of ``depth`` rows. A
+    window holds at most ``depth * width`` counters however many entities it
+    has; sketches of several inputs merge by adding counters.
+    """
+    return (
+        flows.withWatermark("ts", watermark)
+        .select("ts", F.inline(_cells(entity, depth, width)))
+        .groupBy(F.window("ts", window), "row", "cell")
+        .agg(F.count("*").alias("hits"))
+    )
+
+
+def count_min_estimate(sketch: DataFrame, candidates: DataFrame, entity: str = "dst_ip",
+                       depth: int = 4, width: int = 2048) -> DataFrame:
+    """Estimated flows of the candidate ``(window, entity)`` rows; never too low."""
+    wanted = candidates.select("window", entity, F.inline(_cells(entity, depth, width)))
+    return (
+        wanted.join(sketch, ["window", "row", "cell"])
+        .groupBy("window", entity)
+        .agg(F.min("hits").alias("estimated_flows"))
+    )
+
+
+def _cells(entity: str, depth: int, width: int) -> Column:
+    return F.array(*(
+        F.struct(
+            F.lit(row).alias("row"),
+            F.pmod(F.xxhash64(F.lit(row), F.col(entity)), F.lit(width)).cast("int").alias("cell"),
+        )
+        for row in range(depth)
+    ))

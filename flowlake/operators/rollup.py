@@ -198,9 +198,3 @@ def rollup_widths(flows: DataFrame, spec: Rollup, widths: list[str]) -> DataFram
     )
     return _exact(tagged, spec, ["width", spec.key])
 
-
-def syn_ratio(profile: DataFrame) -> DataFrame:
-    """Add the share of pure SYN flows among the TCP flows of a profile row."""
-    return profile.withColumn(
-        "syn_ratio", F.try_divide(F.col("syn_flows"), F.col("tcp_flows"))
-    )

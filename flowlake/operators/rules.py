@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_, or_
 
@@ -30,7 +30,8 @@ class Rule:
     All of ``every`` and, if given, at least one of ``some`` must hold. The
     measure named by ``evidence`` is reported in the alert; ``graded`` (by
     default the same one) decides the severity through ``bands`` of
-    ``(above, score)`` with ``floor`` below them all.
+    ``(above, score)`` with ``floor`` below them all. ``derived`` names measures
+    to compute from gold columns first, as SQL expressions.
     """
 
     alert_type: str
@@ -42,6 +43,11 @@ class Rule:
     bands: tuple[tuple[float, float], ...] = ()
     floor: float = 0.4
     graded: str | None = None
+    derived: dict[str, str] = field(default_factory=dict)
+
+    def over(self, gold: DataFrame) -> DataFrame:
+        """The gold table with the derived measures."""
+        return gold.withColumns({name: F.expr(sql) for name, sql in self.derived.items()})
 
     def matches(self) -> Column:
         condition = reduce(and_, (limit.test() for limit in self.every))
@@ -71,6 +77,7 @@ FAN_OUT = Rule(
 STANDARD_RULES = (FAN_IN, FAN_OUT)
 
 # Share of pure SYN flows above which TCP traffic counts as a SYN flood.
+SYN_RATIO = "try_divide(syn_flows, tcp_flows)"
 SYN_FLOOD_RATIO = 0.8
 
 # Opt-in. The ratio alone would flag any single SYN, hence the least of 50 flows.
@@ -82,6 +89,7 @@ SYN_BURST = Rule(
     every=(Above("syn_ratio", SYN_FLOOD_RATIO), Above("tcp_flows", 49)),
     bands=((0.95, 1.0), (0.9, 0.7)),
     graded="syn_ratio",
+    derived={"syn_ratio": SYN_RATIO},
 )
 
 
@@ -90,7 +98,7 @@ def detect(gold: DataFrame, rule: Rule, *keep: str) -> DataFrame:
 
     ``keep`` names gold columns to carry along after the alert columns.
     """
-    return gold.where(rule.matches()).select(
+    return rule.over(gold).where(rule.matches()).select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         F.lit(rule.alert_type).alias("alert_type"),

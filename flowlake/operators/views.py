@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.operators.rules import SYN_RATIO
+
 # Columns of the enriched-flow listing, in order.
 SILVER_LISTING = (
     "ts", "src_ip", "dst_ip", "src_subnet_24", "dst_subnet_24", "is_private_src",
@@ -21,6 +23,11 @@ def available(df: DataFrame, wanted: tuple[str, ...] = SILVER_LISTING) -> DataFr
     return df.select(*(name for name in wanted if name in df.columns))
 
 
+def syn_ratio(profile: DataFrame) -> DataFrame:
+    """Add the share of pure SYN flows among the TCP flows of a profile row."""
+    return profile.withColumn("syn_ratio", F.expr(SYN_RATIO))
+
+
 def flag_above(gold: DataFrame, measure: str, limit: int) -> DataFrame:
     """Add ``is_suspect``: the measure lies above ``limit``."""
     return gold.withColumn("is_suspect", F.col(measure) > limit)

@@ -267,6 +267,9 @@ FROM messages GROUP BY 1, 2""", MESSAGES),
     "heavy_hitters": _with(_top_per(
         _rollup("dst_ip", "1 day", "count(*) AS flow_count", traffic=False),
         "window_start", "flow_count", "dst_ip", 10)),
+    "heavy_hitters_count_min": _with("SELECT * EXCLUDE (rank), TRUE AS never_low FROM (" + _top_per(
+        _rollup("dst_ip", "1 day", "count(*) AS flow_count", traffic=False),
+        "window_start", "flow_count", "dst_ip", 10) + ")"),
     "syn_ratio": _with(
         f"SELECT *, {RATIO} AS syn_ratio FROM ({_rollup('dst_ip', '1 day', SYN, traffic=False)})"),
     "topk_destinations": _with(
@@ -322,3 +325,8 @@ FROM (SELECT count(*) AS n FROM recent) LEFT JOIN (
         "SELECT * FROM alerts QUALIFY row_number() OVER "
         "(PARTITION BY alert_type, entity ORDER BY window_start) = 1", ALERTS),
 }
+ORACLES |= {
+    "streaming_deduped_alerts": _with("SELECT DISTINCT alert_type, entity FROM alerts", ALERTS),
+    "streaming_suppressed_alerts": ORACLES["baseline_suppressed_alerts"],
+    "streaming_quarantine": ORACLES["malformed_quarantine"],
+}

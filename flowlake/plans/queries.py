@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowlake.config import LakeConfig, pin_results, shared_folder
 from flowlake.functions.timing import flatten_window, zoneless
-from flowlake.model import ALERT, GOLD
+from flowlake.model import ALERT, FLOW, GOLD, QUARANTINE
 from flowlake.operators import alerts as alert_views
 from flowlake.operators import baseline, codec, ranking, rules, views
 from flowlake.operators.enrich import enrich, with_date
@@ -23,11 +23,14 @@ from flowlake.operators.rollup import (
     rollup,
     rollup_widths,
 )
-from flowlake.operators.rollup import syn_ratio as add_syn_ratio
 from flowlake.plans.lake import EventLake, lake_of
 from flowlake.sources.events import flows_of_events, messages_of_events
 from flowlake.sources.layers import inventory, read_layer
+from flowlake.sources.streams import follow_layer
+from flowlake.streaming.health import progress
 from flowlake.streaming.medallion import Medallion
+from flowlake.streaming.sinks import append_files
+from flowlake.streaming.suppression import read_suppressed, start_suppression
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,7 +86,7 @@ def _detected(spark: SparkSession, sf_dir: str, rule: rules.Rule, window: str) -
 
 
 def _stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zoneless(_lake(spark, sf_dir).alerts(ALERT_WINDOW)).drop("detected_at")
+    return _lake(spark, sf_dir).alerts(ALERT_WINDOW).drop("detected_at")
 
 
 # --- decode, quarantine, encode -------------------------------------------------
@@ -139,7 +142,8 @@ def silver_daily_partitions(spark, sf_dir):
 
 @register
 def latest_flows(spark, sf_dir):
-    return zoneless(ranking.newest(_lake(spark, sf_dir).bronze(), 1000))
+    latest = ranking.newest_dated(_lake(spark, sf_dir).silver(), 1000)
+    return zoneless(latest.select(*FLOW.fieldNames()))
 
 
 @register
@@ -270,10 +274,23 @@ def heavy_hitters_approx(spark, sf_dir):
     )
 
 
+@register
+def heavy_hitters_count_min(spark, sf_dir):
+    """The exact heavy hitters and whether the sketch kept its promise for them."""
+    flows = _flows(spark, sf_dir)
+    top = ranking.heavy_hitters(flows, "dst_ip", PROFILE_WINDOW, 10)
+    sketch = ranking.count_min(flows, "dst_ip", PROFILE_WINDOW)
+    estimates = ranking.count_min_estimate(sketch, top, "dst_ip")
+    never_low = (F.col("estimated_flows") >= F.col("flow_count")).alias("never_low")
+    return flatten_window(
+        top.join(estimates, ["window", "dst_ip"]).select("window", "dst_ip", "flow_count", never_low)
+    )
+
+
 @register
 def syn_ratio(spark, sf_dir):
     profile = _exact(spark, sf_dir, DESTINATION_PROFILE, PROFILE_WINDOW)
-    return add_syn_ratio(profile).select(
+    return views.syn_ratio(profile).select(
         "window_start", "window_end", "dst_ip", "tcp_flows", "syn_flows", "syn_ratio"
     )
 
@@ -282,25 +299,27 @@ def syn_ratio(spark, sf_dir):
 
 
 def _gold_slice(spark, sf_dir, table):
-    return zoneless(flatten_window(_lake(spark, sf_dir).gold(table, PROFILE_WINDOW)))
+    return flatten_window(_lake(spark, sf_dir).gold(table, PROFILE_WINDOW))
 
 
 @register
 def topk_destinations(spark, sf_dir):
     gold = _gold_slice(spark, sf_dir, "top_destinations")
-    return ranking.top_k(gold, "total_bytes", 20, "dst_ip", "window_start")
+    return zoneless(ranking.top_k(gold, "total_bytes", 20, "dst_ip", "window_start"))
 
 
 @register
 def topk_talkers(spark, sf_dir):
     gold = _gold_slice(spark, sf_dir, "top_talkers")
-    return ranking.top_k(gold, "total_bytes", 20, "src_ip", "window_start")
+    return zoneless(ranking.top_k(gold, "total_bytes", 20, "src_ip", "window_start"))
 
 
 @register
 def topk_per_window(spark, sf_dir):
     gold = _gold_slice(spark, sf_dir, "top_destinations")
-    return ranking.top_k_per(gold, ["window_start", "window_end"], "total_bytes", 5, "dst_ip")
+    return zoneless(
+        ranking.top_k_per(gold, ["window_start", "window_end"], "total_bytes", 5, "dst_ip")
+    )
 
 
 @register
@@ -333,7 +352,7 @@ def syn_burst_alerts(spark, sf_dir):
     profile = rollup(
         _flows(spark, sf_dir), DESTINATION_PROFILE, PROFILE_WINDOW, distinct="exact"
     )
-    return rules.detect(add_syn_ratio(profile), rules.SYN_BURST).drop("detected_at")
+    return rules.detect(profile, rules.SYN_BURST).drop("detected_at")
 
 
 @register
@@ -367,25 +386,28 @@ def baseline_suppressed_alerts(spark, sf_dir):
 
 @register
 def alert_severity_labels(spark, sf_dir):
-    return alert_views.labelled(_stored_alerts(spark, sf_dir))
+    return zoneless(alert_views.labelled(_stored_alerts(spark, sf_dir)))
+
+
+def _recent(spark, sf_dir):
+    stored = _stored_alerts(spark, sf_dir)
+    clock = alert_views.latest(stored, "window_end")
+    return alert_views.recent(stored, "15 DAYS", "window_end", clock)
 
 
 @register
 def recent_alerts(spark, sf_dir):
-    stored = _stored_alerts(spark, sf_dir)
-    return alert_views.recent(
-        stored, "15 DAYS", "window_end", alert_views.latest(stored, "window_end")
-    )
+    return zoneless(_recent(spark, sf_dir))
 
 
 @register
 def attack_status(spark, sf_dir):
-    return alert_views.status(recent_alerts(spark, sf_dir), "window_end")
+    return zoneless(alert_views.status(_recent(spark, sf_dir), "window_end"))
 
 
 @register
 def alert_feed(spark, sf_dir):
-    return alert_views.feed(_stored_alerts(spark, sf_dir))
+    return zoneless(alert_views.feed(_stored_alerts(spark, sf_dir)))
 
 
 @register
@@ -405,7 +427,7 @@ def most_targeted(spark, sf_dir):
 
 @register
 def deduped_alerts(spark, sf_dir):
-    return alert_views.first_per_entity(_stored_alerts(spark, sf_dir))
+    return zoneless(alert_views.first_per_entity(_stored_alerts(spark, sf_dir)))
 
 
 # --- streams --------------------------------------------------------------------
@@ -434,25 +456,75 @@ def _flow_stream(spark, sf_dir, cfg: LakeConfig):
     return open_flows
 
 
-def _run_medallion(spark, sf_dir, window, rules_=rules.STANDARD_RULES, tables=()) -> LakeConfig:
+def _medallion(spark, sf_dir, window, rules_=rules.STANDARD_RULES, tables=()) -> Medallion:
     pin_results(spark)
-    cfg = LakeConfig.under(shared_folder(spark, "streams"), window=window, distinct="exact")
-    Medallion(
+    cfg = LakeConfig.under(
+        shared_folder(spark, "streams"), window=window, distinct="exact", silver_files_per_date=1
+    )
+    return Medallion(
         spark, cfg, open_flows=_flow_stream(spark, sf_dir, cfg), rules=rules_, tables=tables
-    ).run_available()
-    return cfg
+    )
 
 
 @register
 def streaming_top_destinations(spark, sf_dir):
     """Bronze, silver and a gold table by chained streams; read back from the lake."""
-    cfg = _run_medallion(spark, sf_dir, ROLLUP_WINDOW, (), ("top_destinations",))
-    gold = read_layer(spark, cfg.gold("top_destinations"), GOLD["top_destinations"])
+    lake = _medallion(spark, sf_dir, ROLLUP_WINDOW, (), ("top_destinations",))
+    lake.run_available()
+    gold = read_layer(spark, lake.cfg.gold("top_destinations"), GOLD["top_destinations"])
     return zoneless(flatten_window(gold))
 
 
 @register
 def streaming_alerts(spark, sf_dir):
     """The whole chain of streams down to the alerts table."""
-    cfg = _run_medallion(spark, sf_dir, ALERT_WINDOW)
-    return zoneless(read_layer(spark, cfg.alerts, ALERT)).drop("detected_at")
+    lake = _medallion(spark, sf_dir, ALERT_WINDOW)
+    lake.run_available()
+    return zoneless(read_layer(spark, lake.cfg.alerts, ALERT)).drop("detected_at")
+
+
+@register
+def streaming_deduped_alerts(spark, sf_dir):
+    """Which entities a stream of notifications names, each once per type."""
+    lake = _medallion(spark, sf_dir, ALERT_WINDOW)
+    lake.run_available()
+    cfg = lake.cfg
+    found = follow_layer(lake.session, cfg.alerts, ALERT)
+    once = alert_views.distinct_in_stream(found, "400 days")
+    append_files(
+        once, cfg.gold("notified"), cfg.checkpoint("notified"), trigger=None
+    ).awaitTermination()
+    return read_layer(spark, cfg.gold("notified"), ALERT).select("alert_type", "entity")
+
+
+@register
+def streaming_suppressed_alerts(spark, sf_dir):
+    """Baseline suppression in a stream over the stored destination profile."""
+    lake = _medallion(spark, sf_dir, PROFILE_WINDOW, (), ("destination_profile",))
+    lake.run_available()
+    path = lake.cfg.gold("suppressed")
+    start_suppression(lake.session, lake.cfg, SENSITIVE_FAN_IN, 86_400, path).awaitTermination()
+    return zoneless(read_suppressed(spark, path)).drop("detected_at")
+
+
+@register
+def streaming_quarantine(spark, sf_dir):
+    """The texts a message stream sets aside because they cannot be decoded."""
+    pin_results(spark)
+    cfg = LakeConfig.under(shared_folder(spark, "streams"))
+    schema = _events(spark, sf_dir).schema
+
+    def open_messages(session):
+        events = session.readStream.schema(schema).parquet(f"{_events_path(sf_dir)}*")
+        return messages_of_events(events)
+
+    lake = Medallion(spark, cfg, open_messages=open_messages, rules=(), tables=())
+    lake.run_available()
+    return read_layer(spark, cfg.quarantine, QUARANTINE)
+
+
+@register
+def streaming_health(spark, sf_dir):
+    """The micro-batches of the whole chain of streams."""
+    finished = _medallion(spark, sf_dir, ALERT_WINDOW).run_available()
+    return zoneless(progress(spark, finished))

@@ -1,0 +1,21 @@
+"""Run the lake's streams for good: ``spark-submit flowlake/streaming/job.py``.
+
+Paths, brokers and topic come from the environment, see ``LakeConfig.from_env``.
+"""
+
+from __future__ import annotations
+
+from flowlake.config import LakeConfig, open_session
+from flowlake.sources.streams import open_stream
+from flowlake.streaming.medallion import Medallion
+
+
+def main() -> None:
+    cfg = LakeConfig.from_env()
+    spark = open_session(cfg)
+    spark.sparkContext.setLogLevel("WARN")
+    Medallion(spark, cfg, open_messages=lambda session: open_stream(session, cfg)).run_forever()
+
+
+if __name__ == "__main__":
+    main()

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlake.config import LakeConfig, streaming_session
@@ -58,16 +59,19 @@ class Medallion:
             distinct=self.cfg.distinct,
         )
 
-    def run_available(self) -> None:
+    def run_available(self) -> list[StreamingQuery]:
         """Bring every layer up to date with its input, one after the other."""
-        for _, starts in self._stages():
+        finished = []
+        for starts in self._stages():
             queries = [start(None) for start in starts]
             for query in queries:
                 query.awaitTermination()
+            finished += queries
+        return finished
 
     def start(self) -> list[StreamingQuery]:
         """Start all streams for good."""
-        return [start(self.cfg.trigger) for _, starts in self._stages() for start in starts]
+        return [start(self.cfg.trigger) for starts in self._stages() for start in starts]
 
     def start_direct(self) -> list[StreamingQuery]:
         """Start every layer straight from the input.
@@ -94,7 +98,7 @@ class Medallion:
         self.session.streams.awaitAnyTermination()
 
     def _stages(self):
-        """Layers in order, each with the functions that start its streams.
+        """Per layer, in order, the functions that start its streams.
 
         A stream's sink folder exists once it has started, so the next layer
         can follow it at once.
@@ -126,16 +130,22 @@ class Medallion:
             }
             return self._append(detect_all(gold, self.rules), cfg.alerts, "gold_alerts", trigger)
 
-        yield "bronze", [bronze, quarantine] if self.open_messages else [bronze]
-        yield "silver", [silver]
-        yield "gold", [gold(table) for table in self.tables]
+        yield [bronze, quarantine] if self.open_messages else [bronze]
+        yield [silver]
+        yield [gold(table) for table in self.tables]
         if self.rules:
-            yield "alerts", [alerts]
+            yield [alerts]
 
     def _silver(self, flows: DataFrame, trigger: str | None) -> StreamingQuery:
-        return self._append(
-            with_date(enrich(flows)), self.cfg.silver, "silver", trigger, partition_by="date"
-        )
+        silver = with_date(enrich(flows))
+        if self.cfg.silver_files_per_date:
+            # The salt splits a date that holds most rows. It is a function of
+            # the row, so that a repeated task writes the same rows again.
+            salt = F.pmod(
+                F.xxhash64("ts", "src_ip", "src_port"), F.lit(self.cfg.silver_files_per_date)
+            )
+            silver = silver.repartition("date", salt)
+        return self._append(silver, self.cfg.silver, "silver", trigger, partition_by="date")
 
     def _append(self, df, path, sink, trigger, partition_by=None) -> StreamingQuery:
         return append_files(

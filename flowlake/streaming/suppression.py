@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlake.config import LakeConfig
-from flowlake.model import GOLD
+from flowlake.model import ALERT, GOLD
 from flowlake.operators.baseline import DEFAULT_LOOKBACK, judge, suppress
 from flowlake.operators.rules import Rule
 from flowlake.sources.layers import read_layer
@@ -50,3 +50,8 @@ def start_suppression(session, cfg: LakeConfig, rule: Rule, window_seconds: int,
     if trigger is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=trigger).start()
+
+
+def read_suppressed(spark: SparkSession, path: str) -> DataFrame:
+    """The alerts all batches left."""
+    return read_layer(spark, path, ALERT).select(*ALERT.fieldNames())
