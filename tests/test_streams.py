@@ -1,0 +1,289 @@
+"""The chained streams: equal to batch, late data, restarts, set-aside records."""
+
+import time
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowlake.config import LakeConfig, shared_folder, streaming_session
+from flowlake.functions.timing import flatten_window
+from flowlake.model import ALERT, FLOW, GOLD, QUARANTINE, SILVER
+from flowlake.operators import rules
+from flowlake.operators.alerts import distinct_in_stream, first_per_entity
+from flowlake.operators.codec import decode, parse_flows
+from flowlake.operators.enrich import enrich, with_date
+from flowlake.operators.ranking import heavy_hitters_approx
+from flowlake.operators.rollup import DESTINATIONS, GOLD_ROLLUPS, rollup
+from flowlake.operators.views import ingest_stats
+from flowlake.sources.layers import inventory, read_layer
+from flowlake.sources.streams import follow_layer, log_options, open_stream
+from flowlake.streaming.health import alert_latency, observed_ingest, progress
+from flowlake.streaming.medallion import Medallion
+from flowlake.streaming.sinks import append_files
+from flowlake.streaming.suppression import read_suppressed, start_suppression
+from tests import flowgen
+
+TABLES = ("top_destinations", "top_talkers", "router_summary", "destination_profile")
+RULES = (*rules.STANDARD_RULES, rules.SYN_BURST)
+
+
+def minute(number, rows=5, dst="172.16.1.10"):
+    """``rows`` flows at seconds 0, 1, ... of a minute after noon."""
+    return [flowgen.record(flowgen.NOON + timedelta(minutes=number, seconds=s), f"10.0.0.{s}", dst)
+            for s in range(rows)]
+
+
+def text_lake(spark, folder, tmp_path, max_files=None, **overrides):
+    cfg = LakeConfig.under(str(tmp_path / "lake"), **{"distinct": "exact", **overrides})
+    return Medallion(
+        spark, cfg,
+        open_messages=lambda session: open_stream(session, cfg, "text", str(folder), max_files),
+        tables=TABLES, rules=RULES,
+    )
+
+
+def same(left, right):
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+@pytest.fixture
+def inbox(tmp_path):
+    folder = tmp_path / "inbox"
+    folder.mkdir()
+    return folder
+
+
+TRAFFIC = [
+    r for m in range(3) for r in (
+        *flowgen.scenario("baseline", m, 300),
+        *flowgen.scenario("ddos_fan_in", m, 1500),
+        *flowgen.scenario("scan_fan_out", m, 300, ports=range(1, 30)),
+        *flowgen.scenario("flash_crowd", m, 900),
+    )
+]
+BAD = ["not json", '{"ts":"bad"}', '[{"ts":"2026-01-29T12:00:00Z"}]']
+
+
+def test_layers_equal_batch(spark, inbox, tmp_path, drop_file):
+    drop_file(inbox, "1.txt", flowgen.lines(TRAFFIC) + BAD)
+    drop_file(inbox, "2.txt", flowgen.lines(minute(90, 1)))
+    lake = text_lake(spark, inbox, tmp_path, silver_files_per_date=2)
+    lake.run_available()
+    cfg = lake.cfg
+
+    flows = parse_flows(flowgen.messages(spark, [*TRAFFIC, *minute(90, 1)]))
+    assert same(read_layer(spark, cfg.bronze, FLOW), flows)
+    assert same(read_layer(spark, cfg.silver, SILVER), with_date(enrich(flows)))
+    bad = read_layer(spark, cfg.quarantine, QUARANTINE)
+    assert sorted(r.raw for r in bad.collect()) == sorted(BAD)
+
+    # The last minute only closes the windows before it.
+    closed = parse_flows(flowgen.messages(spark, TRAFFIC))
+    for table in TABLES:
+        want = rollup(closed, GOLD_ROLLUPS[table], distinct="exact")
+        assert same(read_layer(spark, cfg.gold(table), GOLD[table]), want), table
+
+    alerts = read_layer(spark, cfg.alerts, ALERT)
+    gold = {t: rollup(closed, GOLD_ROLLUPS[t], distinct="exact") for t in TABLES}
+    assert same(alerts.drop("detected_at"), rules.detect_all(gold, RULES).drop("detected_at"))
+    assert {r.alert_type for r in alerts.collect()} == {"FAN_IN_DDOS", "FAN_OUT_SCAN", "SYN_BURST"}
+
+    counts = {r.layer: (r.files > 0, r.row_count) for r in inventory(
+        {"silver": read_layer(spark, cfg.silver, SILVER), "alerts": alerts}).collect()}
+    assert counts == {"silver": (True, len(TRAFFIC) + 1), "alerts": (True, alerts.count())}
+
+    for row in alert_latency(alerts).collect():
+        assert row.fastest_seconds <= row.median_seconds <= row.p99_seconds
+
+
+def test_restart_neither_repeats_nor_loses(spark, inbox, tmp_path, drop_file):
+    drop_file(inbox, "1.txt", flowgen.lines([r for m in range(3) for r in minute(m)]))
+    text_lake(spark, inbox, tmp_path).run_available()
+    drop_file(inbox, "2.txt", flowgen.lines([r for m in range(3, 6) for r in minute(m)]))
+    # A new object over the same folders, as after a crash.
+    lake = text_lake(spark, inbox, tmp_path)
+    lake.run_available()
+    lake.run_available()
+    assert read_layer(spark, lake.cfg.bronze, FLOW).count() == 30
+    drop_file(inbox, "3.txt", flowgen.lines(minute(90, 1)))
+    lake = text_lake(spark, inbox, tmp_path)
+    lake.run_available()
+    gold = flatten_window(read_layer(spark, lake.cfg.gold("top_destinations"),
+                                     GOLD["top_destinations"])).collect()
+    assert sorted((r.window_start.minute, r.flow_count) for r in gold) == [(m, 5) for m in range(6)]
+
+
+def stream_counts(spark, inbox, tmp_path, distinct):
+    """Flows per window of the files in the inbox, one file per batch."""
+    cfg = LakeConfig.under(str(tmp_path / "out"))
+    session = streaming_session(spark, cfg)
+    flows = parse_flows(open_stream(session, cfg, "text", str(inbox), max_files=1))
+    gold = rollup(flows, DESTINATIONS, distinct=distinct)
+    query = append_files(gold, cfg.gold("t"), cfg.checkpoint("t"), "late", trigger=None)
+    query.awaitTermination()
+    rows = read_layer(spark, cfg.gold("t"), GOLD["top_destinations"]).collect()
+    return sorted((r.window.start.minute, r.flow_count) for r in rows), query
+
+
+@pytest.mark.parametrize("distinct", ["approx", "exact"])
+def test_late_rows_count_until_the_watermark_has_been_used(spark, inbox, tmp_path, drop_file, distinct):
+    drop_file(inbox, "1", flowgen.lines([r for m in range(8) for r in minute(m)]))
+    drop_file(inbox, "2", flowgen.lines(minute(0) + minute(1)))
+    drop_file(inbox, "3", flowgen.lines(minute(30)))
+    counts, _ = stream_counts(spark, inbox, tmp_path, distinct)
+    assert counts == [(0, 10), (1, 10)] + [(m, 5) for m in range(2, 8)]
+
+
+@pytest.mark.parametrize("distinct", ["approx", "exact"])
+def test_rows_behind_the_watermark_are_dropped(spark, inbox, tmp_path, drop_file, distinct):
+    drop_file(inbox, "1", flowgen.lines([r for m in range(8) for r in minute(m)]))
+    drop_file(inbox, "2", flowgen.lines(minute(7)))
+    drop_file(inbox, "3", flowgen.lines(minute(0) + minute(1)))
+    drop_file(inbox, "4", flowgen.lines(minute(30)))
+    counts, query = stream_counts(spark, inbox, tmp_path, distinct)
+    assert counts == [(m, 5) for m in range(7)] + [(7, 10)]
+    late = progress(spark, [query]).agg(F.sum("late_groups")).first()[0]
+    assert late > 0
+
+
+def test_all_streams_at_once_follow_each_other(spark, inbox, tmp_path, drop_file):
+    drop_file(inbox, "1.txt", flowgen.lines([r for m in range(4) for r in minute(m)]))
+    drop_file(inbox, "2.txt", flowgen.lines(minute(90, 1)))
+    lake = text_lake(spark, inbox, tmp_path, trigger="1 second")
+    queries = lake.start()
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline:
+            assert not [q.exception() for q in queries if q.exception()]
+            gold = read_layer(spark, lake.cfg.gold("top_destinations"), GOLD["top_destinations"])
+            if gold.count() >= 4:
+                break
+            time.sleep(1)
+    finally:
+        for query in queries:
+            query.stop()
+    assert sorted(r.flow_count for r in gold.collect()) == [5, 5, 5, 5]
+    assert {q.name for q in queries} == {
+        "bronze", "quarantine", "silver", "gold_alerts", *(f"gold_{t}" for t in TABLES)}
+
+
+def test_direct_streams_give_the_same_alerts(spark, inbox, tmp_path, drop_file):
+    drop_file(inbox, "1.txt", flowgen.lines(TRAFFIC))
+    drop_file(inbox, "2.txt", flowgen.lines(minute(90, 1)))
+    lake = text_lake(spark, inbox, tmp_path, trigger="1 second")
+    closed = parse_flows(flowgen.messages(spark, TRAFFIC))
+    want = rules.detect_all(
+        {t: rollup(closed, GOLD_ROLLUPS[t], distinct="exact") for t in TABLES}, RULES
+    ).drop("detected_at")
+    expected = want.count()
+    queries = lake.start_direct()
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            assert not [q.exception() for q in queries if q.exception()]
+            alerts = read_layer(spark, lake.cfg.alerts, ALERT)
+            if alerts.count() >= expected:
+                break
+            time.sleep(1)
+    finally:
+        for query in queries:
+            query.stop()
+    assert same(alerts.drop("detected_at"), want)
+
+
+def test_repeated_alerts_are_notified_once(spark, inbox, tmp_path, drop_file):
+    for number in range(3):
+        drop_file(inbox, f"{number}.txt", flowgen.lines(
+            [r for r in TRAFFIC if f"T12:0{number}:" in r["ts"]]))
+    drop_file(inbox, "9.txt", flowgen.lines(minute(90, 1)))
+    lake = text_lake(spark, inbox, tmp_path, max_files=1)
+    lake.run_available()
+    cfg = lake.cfg
+    alerts = read_layer(spark, cfg.alerts, ALERT)
+    once = distinct_in_stream(follow_layer(lake.session, cfg.alerts, ALERT), "1 hour")
+    append_files(once, cfg.gold("once"), cfg.checkpoint("once"), trigger=None).awaitTermination()
+    key = ["alert_type", "entity"]
+    got = read_layer(spark, cfg.gold("once"), ALERT).select(*key)
+    assert same(got, first_per_entity(alerts).select(*key))
+    assert got.count() < alerts.count()
+
+
+def test_suppression_follows_the_stored_profile(spark, inbox, tmp_path, drop_file):
+    lake = text_lake(spark, inbox, tmp_path)
+    path = lake.cfg.gold("suppressed")
+    # Crowd and flood in minutes 0-2, then, in a later batch, in minutes 3-5.
+    for part in (range(3), range(3, 6)):
+        records = [r for m in part for r in (*flowgen.scenario("flash_crowd", m, 900),
+                                             *flowgen.scenario("ddos_fan_in", m, 600))]
+        drop_file(inbox, f"{part[0]}.txt", flowgen.lines(records))
+        drop_file(inbox, f"{part[0]}-end.txt", flowgen.lines(minute(part[-1] + 3, 1, "9.9.9.9")))
+        lake.run_available()
+        start_suppression(lake.session, lake.cfg, rules.Rule(
+            "FAN_IN_DDOS", "destination_profile", "dst_ip", "unique_sources",
+            every=(rules.Above("unique_sources", 100),)), 60, path).awaitTermination()
+    drop_file(inbox, "z.txt", flowgen.lines(minute(90, 1)))
+    lake.run_available()
+    start_suppression(lake.session, lake.cfg, rules.Rule(
+        "FAN_IN_DDOS", "destination_profile", "dst_ip", "unique_sources",
+        every=(rules.Above("unique_sources", 100),)), 60, path).awaitTermination()
+    got = {(r.entity, r.window_start.minute) for r in read_suppressed(spark, path).collect()}
+    crowd = {(ip, m) for ip in flowgen.CROWD_TARGETS for m in range(3)}
+    assert got == crowd | {("172.16.4.100", m) for m in range(6)}
+
+
+def test_ingest_counters(spark, inbox, tmp_path, drop_file):
+    texts = flowgen.lines(minute(0)) + BAD
+    drop_file(inbox, "1.txt", texts)
+    cfg = LakeConfig.under(str(tmp_path / "out"))
+    session = streaming_session(spark, cfg)
+    decoded = observed_ingest(decode(open_stream(session, cfg, "text", str(inbox)), "timestamp"))
+    query = append_files(decoded, cfg.bronze, cfg.checkpoint("b"), "observed", trigger=None)
+    query.awaitTermination()
+    seen = [p.observedMetrics["ingest"] for p in query.recentProgress if p.numInputRows]
+    assert [(m.messages, m.payload_bytes, m.malformed) for m in seen] == [
+        (len(texts), sum(map(len, texts)), len(BAD))]
+    stored = spark.read.parquet(cfg.bronze)
+    (row,) = ingest_stats(stored).collect()
+    assert (row.messages, row.malformed, row.payload_bytes) == (8, 3, sum(map(len, texts)))
+    assert row.messages_per_second == 8 / 60
+
+
+def test_heavy_hitters_run_on_a_stream(spark, inbox, tmp_path, drop_file):
+    drop_file(inbox, "1.txt", flowgen.lines(minute(0, 5, "a") + minute(0, 3, "b") + minute(0, 1, "c")))
+    drop_file(inbox, "2.txt", flowgen.lines(minute(90, 1)))
+    cfg = LakeConfig.under(str(tmp_path / "out"))
+    session = streaming_session(spark, cfg)
+    top = heavy_hitters_approx(
+        parse_flows(open_stream(session, cfg, "text", str(inbox))), "dst_ip", "1 minute", 2)
+    append_files(top, cfg.gold("top"), cfg.checkpoint("top"), trigger=None).awaitTermination()
+    rows = spark.read.parquet(cfg.gold("top")).collect()
+    assert sorted((r.dst_ip, r.flow_count) for r in rows) == [("a", 5), ("b", 3)]
+
+
+def test_configuration(spark):
+    env = {"KAFKA_BROKERS": "b:1", "KAFKA_TOPIC": "t", "BRONZE_PATH": "/x/b", "GOLD_PATH": "/x/g",
+           "CHECKPOINT_PATH": "/x/cb", "SILVER_PATH": ""}
+    cfg = LakeConfig.from_env(env, trigger="5 seconds")
+    assert (cfg.brokers, cfg.topic, cfg.bronze, cfg.alerts) == ("b:1", "t", "/x/b", "/x/g/alerts")
+    assert cfg.silver == LakeConfig().silver and cfg.trigger == "5 seconds"
+    assert cfg.checkpoint("bronze") == "/x/cb"
+    assert cfg.checkpoint("silver") == "/data/checkpoints/silver"
+    assert log_options(cfg) == {
+        "kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "latest",
+        "failOnDataLoss": "false"}
+    with pytest.raises(ValueError):
+        open_stream(spark, cfg, "socket")
+
+
+def test_shared_folder_is_the_one_the_cluster_names(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert first != second and first.startswith(root)
+
+
+def test_streaming_settings_do_not_leak(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    session = streaming_session(spark, LakeConfig(shuffle_partitions=3))
+    assert session.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
