@@ -10,12 +10,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-# Settings every job needs for right results, whoever built the session.
-# TIMESTAMP_MICROS rather than the INT96 default: INT96 columns carry no
-# min/max statistics, so time filters could not skip row groups.
-RESULT_CONF = {
+# Settings every job needs, whoever built the session.
+SESSION_CONF = {
+    # Dates and wire texts are UTC.
     "spark.sql.session.timeZone": "UTC",
+    # The INT96 default carries no min/max statistics, so time filters could not
+    # skip row groups.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # The JVM interprets methods above 8000 bytes of bytecode. Wide projections
+    # pass that when fused into one method; Spark then splits them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # State lives off the executor heap and checkpoints as change logs, so the
@@ -107,23 +111,23 @@ def open_session(cfg: LakeConfig | None = None, master: str | None = None) -> Sp
     builder = SparkSession.builder.appName(cfg.app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RESULT_CONF, **STATE_CONF}.items():
+    for key, value in {**SESSION_CONF, **STATE_CONF}.items():
         builder = builder.config(key, value)
     if cfg.shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(cfg.shuffle_partitions))
     return builder.getOrCreate()
 
 
-def pin_results(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on to a session built elsewhere."""
-    for key, value in RESULT_CONF.items():
+def pin_settings(spark: SparkSession) -> SparkSession:
+    """Apply the settings jobs need to a session built elsewhere."""
+    for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
     return spark
 
 
 def streaming_session(spark: SparkSession, cfg: LakeConfig) -> SparkSession:
     """Sibling session with the streaming settings, leaving ``spark`` as it is."""
-    session = pin_results(spark.newSession())
+    session = pin_settings(spark.newSession())
     for key, value in STATE_CONF.items():
         session.conf.set(key, value)
     partitions = cfg.shuffle_partitions or spark.sparkContext.defaultParallelism

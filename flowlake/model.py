@@ -43,6 +43,8 @@ SILVER = _with(
     date="date",
 )
 
+MESSAGE = _columns(value="string", timestamp="timestamp")
+
 QUARANTINE = _columns(raw="string")
 
 WINDOW = _columns(start="timestamp", end="timestamp")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flowlake.functions.timing import WIRE_TIME_FORMAT
 from flowlake.model import FLOW
@@ -26,9 +27,14 @@ def valid_flows(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("ts").isNotNull()).drop("raw")
 
 
-def quarantined(decoded: DataFrame) -> DataFrame:
-    """Texts of the records without a usable event time."""
-    return decoded.where(F.col("ts").isNull()).select("raw")
+def quarantined(messages: DataFrame, payload: str = "value") -> DataFrame:
+    """Texts of the messages without a usable event time.
+
+    Only the time is decoded; the other fields cannot make a record unusable.
+    """
+    text = messages.select(F.col(payload).cast("string").alias("raw"))
+    time = F.inline(F.array(F.from_json("raw", StructType([FLOW["ts"]]))))
+    return text.select("raw", time).where(F.col("ts").isNull()).select("raw")
 
 
 def parse_flows(messages: DataFrame, payload: str = "value") -> DataFrame:

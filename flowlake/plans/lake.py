@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowlake.config import LakeConfig, shared_folder
-from flowlake.model import ALERT, FLOW, GOLD, SILVER
+from flowlake.model import ALERT, FLOW, GOLD, MESSAGE, SILVER
 from flowlake.operators.enrich import enrich, with_date
 from flowlake.operators.rollup import GOLD_ROLLUPS, rollup
 from flowlake.operators.rules import STANDARD_RULES, detect_all
-from flowlake.sources.events import flows_of_events
+from flowlake.sources.events import flows_of_events, messages_of_events
 from flowlake.sources.layers import read_layer, write_layer
 
 
 class EventLake:
-    """Bronze, silver, gold and alerts of one events table.
+    """Messages, bronze, silver, gold and alerts of one events table.
 
     Each layer is written once, to the shared folder, from the layer before it.
     That cuts the lineage: views read stored rows, and a lost executor costs a
@@ -27,11 +28,23 @@ class EventLake:
         self.cfg = LakeConfig.under(shared_folder(spark, "lake"))
         self._written: set[str] = set()
 
+    def events(self) -> DataFrame:
+        return self.spark.read.parquet(self.events_path)
+
+    def messages(self) -> DataFrame:
+        """What the message log would hold."""
+        return self._layer(
+            f"{self.cfg.bronze}_log", MESSAGE,
+            lambda: messages_of_events(self.events()).withColumn(
+                "timestamp", F.col("timestamp").cast("timestamp")
+            ),
+        )
+
     def bronze(self) -> DataFrame:
-        def build():
-            flows = flows_of_events(self.spark.read.parquet(self.events_path))
-            return flows.withColumn("ts", flows["ts"].cast("timestamp"))
-        return self._layer(self.cfg.bronze, FLOW, build)
+        return self._layer(
+            self.cfg.bronze, FLOW,
+            lambda: flows_of_events(self.events()).withColumn("ts", F.col("ts").cast("timestamp")),
+        )
 
     def silver(self) -> DataFrame:
         return self._layer(

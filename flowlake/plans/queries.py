@@ -7,16 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.config import LakeConfig, pin_results, shared_folder
+from flowlake.config import LakeConfig, pin_settings, shared_folder
 from flowlake.functions.timing import flatten_window, zoneless
 from flowlake.model import ALERT, FLOW, GOLD, QUARANTINE
 from flowlake.operators import alerts as alert_views
-from flowlake.operators import baseline, codec, ranking, rules, views
+from flowlake.operators import baseline, codec, ranking, rules, screening, views
 from flowlake.operators.enrich import enrich, with_date
 from flowlake.operators.rollup import (
     DESTINATION_PROFILE,
     DESTINATIONS,
-    GOLD_ROLLUPS,
     ROUTERS,
     TALKERS,
     Rollup,
@@ -62,27 +61,35 @@ def _events_path(sf_dir: str) -> str:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pin_results(spark).read.parquet(_events_path(sf_dir))
+    return pin_settings(spark).read.parquet(_events_path(sf_dir))
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> EventLake:
+    return lake_of(pin_settings(spark), _events_path(sf_dir))
 
 
 def _flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows_of_events(_events(spark, sf_dir))
+    """The flows as the bronze layer stores them."""
+    return _lake(spark, sf_dir).bronze()
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> EventLake:
-    return lake_of(pin_results(spark), _events_path(sf_dir))
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lake(spark, sf_dir).messages()
+
+
+def _flat(gold: DataFrame) -> DataFrame:
+    """Result columns: window bounds instead of the struct, without a zone."""
+    return zoneless(flatten_window(gold))
 
 
 def _exact(spark: SparkSession, sf_dir: str, spec: Rollup, window: str = ROLLUP_WINDOW,
            **options) -> DataFrame:
-    return flatten_window(
-        rollup(_flows(spark, sf_dir), spec, window, distinct="exact", **options)
-    )
+    return _flat(rollup(_flows(spark, sf_dir), spec, window, distinct="exact", **options))
 
 
 def _detected(spark: SparkSession, sf_dir: str, rule: rules.Rule, window: str) -> DataFrame:
-    gold = rollup(_flows(spark, sf_dir), GOLD_ROLLUPS[rule.table], window, distinct="exact")
-    return rules.detect(gold, rule).drop("detected_at")
+    found = screening.detect_in_flows(_flows(spark, sf_dir), rule, window)
+    return zoneless(found.drop("detected_at"))
 
 
 def _stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,12 +101,12 @@ def _stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def parse_flows(spark, sf_dir):
-    return zoneless(codec.parse_flows(messages_of_events(_events(spark, sf_dir))))
+    return zoneless(codec.parse_flows(_messages(spark, sf_dir)))
 
 
 @register
 def malformed_quarantine(spark, sf_dir):
-    return codec.quarantined(codec.decode(messages_of_events(_events(spark, sf_dir))))
+    return codec.quarantined(_messages(spark, sf_dir))
 
 
 @register
@@ -118,8 +125,8 @@ def alerts_to_messages(spark, sf_dir):
 
 @register
 def ingest_stats(spark, sf_dir):
-    decoded = codec.decode(messages_of_events(_events(spark, sf_dir)), "timestamp")
-    return flatten_window(views.ingest_stats(decoded, ROLLUP_WINDOW))
+    decoded = codec.decode(_messages(spark, sf_dir), "timestamp")
+    return _flat(views.ingest_stats(decoded, ROLLUP_WINDOW))
 
 
 # --- enrichment and layer scans -------------------------------------------------
@@ -127,12 +134,12 @@ def ingest_stats(spark, sf_dir):
 
 @register
 def enrich_flows(spark, sf_dir):
-    return enrich(_flows(spark, sf_dir))
+    return zoneless(enrich(_flows(spark, sf_dir)))
 
 
 @register
 def silver_view(spark, sf_dir):
-    return views.available(with_date(enrich(_flows(spark, sf_dir))))
+    return zoneless(views.available(with_date(enrich(_flows(spark, sf_dir)))))
 
 
 @register
@@ -148,12 +155,12 @@ def latest_flows(spark, sf_dir):
 
 @register
 def gold_flattened(spark, sf_dir):
-    return zoneless(flatten_window(_lake(spark, sf_dir).gold("top_destinations", ALERT_WINDOW)))
+    return _flat(_lake(spark, sf_dir).gold("top_destinations", ALERT_WINDOW))
 
 
 @register
 def router_listing(spark, sf_dir):
-    return zoneless(flatten_window(_lake(spark, sf_dir).gold("router_summary", ALERT_WINDOW)))
+    return _flat(_lake(spark, sf_dir).gold("router_summary", ALERT_WINDOW))
 
 
 @register
@@ -225,7 +232,7 @@ def _within_bound(spark, sf_dir, spec: Rollup, **options) -> DataFrame:
         bound = F.greatest(F.lit(1), F.ceil(truth * F.lit(0.15)))
         close = close & (F.abs(F.col(name) - truth) <= bound)
     joined = estimate.join(exact, ["window", spec.key])
-    return flatten_window(
+    return _flat(
         joined.select("window", spec.key, *spec.measures, close.alias("within_bound"))
     )
 
@@ -252,24 +259,24 @@ def top_destinations_sketch(spark, sf_dir):
 
 @register
 def destinations_multi_window(spark, sf_dir):
-    return flatten_window(
+    return _flat(
         rollup_widths(_flows(spark, sf_dir), DESTINATIONS, ["10 minutes", "1 hour", "1 day"])
     )
 
 
 @register
 def router_top_ports(spark, sf_dir):
-    return flatten_window(ranking.router_top_ports(_flows(spark, sf_dir), PROFILE_WINDOW, 5))
+    return _flat(ranking.router_top_ports(_flows(spark, sf_dir), PROFILE_WINDOW, 5))
 
 
 @register
 def heavy_hitters(spark, sf_dir):
-    return flatten_window(ranking.heavy_hitters(_flows(spark, sf_dir), "dst_ip", PROFILE_WINDOW, 10))
+    return _flat(ranking.heavy_hitters(_flows(spark, sf_dir), "dst_ip", PROFILE_WINDOW, 10))
 
 
 @register
 def heavy_hitters_approx(spark, sf_dir):
-    return flatten_window(
+    return _flat(
         ranking.heavy_hitters_approx(_flows(spark, sf_dir), "dst_ip", PROFILE_WINDOW, 10)
     )
 
@@ -282,7 +289,7 @@ def heavy_hitters_count_min(spark, sf_dir):
     sketch = ranking.count_min(flows, "dst_ip", PROFILE_WINDOW)
     estimates = ranking.count_min_estimate(sketch, top, "dst_ip")
     never_low = (F.col("estimated_flows") >= F.col("flow_count")).alias("never_low")
-    return flatten_window(
+    return _flat(
         top.join(estimates, ["window", "dst_ip"]).select("window", "dst_ip", "flow_count", never_low)
     )
 
@@ -325,13 +332,13 @@ def topk_per_window(spark, sf_dir):
 @register
 def flag_suspect_destinations(spark, sf_dir):
     gold = _lake(spark, sf_dir).gold("top_destinations", ALERT_WINDOW)
-    return zoneless(flatten_window(views.flag_destinations(gold)))
+    return _flat(views.flag_destinations(gold))
 
 
 @register
 def flag_suspect_talkers(spark, sf_dir):
     gold = _lake(spark, sf_dir).gold("top_talkers", ALERT_WINDOW)
-    return zoneless(flatten_window(views.flag_talkers(gold)))
+    return _flat(views.flag_talkers(gold))
 
 
 # --- detection ------------------------------------------------------------------
@@ -349,21 +356,15 @@ def fan_out_alerts(spark, sf_dir):
 
 @register
 def syn_burst_alerts(spark, sf_dir):
-    profile = rollup(
-        _flows(spark, sf_dir), DESTINATION_PROFILE, PROFILE_WINDOW, distinct="exact"
-    )
-    return rules.detect(profile, rules.SYN_BURST).drop("detected_at")
+    return _detected(spark, sf_dir, rules.SYN_BURST, PROFILE_WINDOW)
 
 
 @register
 def alerts(spark, sf_dir):
-    """The flagship: all standard rules over exact rollups of the flows."""
+    """The flagship: all standard rules, straight from the flows."""
     flows = _flows(spark, sf_dir)
-    gold = {
-        rule.table: rollup(flows, GOLD_ROLLUPS[rule.table], ALERT_WINDOW, distinct="exact")
-        for rule in rules.STANDARD_RULES
-    }
-    return rules.detect_all(gold).drop("detected_at")
+    found = screening.detect_all_in_flows(flows, rules.STANDARD_RULES, ALERT_WINDOW)
+    return zoneless(found.drop("detected_at"))
 
 
 def _judged(spark, sf_dir):
@@ -457,7 +458,7 @@ def _flow_stream(spark, sf_dir, cfg: LakeConfig):
 
 
 def _medallion(spark, sf_dir, window, rules_=rules.STANDARD_RULES, tables=()) -> Medallion:
-    pin_results(spark)
+    pin_settings(spark)
     cfg = LakeConfig.under(
         shared_folder(spark, "streams"), window=window, distinct="exact", silver_files_per_date=1
     )
@@ -472,7 +473,7 @@ def streaming_top_destinations(spark, sf_dir):
     lake = _medallion(spark, sf_dir, ROLLUP_WINDOW, (), ("top_destinations",))
     lake.run_available()
     gold = read_layer(spark, lake.cfg.gold("top_destinations"), GOLD["top_destinations"])
-    return zoneless(flatten_window(gold))
+    return _flat(gold)
 
 
 @register
@@ -510,7 +511,7 @@ def streaming_suppressed_alerts(spark, sf_dir):
 @register
 def streaming_quarantine(spark, sf_dir):
     """The texts a message stream sets aside because they cannot be decoded."""
-    pin_results(spark)
+    pin_settings(spark)
     cfg = LakeConfig.under(shared_folder(spark, "streams"))
     schema = _events(spark, sf_dir).schema
 

@@ -79,7 +79,7 @@ def flows_of_events(events: DataFrame, *keep: str) -> DataFrame:
 
 
 def messages_of_events(events: DataFrame) -> DataFrame:
-    """Log messages for every event: ``event_id, value, timestamp``.
+    """Log messages for every event: ``value, timestamp``.
 
     Each event sends its flow as JSON. Each flood event also sends one record
     without a usable time, each crowd event one that is odd but acceptable.
@@ -108,4 +108,4 @@ def messages_of_events(events: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "purchase", F.array(wire, odd))
         .otherwise(F.array(wire))
     )
-    return flow.select("event_id", F.explode(sent).alias("value"), F.col("ts").alias("timestamp"))
+    return flow.select(F.explode(sent).alias("value"), F.col("ts").alias("timestamp"))

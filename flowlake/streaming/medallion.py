@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowlake.config import LakeConfig, streaming_session
 from flowlake.model import FLOW, GOLD, SILVER
-from flowlake.operators.codec import decode, parse_flows, quarantined
+from flowlake.operators.codec import parse_flows, quarantined
 from flowlake.operators.enrich import enrich, with_date
 from flowlake.operators.rollup import GOLD_ROLLUPS, rollup
 from flowlake.operators.rules import STANDARD_RULES, Rule, detect_all
@@ -109,7 +109,7 @@ class Medallion:
             return self._append(self.flows(), cfg.bronze, "bronze", trigger)
 
         def quarantine(trigger):
-            bad = quarantined(decode(self.open_messages(self.session)))
+            bad = quarantined(self.open_messages(self.session))
             return self._append(bad, cfg.quarantine, "quarantine", trigger)
 
         def silver(trigger):

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from flowlake.config import RESULT_CONF  # noqa: E402
+from flowlake.config import SESSION_CONF  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,7 +23,7 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     )
-    for key, value in RESULT_CONF.items():
+    for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

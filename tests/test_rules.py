@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from flowlake.model import ALERT, GOLD
 from flowlake.operators import alerts as views
-from flowlake.operators import baseline, rules
+from flowlake.operators import baseline, rules, screening
+from flowlake.operators.codec import parse_flows
+from flowlake.operators.rollup import GOLD_ROLLUPS, rollup
+from tests import flowgen
 
 START = datetime(2026, 1, 29, 12)
 
@@ -176,3 +179,21 @@ def test_notify_once(spark, alerts):
         ("a", 0, 0.7), ("b", 1, 0.4), ("c", 9, 0.7)]
     left = views.not_yet_notified(alerts, first)
     assert [(r.entity, r.window_start.minute) for r in left.collect()] == [("a", 1)]
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+@pytest.mark.parametrize("rule", [*rules.STANDARD_RULES, rules.SYN_BURST], ids=lambda r: r.alert_type)
+def test_screening_finds_what_the_full_rollup_finds(spark, rule, broadcast_rows):
+    records = [r for m in range(2) for name, count in
+               (("baseline", 400), ("ddos_fan_in", 1500), ("flash_crowd", 900))
+               for r in flowgen.scenario(name, m, count)]
+    records += flowgen.scenario("scan_fan_out", 1, 500, ports=range(1, 30))
+    flows = parse_flows(flowgen.messages(spark, records))
+    table = GOLD_ROLLUPS[rule.table]
+    want = rules.detect(rollup(flows, table, distinct="exact"), rule).drop("detected_at")
+    got = screening.detect_in_flows(flows, rule, "1 minute", broadcast_rows).drop("detected_at")
+    assert want.count() > 0
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # A pass that kept every key would be of no use.
+    kept = screening.candidates(flows, rule, "1 minute").count()
+    assert want.count() <= kept < 20
