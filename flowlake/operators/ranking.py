@@ -75,7 +75,7 @@ def heavy_hitters(flows: DataFrame, entity: str = "dst_ip", window: str = "1 min
 def heavy_hitters_approx(flows: DataFrame, entity: str = "dst_ip", window: str = "1 minute",
                          k: int = 10, tracked: int = 10_000, by: list[str] | None = None,
                          watermark: str = "2 minutes") -> DataFrame:
-    """Entities with the most flows per window from a fixed-size sketch.
+    """Entities with the most flows per window, ranked, from a fixed-size sketch.
 
     One shuffle of sketches, state of at most ``tracked`` items per group, and it
     runs in a stream. Counts are exact while a group has fewer items than that.
@@ -86,7 +86,13 @@ def heavy_hitters_approx(flows: DataFrame, entity: str = "dst_ip", window: str =
         .groupBy(F.window("ts", window), *groups)
         .agg(F.expr(f"approx_top_k({entity}, {int(k)}, {int(tracked)})").alias("_top"))
     )
-    return sketched.select("window", *groups, F.inline("_top").alias(entity, "flow_count"))
+    ranked = sketched.select("window", *groups, F.posexplode("_top").alias("_place", "_item"))
+    return ranked.select(
+        "window", *groups,
+        F.col("_item.item").alias(entity),
+        F.col("_item.count").alias("flow_count"),
+        (F.col("_place") + 1).alias("rank"),
+    )
 
 
 def count_min(flows: DataFrame, entity: str = "dst_ip", window: str = "1 minute",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from threading import RLock
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ class EventLake:
         self.events_path = events_path
         self.cfg = LakeConfig.under(shared_folder(spark, "lake"))
         self._written: set[str] = set()
+        self._lock = RLock()
 
     def events(self) -> DataFrame:
         return self.spark.read.parquet(self.events_path)
@@ -66,18 +69,21 @@ class EventLake:
         )
 
     def _layer(self, path, schema, build, partition_by=None) -> DataFrame:
-        if path not in self._written:
-            write_layer(build(), path, partition_by)
-            self._written.add(path)
+        with self._lock:
+            if path not in self._written:
+                write_layer(build(), path, partition_by)
+                self._written.add(path)
         return read_layer(self.spark, path, schema)
 
 
 _lakes: dict[tuple[str, str], EventLake] = {}
+_lakes_lock = RLock()
 
 
 def lake_of(spark: SparkSession, events_path: str) -> EventLake:
     """The lake of an events table, shared by all queries of an application."""
     key = (spark.sparkContext.applicationId, events_path)
-    if key not in _lakes:
-        _lakes[key] = EventLake(spark, events_path)
-    return _lakes[key]
+    with _lakes_lock:
+        if key not in _lakes:
+            _lakes[key] = EventLake(spark, events_path)
+        return _lakes[key]

@@ -267,6 +267,9 @@ FROM messages GROUP BY 1, 2""", MESSAGES),
     "heavy_hitters": _with(_top_per(
         _rollup("dst_ip", "1 day", "count(*) AS flow_count", traffic=False),
         "window_start", "flow_count", "dst_ip", 10)),
+    "heavy_hitters_approx": _with("SELECT * EXCLUDE (dst_ip) FROM (" + _top_per(
+        _rollup("dst_ip", "1 day", "count(*) AS flow_count", traffic=False),
+        "window_start", "flow_count", "dst_ip", 10) + ")"),
     "heavy_hitters_count_min": _with("SELECT * EXCLUDE (rank), TRUE AS never_low FROM (" + _top_per(
         _rollup("dst_ip", "1 day", "count(*) AS flow_count", traffic=False),
         "window_start", "flow_count", "dst_ip", 10) + ")"),

@@ -9,7 +9,8 @@ SMALL = "/root/testdata/sf0.001"
 # The smallest tables hold no alert of these kinds.
 LARGER = dict.fromkeys(("fan_in_alerts", "fan_out_alerts", "syn_burst_alerts"),
                        "/root/testdata/sf0.01")
-WITHOUT_SQL = {"heavy_hitters_approx", "streaming_health"}
+# Batch times and durations differ from run to run.
+WITHOUT_SQL = {"streaming_health"}
 
 
 @pytest.fixture(scope="module")
@@ -29,14 +30,6 @@ def test_query_equals_sql(spark, databases, name):
     assert compare(df, databases[sf_dir], entry.oracle_sql()[name]) == []
 
 
-def test_approximate_heavy_hitters_are_the_exact_ones(spark):
-    # Fewer destinations per day than the sketch tracks, so counts are exact.
-    exact = entry.queries()["heavy_hitters"](spark, SMALL).collect()
-    approx = entry.queries()["heavy_hitters_approx"](spark, SMALL).collect()
-    key = lambda r: (r.window_start, -r.flow_count)
-    assert sorted(map(key, exact)) == sorted(map(key, approx))
-
-
 def test_entry(spark):
     assert entry.entry(spark).count() == 3
 
