@@ -40,6 +40,8 @@ class LakeConfig:
     cores the cluster offers. ``silver_files_per_date`` shuffles each batch of
     the enriched layer into that many files per date: set it for backfills, whose
     batches span many dates; a live batch spans one or two and needs no shuffle.
+    ``gold_files`` gathers the windows a batch closes into that many files per
+    gold table; by default every state partition writes one.
     """
 
     bronze: str = "/data/bronze/netflow"
@@ -60,6 +62,7 @@ class LakeConfig:
     distinct: str = "approx"
     shuffle_partitions: int | None = None
     silver_files_per_date: int | None = None
+    gold_files: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> LakeConfig:

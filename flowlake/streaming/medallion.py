@@ -82,10 +82,7 @@ class Medallion:
         cfg, flows = self.cfg, self.flows
         queries = [self._append(flows(), cfg.bronze, "bronze", cfg.trigger)]
         queries.append(self._silver(flows(), cfg.trigger))
-        queries += [
-            self._append(self.gold(table, flows()), cfg.gold(table), f"gold_{table}", cfg.trigger)
-            for table in self.tables
-        ]
+        queries += [self._gold(table, flows(), cfg.trigger) for table in self.tables]
         if self.rules:
             gold = {rule.table: self.gold(rule.table, flows()) for rule in self.rules}
             alerts = detect_all(gold, self.rules)
@@ -117,10 +114,7 @@ class Medallion:
 
         def gold(table):
             def start(trigger):
-                flows = follow_layer(self.session, cfg.silver, SILVER)
-                return self._append(
-                    self.gold(table, flows), cfg.gold(table), f"gold_{table}", trigger
-                )
+                return self._gold(table, follow_layer(self.session, cfg.silver, SILVER), trigger)
             return start
 
         def alerts(trigger):
@@ -147,6 +141,14 @@ class Medallion:
             silver = silver.repartition("date", salt)
         return self._append(silver, self.cfg.silver, "silver", trigger, partition_by="date")
 
+    def _gold(self, table: str, flows: DataFrame, trigger: str | None) -> StreamingQuery:
+        gold = self.gold(table, flows)
+        if self.cfg.gold_files:
+            # Only closed windows pass here: little data, but from every state
+            # partition, which would each write a small file.
+            gold = gold.repartition(self.cfg.gold_files, GOLD_ROLLUPS[table].key)
+        return self._append(gold, self.cfg.gold(table), f"gold_{table}", trigger)
+
     def _append(self, df, path, sink, trigger, partition_by=None) -> StreamingQuery:
         return append_files(
             df, path, self.cfg.checkpoint(sink), sink, trigger, partition_by=partition_by
