@@ -41,7 +41,8 @@ class LakeConfig:
     the enriched layer into that many files per date: set it for backfills, whose
     batches span many dates; a live batch spans one or two and needs no shuffle.
     ``gold_files`` gathers the windows a batch closes into that many files per
-    gold table; by default every state partition writes one.
+    gold table; by default every state partition writes one. ``salts`` splits hot
+    keys of the rollups, see ``rollup``.
     """
 
     bronze: str = "/data/bronze/netflow"
@@ -63,6 +64,7 @@ class LakeConfig:
     shuffle_partitions: int | None = None
     silver_files_per_date: int | None = None
     gold_files: int | None = None
+    salts: int = 1
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> LakeConfig:

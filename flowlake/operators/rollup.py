@@ -79,19 +79,20 @@ def rollup(
 
     With ``salts`` above 1 a key is first aggregated in that many groups, split
     by a hash of its counted values, so that a hot key's partial results (one
-    sketch per input task) meet in several tasks rather than one. The groups
-    hold disjoint values: their counts add up, and sketches are merged. Exact
-    counting is spread by value anyway and gains little from it.
+    sketch per input task) meet in several tasks rather than one. Values of
+    different groups differ, so counts add up; sketches are merged. Estimates of
+    ``approx`` can only be added, hence it takes one counted column. Exact
+    counting is spread by value anyway and gains little from salts.
     """
     if distinct not in ("approx", "sketch", "exact"):
         raise ValueError(f"unknown distinct mode {distinct!r}")
     timed = flows.withWatermark("ts", watermark).withColumn(
         "window", F.window("ts", window, slide)
     )
+    if distinct == "exact":
+        return _exact(timed, spec, [spec.key], salts)
     if salts > 1:
         return _salted(timed, spec, distinct, rsd, salts)
-    if distinct == "exact":
-        return _exact(timed, spec, [spec.key])
     counted = {
         name: F.approx_count_distinct(column, rsd)
         if distinct == "approx"
@@ -114,7 +115,7 @@ def _measure(kind: str, argument: str | None, among: Column | None = None) -> Co
     return F.count_if(condition if among is None else among & condition)
 
 
-def _exact(timed: DataFrame, spec: Rollup, keys: list[str]) -> DataFrame:
+def _exact(timed: DataFrame, spec: Rollup, keys: list[str], salts: int = 1) -> DataFrame:
     """Count different values by grouping on them first.
 
     Several counted columns become lanes of one long (lane, value) table. The
@@ -135,10 +136,19 @@ def _exact(timed: DataFrame, spec: Rollup, keys: list[str]) -> DataFrame:
     per_value = lanes.groupBy("window", *keys, *lane, "_value").agg(
         *(_measure(*m, among=first).alias(name) for name, m in spec.measures.items())
     )
-    return per_value.groupBy("window", *keys).agg(
+    groups = ["window", *keys]
+    if salts > 1:
+        per_value = per_value.withColumn("_salt", F.pmod(F.xxhash64("_value"), F.lit(salts)))
+        groups.append("_salt")
+    counts = per_value.groupBy(*groups).agg(
         *(F.sum(name).alias(name) for name in spec.measures),
         *(F.count(in_lane[column]).alias(name) for name, column in spec.distinct.items()),
     )
+    if salts > 1:
+        counts = counts.groupBy("window", *keys).agg(
+            *(F.sum(name).alias(name) for name in (*spec.measures, *spec.distinct))
+        )
+    return counts
 
 
 def _measure_columns(spec: Rollup) -> list[str]:
@@ -149,29 +159,28 @@ def _measure_columns(spec: Rollup) -> list[str]:
 
 
 def _salted(timed: DataFrame, spec: Rollup, distinct: str, rsd: float, salts: int) -> DataFrame:
-    if len(spec.distinct) != 1:
-        # With several counted columns no one salt keeps all their values apart.
-        raise ValueError("salting needs exactly one counted column")
-    ((name, column),) = spec.distinct.items()
-    split = timed.withColumn("_salt", F.pmod(F.xxhash64(column), F.lit(salts)))
-    keys = [spec.key, "_salt"]
-    if distinct == "exact":
-        partial = _exact(split, spec, keys)
-    else:
-        counted = (
-            F.approx_count_distinct(column, rsd)
-            if distinct == "approx"
-            else F.hll_sketch_agg(column)
-        )
-        partial = split.groupBy("window", *keys).agg(
-            *(_measure(*m).alias(measure) for measure, m in spec.measures.items()),
-            counted.alias(name),
-        )
-    merged = (
-        F.hll_sketch_estimate(F.hll_union_agg(name)) if distinct == "sketch" else F.sum(name)
+    columns = list(spec.distinct.values())
+    if distinct == "approx" and len(columns) > 1:
+        raise ValueError("salted approx needs exactly one counted column; use sketch or exact")
+
+    def count(column):
+        if distinct == "approx":
+            return F.approx_count_distinct(column, rsd)
+        return F.hll_sketch_agg(column)
+
+    def merge(partial):
+        if distinct == "approx":
+            return F.sum(partial)
+        return F.hll_sketch_estimate(F.hll_union_agg(partial))
+
+    split = timed.withColumn("_salt", F.pmod(F.xxhash64(columns[0]), F.lit(salts)))
+    partial = split.groupBy("window", spec.key, "_salt").agg(
+        *(_measure(*m).alias(name) for name, m in spec.measures.items()),
+        *(count(column).alias(name) for name, column in spec.distinct.items()),
     )
     return partial.groupBy("window", spec.key).agg(
-        *(F.sum(measure).alias(measure) for measure in spec.measures), merged.alias(name)
+        *(F.sum(name).alias(name) for name in spec.measures),
+        *(merge(name).alias(name) for name in spec.distinct),
     )
 
 

@@ -64,17 +64,17 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pin_settings(spark).read.parquet(_events_path(sf_dir))
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> EventLake:
+def event_lake(spark: SparkSession, sf_dir: str) -> EventLake:
     return lake_of(pin_settings(spark), _events_path(sf_dir))
 
 
 def _flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flows as the bronze layer stores them."""
-    return _lake(spark, sf_dir).bronze()
+    return event_lake(spark, sf_dir).bronze()
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lake(spark, sf_dir).messages()
+    return event_lake(spark, sf_dir).messages()
 
 
 def _flat(gold: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def _detected(spark: SparkSession, sf_dir: str, rule: rules.Rule, window: str) -
 
 
 def _stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lake(spark, sf_dir).alerts(ALERT_WINDOW).drop("detected_at")
+    return event_lake(spark, sf_dir).alerts(ALERT_WINDOW).drop("detected_at")
 
 
 # --- decode, quarantine, encode -------------------------------------------------
@@ -120,7 +120,7 @@ def flows_to_json_roundtrip(spark, sf_dir):
 @register
 def alerts_to_messages(spark, sf_dir):
     """Alerts as messages for the alerts topic, keyed by entity."""
-    return codec.alert_messages(_lake(spark, sf_dir).alerts(ALERT_WINDOW).drop("detected_at"))
+    return codec.alert_messages(event_lake(spark, sf_dir).alerts(ALERT_WINDOW).drop("detected_at"))
 
 
 @register
@@ -144,23 +144,23 @@ def silver_view(spark, sf_dir):
 
 @register
 def silver_daily_partitions(spark, sf_dir):
-    return views.rows_per_date(_lake(spark, sf_dir).silver())
+    return views.rows_per_date(event_lake(spark, sf_dir).silver())
 
 
 @register
 def latest_flows(spark, sf_dir):
-    latest = ranking.newest_dated(_lake(spark, sf_dir).silver(), 1000)
+    latest = ranking.newest_dated(event_lake(spark, sf_dir).silver(), 1000)
     return zoneless(latest.select(*FLOW.fieldNames()))
 
 
 @register
 def gold_flattened(spark, sf_dir):
-    return _flat(_lake(spark, sf_dir).gold("top_destinations", ALERT_WINDOW))
+    return _flat(event_lake(spark, sf_dir).gold("top_destinations", ALERT_WINDOW))
 
 
 @register
 def router_listing(spark, sf_dir):
-    return _flat(_lake(spark, sf_dir).gold("router_summary", ALERT_WINDOW))
+    return _flat(event_lake(spark, sf_dir).gold("router_summary", ALERT_WINDOW))
 
 
 @register
@@ -170,7 +170,7 @@ def service_distribution(spark, sf_dir):
 
 @register
 def layer_counts(spark, sf_dir):
-    lake = _lake(spark, sf_dir)
+    lake = event_lake(spark, sf_dir)
     layers = {
         "bronze": lake.bronze(),
         "silver": lake.silver(),
@@ -310,7 +310,7 @@ def syn_ratio(spark, sf_dir):
 
 
 def _gold_slice(spark, sf_dir, table):
-    return flatten_window(_lake(spark, sf_dir).gold(table, PROFILE_WINDOW))
+    return flatten_window(event_lake(spark, sf_dir).gold(table, PROFILE_WINDOW))
 
 
 @register
@@ -335,13 +335,13 @@ def topk_per_window(spark, sf_dir):
 
 @register
 def flag_suspect_destinations(spark, sf_dir):
-    gold = _lake(spark, sf_dir).gold("top_destinations", ALERT_WINDOW)
+    gold = event_lake(spark, sf_dir).gold("top_destinations", ALERT_WINDOW)
     return _flat(views.flag_destinations(gold))
 
 
 @register
 def flag_suspect_talkers(spark, sf_dir):
-    gold = _lake(spark, sf_dir).gold("top_talkers", ALERT_WINDOW)
+    gold = event_lake(spark, sf_dir).gold("top_talkers", ALERT_WINDOW)
     return _flat(views.flag_talkers(gold))
 
 
@@ -372,7 +372,7 @@ def alerts(spark, sf_dir):
 
 
 def _judged(spark, sf_dir):
-    profile = _lake(spark, sf_dir).gold("destination_profile", PROFILE_WINDOW)
+    profile = event_lake(spark, sf_dir).gold("destination_profile", PROFILE_WINDOW)
     return baseline.judge(profile, SENSITIVE_FAN_IN, window_seconds=86_400)
 
 

@@ -57,6 +57,7 @@ class Medallion:
             window=self.cfg.window,
             watermark=self.cfg.watermark,
             distinct=self.cfg.distinct,
+            salts=self.cfg.salts,
         )
 
     def run_available(self) -> list[StreamingQuery]:

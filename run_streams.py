@@ -1,10 +1,8 @@
-"""Run the lake's streams for good: ``spark-submit flowlake/streaming/job.py``.
+"""Start the lake's streams: ``spark-submit run_streams.py``.
 
-Paths, brokers and topic come from the environment, see ``LakeConfig.from_env``.
+Brokers, topic and paths come from the environment, see ``LakeConfig.from_env``.
 """
 
-from __future__ import annotations
-
 from flowlake.config import LakeConfig, open_session
 from flowlake.sources.streams import open_stream
 from flowlake.streaming.medallion import Medallion

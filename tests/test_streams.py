@@ -116,34 +116,41 @@ def test_restart_neither_repeats_nor_loses(spark, inbox, tmp_path, drop_file):
     assert sorted((r.window_start.minute, r.flow_count) for r in gold) == [(m, 5) for m in range(6)]
 
 
-def stream_counts(spark, inbox, tmp_path, distinct):
+def stream_counts(spark, inbox, tmp_path, distinct, salts):
     """Flows per window of the files in the inbox, one file per batch."""
     cfg = LakeConfig.under(str(tmp_path / "out"))
     session = streaming_session(spark, cfg)
     flows = parse_flows(open_stream(session, cfg, "text", str(inbox), max_files=1))
-    gold = rollup(flows, DESTINATIONS, distinct=distinct)
+    gold = rollup(flows, DESTINATIONS, distinct=distinct, salts=salts)
     query = append_files(gold, cfg.gold("t"), cfg.checkpoint("t"), "late", trigger=None)
     query.awaitTermination()
     rows = read_layer(spark, cfg.gold("t"), GOLD["top_destinations"]).collect()
+    assert {r.unique_sources for r in rows} == {5}
     return sorted((r.window.start.minute, r.flow_count) for r in rows), query
 
 
-@pytest.mark.parametrize("distinct", ["approx", "exact"])
-def test_late_rows_count_until_the_watermark_has_been_used(spark, inbox, tmp_path, drop_file, distinct):
+MODES = pytest.mark.parametrize("distinct,salts", [
+    ("approx", 1), ("exact", 1), ("approx", 4), ("sketch", 4), ("exact", 4)])
+
+
+@MODES
+def test_late_rows_count_until_the_watermark_has_been_used(
+        spark, inbox, tmp_path, drop_file, distinct, salts):
     drop_file(inbox, "1", flowgen.lines([r for m in range(8) for r in minute(m)]))
     drop_file(inbox, "2", flowgen.lines(minute(0) + minute(1)))
     drop_file(inbox, "3", flowgen.lines(minute(30)))
-    counts, _ = stream_counts(spark, inbox, tmp_path, distinct)
+    counts, _ = stream_counts(spark, inbox, tmp_path, distinct, salts)
     assert counts == [(0, 10), (1, 10)] + [(m, 5) for m in range(2, 8)]
 
 
-@pytest.mark.parametrize("distinct", ["approx", "exact"])
-def test_rows_behind_the_watermark_are_dropped(spark, inbox, tmp_path, drop_file, distinct):
+@MODES
+def test_rows_behind_the_watermark_are_dropped(
+        spark, inbox, tmp_path, drop_file, distinct, salts):
     drop_file(inbox, "1", flowgen.lines([r for m in range(8) for r in minute(m)]))
     drop_file(inbox, "2", flowgen.lines(minute(7)))
     drop_file(inbox, "3", flowgen.lines(minute(0) + minute(1)))
     drop_file(inbox, "4", flowgen.lines(minute(30)))
-    counts, query = stream_counts(spark, inbox, tmp_path, distinct)
+    counts, query = stream_counts(spark, inbox, tmp_path, distinct, salts)
     assert counts == [(m, 5) for m in range(7)] + [(7, 10)]
     late = progress(spark, [query]).agg(F.sum("late_groups")).first()[0]
     assert late > 0
