@@ -42,7 +42,7 @@ class LakeConfig:
     batches span many dates; a live batch spans one or two and needs no shuffle.
     ``gold_files`` gathers the windows a batch closes into that many files per
     gold table; by default every state partition writes one. ``salts`` splits hot
-    keys of the rollups, see ``rollup``.
+    keys of the rollups that allow it, see ``rollup``.
     """
 
     bronze: str = "/data/bronze/netflow"

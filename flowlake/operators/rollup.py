@@ -24,8 +24,8 @@ IS_SYN_ONLY = "proto = 'TCP' AND tcp_flags = 'SYN'"
 class Rollup:
     """What to compute per window and ``key``.
 
-    ``measures`` maps an output name to ``(kind, argument)``, where kind is
-    ``sum`` of a column, ``count`` of rows or ``count_if`` a condition holds.
+    ``measures`` maps an output name to ``(kind, expression)``, where kind is
+    ``sum`` of the SQL expression, ``count_if`` it holds, or ``count`` of rows.
     ``distinct`` maps an output name to the column whose values are counted.
     """
 
@@ -99,20 +99,22 @@ def rollup(
         else F.hll_sketch_estimate(F.hll_sketch_agg(column))
         for name, column in spec.distinct.items()
     }
-    aggregates = {**{name: _measure(*m) for name, m in spec.measures.items()}, **counted}
     return timed.groupBy("window", spec.key).agg(
-        *(column.alias(name) for name, column in aggregates.items())
+        *_measures(spec), *(column.alias(name) for name, column in counted.items())
     )
 
 
-def _measure(kind: str, argument: str | None, among: Column | None = None) -> Column:
-    """The aggregate of one measure, optionally over the rows of ``among`` only."""
-    if kind == "sum":
-        return F.sum(argument if among is None else F.when(among, F.col(argument)))
-    if kind == "count":
-        return F.count(F.lit(1)) if among is None else F.count_if(among)
-    condition = F.expr(argument)
-    return F.count_if(condition if among is None else among & condition)
+def _measures(spec: Rollup) -> list[Column]:
+    """The measures as aggregates over flows."""
+    aggregates = {
+        "sum": lambda expression: F.sum(F.expr(expression)),
+        "count_if": lambda expression: F.count_if(F.expr(expression)),
+        "count": lambda _: F.count(F.lit(1)),
+    }
+    return [
+        aggregates[kind](expression).alias(name)
+        for name, (kind, expression) in spec.measures.items()
+    ]
 
 
 def _exact(timed: DataFrame, spec: Rollup, keys: list[str], salts: int = 1) -> DataFrame:
@@ -121,21 +123,34 @@ def _exact(timed: DataFrame, spec: Rollup, keys: list[str], salts: int = 1) -> D
     Several counted columns become lanes of one long (lane, value) table. The
     measures ride on the first lane only.
     """
-    needed = ["window", *keys, *_measure_columns(spec)]
-    if len(spec.distinct) == 1:
-        (column,) = spec.distinct.values()
-        lanes = timed.select(*needed, F.col(column).alias("_value"))
-        lane, first = [], None
-        in_lane = {column: F.col("_value")}
+    columns = list(spec.distinct.values())
+    if len(columns) == 1:
+        per_value = (
+            timed.withColumn("_value", F.col(columns[0]))
+            .groupBy("window", *keys, "_value")
+            .agg(*_measures(spec))
+        )
+        in_lane = {columns[0]: F.col("_value")}
     else:
-        columns = list(spec.distinct.values())
-        long = timed.select(*needed, *(F.col(c).cast("string").alias(f"_{c}") for c in columns))
-        lanes = long.unpivot(needed, [f"_{c}" for c in columns], "_lane", "_value")
-        lane, first = ["_lane"], F.col("_lane") == f"_{columns[0]}"
+        inputs = {
+            name: F.expr(expression)
+            for name, (_, expression) in spec.measures.items() if expression is not None
+        }
+        lanes = timed.select(
+            "window", *keys,
+            *(column.alias(name) for name, column in inputs.items()),
+            *(F.col(column).cast("string").alias(f"_{column}") for column in columns),
+        ).unpivot(["window", *keys, *inputs], [f"_{c}" for c in columns], "_lane", "_value")
+        in_first = F.col("_lane") == f"_{columns[0]}"
+        of_first = {
+            "sum": lambda name: F.sum(F.when(in_first, F.col(name))),
+            "count_if": lambda name: F.count_if(in_first & F.col(name)),
+            "count": lambda _: F.count_if(in_first),
+        }
+        per_value = lanes.groupBy("window", *keys, "_lane", "_value").agg(
+            *(of_first[kind](name).alias(name) for name, (kind, _) in spec.measures.items())
+        )
         in_lane = {c: F.when(F.col("_lane") == f"_{c}", F.col("_value")) for c in columns}
-    per_value = lanes.groupBy("window", *keys, *lane, "_value").agg(
-        *(_measure(*m, among=first).alias(name) for name, m in spec.measures.items())
-    )
     groups = ["window", *keys]
     if salts > 1:
         per_value = per_value.withColumn("_salt", F.pmod(F.xxhash64("_value"), F.lit(salts)))
@@ -151,13 +166,6 @@ def _exact(timed: DataFrame, spec: Rollup, keys: list[str], salts: int = 1) -> D
     return counts
 
 
-def _measure_columns(spec: Rollup) -> list[str]:
-    """Columns the measures read."""
-    sums = {argument for kind, argument in spec.measures.values() if kind == "sum"}
-    flags = any(kind == "count_if" for kind, _ in spec.measures.values())
-    return sorted(sums | ({"proto", "tcp_flags"} if flags else set()))
-
-
 def _salted(timed: DataFrame, spec: Rollup, distinct: str, rsd: float, salts: int) -> DataFrame:
     columns = list(spec.distinct.values())
     if distinct == "approx" and len(columns) > 1:
@@ -175,7 +183,7 @@ def _salted(timed: DataFrame, spec: Rollup, distinct: str, rsd: float, salts: in
 
     split = timed.withColumn("_salt", F.pmod(F.xxhash64(columns[0]), F.lit(salts)))
     partial = split.groupBy("window", spec.key, "_salt").agg(
-        *(_measure(*m).alias(name) for name, m in spec.measures.items()),
+        *_measures(spec),
         *(count(column).alias(name) for name, column in spec.distinct.items()),
     )
     return partial.groupBy("window", spec.key).agg(
@@ -189,9 +197,7 @@ def rollup_widths(flows: DataFrame, spec: Rollup, widths: list[str]) -> DataFram
 
     Batch only: to compare widths on a stream, start one rollup per width.
     """
-    timed = flows.select(
-        "ts", spec.key, *_measure_columns(spec), *spec.distinct.values()
-    )
+    timed = flows
     for position, width in enumerate(widths):
         timed = timed.withColumn(f"_w{position}", F.window("ts", width))
     tagged = timed.select(

@@ -111,7 +111,7 @@ def malformed_quarantine(spark, sf_dir):
 
 @register
 def flows_to_json_roundtrip(spark, sf_dir):
-    """Every flow, its wire text, and whether decoding the text gives it back."""
+    """Every flow's wire text, and the flow decoded from it."""
     flows = _flows(spark, sf_dir)
     sent = codec.encode(flows).select("value")
     return zoneless(codec.decode(sent).where(F.col("ts").isNotNull()))

@@ -51,13 +51,15 @@ class Medallion:
         return parse_flows(self.open_messages(self.session))
 
     def gold(self, table: str, flows: DataFrame) -> DataFrame:
+        cfg, spec = self.cfg, GOLD_ROLLUPS[table]
+        can_salt = cfg.distinct != "approx" or len(spec.distinct) == 1
         return rollup(
             flows,
-            GOLD_ROLLUPS[table],
-            window=self.cfg.window,
-            watermark=self.cfg.watermark,
-            distinct=self.cfg.distinct,
-            salts=self.cfg.salts,
+            spec,
+            window=cfg.window,
+            watermark=cfg.watermark,
+            distinct=cfg.distinct,
+            salts=cfg.salts if can_salt else 1,
         )
 
     def run_available(self) -> list[StreamingQuery]:

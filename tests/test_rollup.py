@@ -12,7 +12,7 @@ from flowlake.functions.timing import flatten_window
 from flowlake.model import FLOW, GOLD
 from flowlake.operators import ranking
 from flowlake.operators.codec import parse_flows
-from flowlake.operators.rollup import GOLD_ROLLUPS, ROUTERS, TALKERS, rollup, rollup_widths
+from flowlake.operators.rollup import GOLD_ROLLUPS, ROUTERS, TALKERS, Rollup, rollup, rollup_widths
 from flowlake.operators.rules import detect_all
 from flowlake.operators.views import syn_ratio
 from tests import flowgen
@@ -119,6 +119,18 @@ def test_a_hot_key_next_to_many_small_ones(spark):
     assert held(gold) == counted(rows, "top_destinations")
 
 
+def test_own_measures_and_lanes(spark):
+    spec = Rollup(
+        "router_id", {"ports": "dst_port", "flags": "tcp_flags"},
+        {"big": ("count_if", "bytes > 3"), "volume": ("sum", "bytes * packets"), "n": ("count", None)})
+    flows = [(0, "r", "a", "x", port, "TCP", size, 2, flag)
+             for port, size, flag in ((80, 5, "SYN"), (80, 1, "ACK"), (443, None, None))]
+    for mode in ("exact", "sketch"):
+        for salts in (1, 4):
+            gold = rollup(frame(spark, flows), spec, distinct=mode, salts=salts)
+            assert held(gold) == {(START, "r", 1, 12, 3, 2, 2)}
+
+
 def test_refused_modes(spark):
     # The estimates of two counted columns cannot both be added.
     with pytest.raises(ValueError):
