@@ -45,6 +45,7 @@ class LakeConfig:
     keys of the rollups that allow it, see ``rollup``.
     """
 
+    # Default paths, topics and stream settings of a deployment.
     bronze: str = "/data/bronze/netflow"
     silver: str = "/data/silver/netflow_enriched"
     gold_root: str = "/data/gold"

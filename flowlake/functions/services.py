@@ -20,6 +20,9 @@ SERVICE_BY_PORT = {
 }
 OTHER_SERVICE = "OTHER"
 
+# Service names may take this much memory on every executor.
+MAX_BROADCAST_BYTES = 16 * 1024 * 1024
+
 
 def service_name(port: Column | str) -> Column:
     """Name of a well-known port, ``OTHER`` for the rest and for NULL."""
@@ -29,19 +32,23 @@ def service_name(port: Column | str) -> Column:
 
 
 def join_service(flows: DataFrame, services: DataFrame, port: str = "dst_port",
-                 output: str = "dst_service") -> DataFrame:
+                 output: str = "dst_service",
+                 max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Name services from a user's ``(port, service)`` table instead.
 
-    The table is reduced to one row per valid port first. That keeps flows from
-    multiplying and bounds the broadcast at 65,536 short rows.
+    The table is reduced to one row per valid port first, at most 65,536, so
+    flows never multiply. It is broadcast if its names are short enough.
     """
     by_port = (
         services.where(F.col("port").between(0, 65535))
         .groupBy(F.col("port").cast("int").alias("_port"))
         .agg(F.min("service").alias("_service"))
     )
+    name_bytes = by_port.agg(F.sum(F.octet_length("_service"))).first()[0] or 0
+    if name_bytes <= max_broadcast_bytes:
+        by_port = F.broadcast(by_port)
     return (
-        flows.join(F.broadcast(by_port), flows[port] == F.col("_port"), "left")
+        flows.join(by_port, flows[port] == F.col("_port"), "left")
         .withColumn(output, F.coalesce("_service", F.lit(OTHER_SERVICE)))
         .drop("_port", "_service")
     )

@@ -16,8 +16,10 @@ from flowlake.config import shared_folder
 from flowlake.operators.rollup import GOLD_ROLLUPS, rollup
 from flowlake.operators.rules import Above, Rule, detect
 
-# Rows of (window, key) that may be broadcast: some 100 bytes each.
-MAX_BROADCAST_ROWS = 200_000
+# What the (window, key) pairs to broadcast may take on every executor, counting
+# the text of the keys and this much for the rest of a row.
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+ROW_BYTES = 96
 
 
 def candidates(flows: DataFrame, rule: Rule, window: str) -> DataFrame:
@@ -39,13 +41,13 @@ def candidates(flows: DataFrame, rule: Rule, window: str) -> DataFrame:
 
 
 def detect_in_flows(flows: DataFrame, rule: Rule, window: str,
-                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Alerts of one rule over a batch of flows, with exact counts.
 
-    Writes the candidates to the shared folder to learn how many there are. Few
-    are broadcast to pick their flows; with too many, all flows are counted.
+    Writes the candidates to the shared folder to learn their size. If small,
+    they are broadcast to pick their flows; otherwise all flows are counted.
     """
-    return detect(_gold_for(flows, rule, window, max_broadcast_rows), rule)
+    return detect(_gold_for(flows, rule, window, max_broadcast_bytes), rule)
 
 
 def detect_all_in_flows(flows: DataFrame, rules: tuple[Rule, ...], window: str) -> DataFrame:
@@ -54,12 +56,15 @@ def detect_all_in_flows(flows: DataFrame, rules: tuple[Rule, ...], window: str)
     )
 
 
-def _gold_for(flows, rule, window, max_broadcast_rows) -> DataFrame:
+def _gold_for(flows, rule, window, max_broadcast_bytes) -> DataFrame:
     spark, spec = flows.sparkSession, GOLD_ROLLUPS[rule.table]
     path = shared_folder(spark, "candidates")
     candidates(flows, rule, window).write.parquet(path)
     loud = spark.read.parquet(path)
-    if loud.count() <= max_broadcast_rows:
+    size = loud.agg(
+        F.count(F.lit(1)) * ROW_BYTES + F.coalesce(F.sum(F.octet_length(spec.key)), F.lit(0))
+    ).first()[0]
+    if size <= max_broadcast_bytes:
         flows = (
             flows.withColumn("window", F.window("ts", window))
             .join(F.broadcast(loud), ["window", spec.key], "left_semi")

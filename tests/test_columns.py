@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowlake.functions.address import is_private, subnet_24
-from flowlake.functions.services import service_name
+from flowlake.functions.services import join_service, service_name
 from flowlake.functions.severity import banded, severity_label
 from flowlake.model import FLOW, SILVER
 from flowlake.operators.codec import alert_messages, decode, encode, parse_flows, quarantined
@@ -47,7 +47,8 @@ def test_services(spark):
     assert {r.port: r.s for r in df.select("port", service_name("port").alias("s")).collect()} == ports
 
 
-def test_service_dimension_replaces_the_list_and_keeps_rows(spark):
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_service_dimension_replaces_the_list_and_keeps_rows(spark, limit):
     flows = spark.createDataFrame([(80,), (9999,), (None,), (80,)], "dst_port int").select(
         *(F.lit(None).cast(f.dataType).alias(f.name) for f in FLOW.fields if f.name != "dst_port"),
         "dst_port",
@@ -55,7 +56,8 @@ def test_service_dimension_replaces_the_list_and_keeps_rows(spark):
     services = spark.createDataFrame(
         [(80, "web"), (80, "www"), (70000, "bad"), (9999, "game")], "port int, service string"
     )
-    rows = enrich(flows, services).select("dst_port", "dst_service").collect()
+    assert join_service(flows, services).count() == enrich(flows, services).count() == 4
+    rows = join_service(flows, services, max_broadcast_bytes=limit).collect()
     assert sorted((str(r.dst_port), r.dst_service) for r in rows) == [
         ("80", "web"), ("80", "web"), ("9999", "game"), ("None", "OTHER")]
 

@@ -103,8 +103,10 @@ def test_rollups_combine_before_each_shuffle(silver, table, mode, exchanges):
     below = re.findall(r"Exchange hashpartitioning.*\n\s*\+- (\w+)\((.*)", plan)
     assert len(below) == exchanges
     assert all(node.endswith("Aggregate") for node, _ in below)
-    # Exact counting holds no sets: it groups on the value.
+    # Exact counting holds no sets: it spreads a key over the cluster by value.
     assert "collect_set" not in plan
+    if mode == "exact":
+        assert re.findall(r"Exchange hashpartitioning\((.*?), 8\)", plan)[-1].count("_value") == 1
 
 
 def test_ranking_keeps_k_rows_before_the_shuffle(silver):

@@ -181,9 +181,9 @@ def test_notify_once(spark, alerts):
     assert [(r.entity, r.window_start.minute) for r in left.collect()] == [("a", 1)]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+@pytest.mark.parametrize("broadcast_bytes", [0, 100_000])
 @pytest.mark.parametrize("rule", [*rules.STANDARD_RULES, rules.SYN_BURST], ids=lambda r: r.alert_type)
-def test_screening_finds_what_the_full_rollup_finds(spark, rule, broadcast_rows):
+def test_screening_finds_what_the_full_rollup_finds(spark, rule, broadcast_bytes):
     records = [r for m in range(2) for name, count in
                (("baseline", 400), ("ddos_fan_in", 1500), ("flash_crowd", 900))
                for r in flowgen.scenario(name, m, count)]
@@ -191,8 +191,10 @@ def test_screening_finds_what_the_full_rollup_finds(spark, rule, broadcast_rows)
     flows = parse_flows(flowgen.messages(spark, records))
     table = GOLD_ROLLUPS[rule.table]
     want = rules.detect(rollup(flows, table, distinct="exact"), rule).drop("detected_at")
-    got = screening.detect_in_flows(flows, rule, "1 minute", broadcast_rows).drop("detected_at")
+    got = screening.detect_in_flows(flows, rule, "1 minute", broadcast_bytes).drop("detected_at")
     assert want.count() > 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("LeftSemi" in plan) is (broadcast_bytes > 0)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     # A pass that kept every key would be of no use.
     kept = screening.candidates(flows, rule, "1 minute").count()
