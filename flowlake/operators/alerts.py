@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.functions.severity import severity_label
+from flowlake.operators.rules import keep_matching
 
 NEWEST_FIRST = ("detected_at", "window_end")
 
@@ -86,7 +87,9 @@ def first_per_entity(alerts: DataFrame) -> DataFrame:
 
 def not_yet_notified(alerts: DataFrame, notified: DataFrame) -> DataFrame:
     """Alerts whose window, type and entity were not sent before (batch)."""
-    return alerts.join(notified, ["window_start", "alert_type", "entity"], "left_anti")
+    return keep_matching(
+        alerts, notified, "window_start", "alert_type", "entity", how="left_anti"
+    )
 
 
 def distinct_in_stream(alerts: DataFrame, horizon: str) -> DataFrame:

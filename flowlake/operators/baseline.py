@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlake.functions.timing import epoch_seconds
-from flowlake.operators.rules import SYN_FLOOD_RATIO, SYN_RATIO, Rule, detect
+from flowlake.operators.rules import SYN_FLOOD_RATIO, SYN_RATIO, Rule, detect, keep_matching
 
 DEFAULT_LOOKBACK = 7
 DEFAULT_FACTOR = 2
@@ -47,12 +47,13 @@ def judge(profile: DataFrame, rule: Rule, window_seconds: int, lookback: int = D
     entities that have one, so the sort never covers entities without an alert.
     """
     suspects = rule.over(profile).where(rule.matches()).select("window", rule.entity)
+    stored = profile if history is None else history
     trails = with_trailing(
-        (profile if history is None else history).join(suspects, rule.entity, "left_semi"),
+        keep_matching(stored, suspects, rule.entity),
         rule.entity, rule.evidence, window_seconds, lookback,
     )
     if history is not None:
-        trails = trails.join(suspects, ["window", rule.entity], "left_semi")
+        trails = keep_matching(trails, suspects, "window", rule.entity)
     alerts = detect(
         trails.withColumn("syn_ratio", F.expr(SYN_RATIO)),
         rule, "syn_ratio", "history_windows", "history_sum",

@@ -112,6 +112,17 @@ def detect(gold: DataFrame, rule: Rule, *keep: str) -> DataFrame:
     )
 
 
+def keep_matching(left: DataFrame, right: DataFrame, *columns: str,
+                  how: str = "left_semi") -> DataFrame:
+    """Rows of ``left`` found in ``right`` (or not, as ``left_anti``).
+
+    NULL matches NULL: records without an address form a group like any other.
+    """
+    wanted = right.select(*(F.col(name).alias(f"_wanted_{name}") for name in columns))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_wanted_{c}")) for c in columns))
+    return left.join(wanted, same, how)
+
+
 def detect_all(gold: dict[str, DataFrame], rules: tuple[Rule, ...] = STANDARD_RULES) -> DataFrame:
     """Alerts of several rules, each over the gold table it names."""
     return reduce(DataFrame.unionByName, (detect(gold[rule.table], rule) for rule in rules))

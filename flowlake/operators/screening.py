@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowlake.config import shared_folder
 from flowlake.operators.rollup import GOLD_ROLLUPS, rollup
-from flowlake.operators.rules import Above, Rule, detect
+from flowlake.operators.rules import Above, Rule, detect, keep_matching
 
 # What the (window, key) pairs to broadcast may take on every executor, counting
 # the text of the keys and this much for the rest of a row.
@@ -65,9 +65,6 @@ def _gold_for(flows, rule, window, max_broadcast_bytes) -> DataFrame:
         F.count(F.lit(1)) * ROW_BYTES + F.coalesce(F.sum(F.octet_length(spec.key)), F.lit(0))
     ).first()[0]
     if size <= max_broadcast_bytes:
-        flows = (
-            flows.withColumn("window", F.window("ts", window))
-            .join(F.broadcast(loud), ["window", spec.key], "left_semi")
-            .drop("window")
-        )
+        timed = flows.withColumn("window", F.window("ts", window))
+        flows = keep_matching(timed, F.broadcast(loud), "window", spec.key).drop("window")
     return rollup(flows, spec, window, distinct="exact")
