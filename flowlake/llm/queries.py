@@ -7,17 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import simhash, toxicity
+from flowlake.llm import decontamination, packing, simhash, suffixes, toxicity
 from flowlake.llm.common import crc_remainder, table
 
 TOXIC_FROM = 0.3
+LEAST_REPEAT = 200
+SEQUENCE_LENGTH = 2048
+#: Characters of a benchmark item for each edit that a copy of it may have.
+BENCHMARK_PER_ERROR = 12
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed public tokenizers have a file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def toxic_model(docs: DataFrame, labels: DataFrame) -> toxicity.SentenceModel:
+    """Fitted on a bounded sample of the labelled rows that are not held out."""
+    return toxicity.fit(*toxicity.training_sample(
+        docs, labels.where(crc_remainder("doc_id", 4) != 2)))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; labels of held-out documents are not read."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").where(crc_remainder("doc_id", 4) != 2)
-    model = toxicity.fit(*toxicity.training_sample(docs, labels))
+    model = toxic_model(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, model, TOXIC_FROM).select(
         "doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"),
         F.col("toxicity.score").alias("score"),
@@ -33,7 +49,35 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, and where in the normalised text."""
+    found = decontamination.matched(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark"), BENCHMARK_PER_ERROR)
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in the packed sequences."""
+    pieces = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), SEQUENCE_LENGTH)
+    return packing.packed(pieces, SEQUENCE_LENGTH)
+
+
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings take from each document."""
+    cut = suffixes.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                   LEAST_REPEAT)
+    return cut.select(
+        "document.doc_id", F.octet_length("body").cast("long").alias("n_bytes"),
+        (F.octet_length("body") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
+    "op7_decontamination": op7_decontamination,
+    "op8_packing": op8_packing,
+    "op10_suffixes": op10_suffixes,
 }

@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlake.llm.common import group_starts, text_bytes, whole_groups, written
@@ -163,15 +163,42 @@ def links(prints: DataFrame, distance: int = 4, width: int = 3,
             .mapInPandas(pairs, "a long, b long").distinct())
 
 
+def members(prints: DataFrame, distance: int = 4, width: int = 3) -> DataFrame:
+    """``simhash, root``: the component of each fingerprint in ``prints``."""
+    distinct = prints.select("simhash").distinct()
+    roots = components(links(distinct, distance, width))
+    return distinct.join(roots, distinct["simhash"] == roots["node"], "left").select(
+        "simhash", F.coalesce("root", "simhash").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4,
                     width: int = 3) -> DataFrame:
     """``doc_id, simhash, component_id``: one row per document, the component's smallest id."""
     prints = written(fingerprints(docs.select("doc_id", "text"), shingle)
                      .select("doc_id", "simhash"), "simhash")
-    classes = prints.groupBy("simhash").agg(F.min("doc_id").alias("first_id"))
-    roots = components(links(classes.select("simhash"), distance, width))
-    rooted = classes.join(roots, classes["simhash"] == roots["node"], "left").select(
-        "simhash", "first_id", F.coalesce("root", "simhash").alias("root"))
+    first = prints.groupBy("simhash").agg(F.min("doc_id").alias("first_id"))
+    rooted = written(members(prints, distance, width).join(first, "simhash"), "rooted")
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = rooted.join(named, "root").select("simhash", "component_id")
-    return prints.join(members, "simhash")
+    return prints.join(rooted.join(named, "root").select("simhash", "component_id"), "simhash")
+
+
+def one_of_each(docs: DataFrame, distance: int = 4, shingle: int = 4,
+                width: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the smallest id.
+
+    Ids come before null; of equal ids the text with the smaller hash stays, once.
+    """
+    key, digest = "_near_key", "_near_hash"
+    marked = docs.withColumns({
+        key: F.coalesce(F.col("doc_id"), F.lit(0)),
+        digest: F.xxhash64(text_bytes(), F.col("doc_id").isNull())})
+    prints = written(
+        fingerprints(marked.select("text", key, digest, F.col("doc_id").isNull().alias("no_id")),
+                     shingle).select(key, digest, "no_id", "simhash"), "simhash")
+    chosen = (prints.join(members(prints, distance, width), "simhash").groupBy("root")
+              .agg(F.min(F.struct("no_id", key, digest)).alias("kept"))
+              .select(f"kept.{key}", f"kept.{digest}"))
+    turn = F.row_number().over(Window.partitionBy(key, digest).orderBy(key))
+    return (marked.join(chosen, [key, digest], "left_semi")
+            .withColumn("_near_turn", turn).where("_near_turn = 1")
+            .select(*docs.columns))
