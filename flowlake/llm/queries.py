@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import decontamination, packing, simhash, suffixes, toxicity
+from flowlake.llm import (
+    decontamination, language_model, languages, packing, simhash, suffixes, toxicity,
+)
 from flowlake.llm.common import crc_remainder, table
 
 TOXIC_FROM = 0.3
@@ -49,6 +51,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id")
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learned from those that are not held out."""
+    docs = language_model.bodies(table(spark, sf_dir, "documents"))
+    held_out = crc_remainder("doc_id", 7) == 2
+    counts, words, weights = language_model.fitted(docs.where(~held_out))
+    scored = language_model.scored(docs, words, weights, counts)
+    return scored.withColumns({"held_out": held_out, "train_tokens": F.lit(words.tokens).cast("long")})
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, and where in the normalised text."""
     found = decontamination.matched(
@@ -63,6 +74,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(pieces, SEQUENCE_LENGTH)
 
 
+def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_remainder("doc_id", 3) == 1
+    model = languages.fit(*languages.training_sample(docs.where(~held_out)))
+    return languages.predicted(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated strings take from each document."""
     cut = suffixes.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -77,7 +97,9 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
+    "op4_language_model": op4_language_model,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
+    "op9_languages": op9_languages,
     "op10_suffixes": op10_suffixes,
 }
