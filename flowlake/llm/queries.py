@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.llm import (
-    decontamination, language_model, languages, packing, simhash, suffixes, toxicity,
+    decontamination, language_model, languages, neighbours, packing, simhash, suffixes, toxicity,
+    url_filter, warc,
 )
 from flowlake.llm.common import crc_remainder, table
 
@@ -32,6 +33,22 @@ def toxic_model(docs: DataFrame, labels: DataFrame) -> toxicity.SentenceModel:
         docs, labels.where(crc_remainder("doc_id", 4) != 2)))
 
 
+#: Rules of the URL query: host, path, verdict.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of each vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; labels of held-out documents are not read."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -60,6 +77,18 @@ def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumns({"held_out": held_out, "train_tokens": F.lit(words.tokens).cast("long")})
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to seekable bundles and read back."""
+    return warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judged(table(spark, sf_dir, "pages").select("page_id", "url"),
+                             rules).drop("url")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, and where in the normalised text."""
     found = decontamination.matched(
@@ -95,9 +124,12 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op4_language_model": op4_language_model,
+    "op5_warc": op5_warc,
+    "op6_url_filter": op6_url_filter,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
     "op9_languages": op9_languages,
