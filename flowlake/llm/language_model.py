@@ -42,7 +42,7 @@ LONGEST_TOP = 48
 SINGLES = 512
 GROUPS = 256
 WIDTH = 32
-TOKENS_AT_ONCE = 2048
+TOKENS_AT_ONCE = 1024
 NOISE = 64
 NOISE_PER_TOKEN = 10
 CACHED_WORDS = 200_000
@@ -196,10 +196,17 @@ def started(words: Words) -> Weights:
                    np.log(unigram(words)).astype(np.float32))
 
 
+def rows_added(places: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the rows given to each of ``n`` places."""
+    width = rows.shape[1]
+    cells = (places[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(cells, rows.ravel(), n * width).reshape(n, width)
+
+
 class Trainer:
     """Noise-contrastive steps with per-weight rates (Adagrad) over a stream of tokens."""
 
-    def __init__(self, weights: Weights, noise: np.ndarray, rate: float = 0.1, seed: int = 0):
+    def __init__(self, weights: Weights, noise: np.ndarray, rate: float = 0.6, seed: int = 0):
         self.values = [x.copy() for x in (weights.near, weights.far, weights.output,
                                           weights.bias)]
         self.squares = [np.full_like(x, 1e-2) for x in self.values]
@@ -220,15 +227,13 @@ class Trainer:
         miss = 1 / (1 + np.exp(np.clip(s, -30, 30)))
         hit = (NOISE_PER_TOKEN / NOISE) / (1 + np.exp(-np.clip(false, -30, 30)))
         gq = miss[:, None] * true - hit @ vo[drawn]
-        gradients = [np.zeros_like(x) for x in self.values]
-        np.add.at(gradients[0], near, gq)
-        np.add.at(gradients[1], far, gq)
-        np.add.at(gradients[2], target, miss[:, None] * q)
-        np.add.at(gradients[2], drawn, -(hit.T @ q))
-        gradients[3] += np.bincount(target, miss, len(bias)).astype(np.float32)
-        np.subtract.at(gradients[3], drawn, hit.sum(0))
+        gradients = [
+            rows_added(near, gq, len(vn)), rows_added(far, gq, len(vf)),
+            rows_added(np.append(target, drawn),
+                       np.concatenate([miss[:, None] * q, -(hit.T @ q)]), len(vo)),
+            np.bincount(np.append(target, drawn), np.append(miss, -hit.sum(0)), len(bias))]
         for value, square, gradient in zip(self.values, self.squares, gradients, strict=True):
-            gradient /= n
+            gradient = (gradient / n).astype(np.float32)
             square += gradient * gradient
             value += self.rate * gradient / np.sqrt(square)
         self.tokens += n
