@@ -12,8 +12,9 @@ find all of them without sorting the corpus in one place:
 3. Of the rest each distinct content is cut out once. Blocks of whole minimizer groups are
    indexed by a suffix array and its Burrows-Wheeler transform; breadth-first backward extension
    finds the common prefixes by increasing value and stops at ``least``. Neighbours whose common
-   prefix is still unknown then share a window. Groups too large for a block are settled by
-   counting their windows, which spreads over the cluster.
+   prefix is still unknown then share a window. Groups too large for a block are narrowed first:
+   their runs are cut into stretches that have more bytes in common than the minimizer, which
+   splits the group, makes most contents equal and, at a stretch of one window, all of them.
 
 Contents are compared by 64-bit hashes of runs within 44-bit minimizers.
 
@@ -31,10 +32,12 @@ import pandas as pd
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from flowlake.llm.common import group_starts, text_bytes, whole_groups, written
 
-GRAM = 16
+#: Long enough not to occur twice by chance in prose; a multiple of 8.
+GRAM = 32
 #: Bytes hashed at once; a packed position has this many values.
 CHUNK = 1 << 20
 #: Distinct contents of one minimizer that one block may hold.
@@ -48,10 +51,12 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Mixed 64-bit hash of each ``GRAM`` bytes."""
     a, b, c = MULTIPLIERS
     words = np.ascontiguousarray(sliding_window_view(data, 8)).view("<u8").ravel()
-    x = words[:-8] * a
-    x ^= x >> np.uint64(32)
-    x += words[8:]
-    x *= b
+    n = len(data) - GRAM + 1
+    x = words[:n] * a
+    for at in range(8, GRAM, 8):
+        x ^= x >> np.uint64(32)
+        x += words[at:at + n]
+        x *= b
     x ^= x >> np.uint64(29)
     x *= c
     x ^= x >> np.uint64(32)
@@ -267,16 +272,64 @@ def _settled_in_blocks(segments: DataFrame, least: int) -> DataFrame:
             .mapInPandas(settle, "minimizer long, content long, at long, windows int"))
 
 
-def _settled_by_count(segments: DataFrame, least: int) -> DataFrame:
-    """The same for groups of any size: every window is counted by two hashes."""
-    window = F.expr(f"substring(segment, cast(at as int) + 1, {least})")
-    each = (segments.select("minimizer", "content", "segment", F.explode(
-                F.sequence(F.lit(0).cast("long"), F.col("windows").cast("long") - 1)).alias("at"))
-            .select("minimizer", "content", "at", F.xxhash64(window).alias("h1"),
-                    F.xxhash64(window, F.lit(1)).alias("h2")))
-    often = each.groupBy("h1", "h2").count().where("count > 1").drop("count")
-    return each.join(often, ["h1", "h2"]).select("minimizer", "content", "at",
-                                                 F.lit(1).alias("windows"))
+def narrowed(segments: DataFrame, least: int, width: int) -> DataFrame:
+    """Stretches of at most ``width`` windows under a hash of the bytes they have in common.
+
+    A window is told by its distance to the minimizer; stretches are cut at multiples of
+    ``width`` of that distance, so that equal windows come into equal stretches.
+    """
+
+    def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for minimizer, content, copies, segment in batch.itertuples(index=False):
+                grams = gram_hashes(np.frombuffer(segment, np.uint8))
+                anchor = int((grams & ~LOW).argmin())
+                last = len(segment) - least
+                for k in range(max(0, anchor - last) // width, anchor // width + 1):
+                    first, end = max(0, anchor - k * width - width + 1), min(last, anchor - k * width)
+                    if first <= end:
+                        core = segment[anchor - k * width:
+                                       anchor - k * width - width + 1 + least]
+                        rows.append((minimizer, content, copies, first,
+                                     xxh64_intdigest(core, k) - (1 << 63),
+                                     segment[first:end + least]))
+            yield pd.DataFrame(rows, columns=["minimizer", "content", "copies", "first", "core",
+                                              "segment"])
+
+    return segments.select("minimizer", "content", "copies", "segment").mapInPandas(
+        narrow, "minimizer long, content long, copies long, first long, core long, "
+                "segment binary")
+
+
+def settled(segments: DataFrame, least: int, widths: tuple[int, ...] = (16, 1)) -> DataFrame:
+    """``minimizer, content, at, windows``: the repeated windows of distinct contents.
+
+    ``segments`` has ``minimizer, content, copies, crowd, segment``; ``crowd`` is the number of
+    contents of the minimizer. Contents with copies repeat as a whole.
+    """
+    whole = segments.where("copies > 1").select(
+        "minimizer", "content", F.lit(0).cast("long").alias("at"),
+        (F.octet_length("segment") - least + 1).alias("windows"))
+    small = segments.where(F.col("crowd").between(2, GROUP_LIMIT))
+    found = whole.union(_settled_in_blocks(small, least))
+    large = segments.where(F.col("crowd") > GROUP_LIMIT)
+    if not widths or not large.limit(1).count():
+        return found
+    parts = written(narrowed(large, least, widths[0]), "narrowed")
+    contents = parts.groupBy("core", "segment").agg(F.sum("copies").alias("copies"))
+    crowd = contents.groupBy("core").agg(F.count("*").alias("crowd"), F.sum("copies").alias("all"))
+    # A stretch whose common bytes are nowhere else has no repeated window.
+    shared = contents.join(crowd.where("all > 1").drop("all"), "core")
+    own = F.xxhash64("segment")
+    inner = written(shared.select(F.col("core").alias("minimizer"), own.alias("content"),
+                                  "copies", "crowd", "segment"), "stretches")
+    within = settled(inner, least, widths[1:]).select(
+        F.col("minimizer").alias("core"), F.col("content").alias("own"), "at", "windows")
+    back = (parts.withColumn("own", own).join(within, ["core", "own"])
+            .select("minimizer", "content", (F.col("first") + F.col("at")).alias("at"),
+                    "windows"))
+    return found.union(back)
 
 
 def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
@@ -293,23 +346,16 @@ def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
     contents = written(contents.select("minimizer", "content", "windows", "copies", "first.*"),
                        "contents")
     crowd = contents.groupBy("minimizer").agg(F.count("*").alias("crowd"))
-    wanted = (contents.join(crowd, "minimizer").groupBy("key", "hash")
-              .agg(F.collect_list(F.struct("minimizer", "content", "windows", "start", "crowd"))
-                   .alias("wanted")))
+    wanted = (contents.join(crowd, "minimizer").groupBy("key", "hash").agg(F.collect_list(
+        F.struct("minimizer", "content", "windows", "copies", "start", "crowd")).alias("wanted")))
     cut = F.expr(f"substring(body, cast(want.start as int) + 1, want.windows + {least - 1})")
     segments = written(
         texts.join(wanted, ["key", "hash"]).select("body", F.explode("wanted").alias("want"))
-        .select("want.minimizer", "want.content", "want.windows", "want.crowd",
-                cut.alias("segment")), "segments")
-    small, large = (segments.where(F.col("crowd") <= GROUP_LIMIT),
-                    segments.where(F.col("crowd") > GROUP_LIMIT))
-    settled = _settled_in_blocks(small, least).union(_settled_by_count(large, least))
-    # Contents with copies repeat as a whole and need no settled part.
-    whole = contents.where("copies > 1").select("minimizer", "content",
-                                                F.lit(0).cast("long").alias("at"),
-                                                F.col("windows").alias("found"))
-    part = settled.select("minimizer", "content", "at", F.col("windows").alias("found"))
-    return (mixed.join(whole.union(part), ["minimizer", "content"])
+        .select("want.minimizer", "want.content", "want.copies", "want.crowd",
+                cut.alias("segment")).dropDuplicates(["minimizer", "content"]), "segments")
+    part = settled(segments, least).select("minimizer", "content", "at",
+                                           F.col("windows").alias("found"))
+    return (mixed.join(part, ["minimizer", "content"])
             .select("key", "hash", (F.col("start") + F.col("at")).alias("start"),
                     F.col("found").alias("windows"))
             .union(runs.where("not mixed").select("key", "hash", "start", "windows")))
