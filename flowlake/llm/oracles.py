@@ -1,5 +1,38 @@
-"""SQL with the same rows, for the operators that SQL can express."""
+"""SQL with the same rows, for the operators that SQL can express.
+
+The others are compared with brute-force versions in the tests.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_warc": """
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first < page_id THEN first END AS refers_to
+FROM (
+  SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest,
+    CASE WHEN strlen(body) >= 100
+      THEN min(page_id) OVER (PARTITION BY body) END AS first
+  FROM (SELECT page_id, coalesce(html, '') AS body FROM pages)
+)
+""",
+    "op6_url_filter": r"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+parts AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+fits AS (
+  SELECT page_id, host, path, rule_host || rule_path AS rule, rule_verdict,
+    row_number() OVER (PARTITION BY page_id
+      ORDER BY length(rule_host || rule_path) DESC NULLS LAST) AS turn
+  FROM parts LEFT JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
+FROM fits WHERE turn = 1
+""",
+}

@@ -1,0 +1,91 @@
+import math
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from flowlake.llm import language_model as lm
+from flowlake.llm import queries
+from tests.llm import helpers
+
+
+def tokens_of(text):
+    return [*(text or "").encode().lower().split(), lm.END]
+
+
+def test_counts_and_base_equal_brute_force(spark):
+    rows = helpers.sql(helpers.SMALL, "select doc_id, text from '$/documents.parquet'")
+    got = {r.doc_id: r for r in queries.op4_language_model(spark, helpers.SMALL).collect()}
+    held = {i: crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
+    counts = Counter(t for i, x in rows if not held[i] for t in tokens_of(x))
+    total, distinct = sum(counts.values()), len(counts)
+    for i, x in rows:
+        own = tokens_of(x)
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (held[i], len(own), total)
+        assert r.n_known == sum(t in counts for t in own)
+        assert r.base_score == pytest.approx(sum(
+            math.log10((counts[t] + 1) / (total + distinct + 1)) for t in own))
+        assert r.score < 0
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    # After "red" comes "fish", after "blue" comes "bird"; many rare words.
+    texts = [" ".join(("red fish" if (i * j) % 3 else "blue bird") + f" w{i * j % 997}x"
+                      for j in range(40)) for i in range(300)]
+    rows = lm.bodies(helpers.docs(spark, texts))
+    return rows, lm.fitted(rows)
+
+
+def test_probabilities_sum_to_one(fitted, monkeypatch):
+    _, (_, words, weights) = fitted
+    normaliser = lm.Normaliser(weights)
+    near, far = np.array([0, 3, 768]), np.array([768, 5, 768])
+    logits = (weights.near[near] + weights.far[far]) @ weights.output.T + weights.bias
+    assert np.allclose(np.exp(logits - normaliser(near, far)[:, None]).sum(1), 1, atol=1e-4)
+    # Shares of an output's words and of its unknown ones.
+    for k in range(lm.SINGLES, lm.SINGLES + lm.GROUPS):
+        own = [c for w, c in zip(words.names[lm.SINGLES:], words.counts[lm.SINGLES:], strict=True)
+               if lm.group_of(w) == k]
+        assert len(own) == words.output_distinct[k] and sum(own) == words.output_tokens[k]
+        size = words.output_tokens[k] + words.output_distinct[k] + 1
+        assert sum((c + 1) / size for c in own) + 1 / size == pytest.approx(1)
+
+
+def test_rare_words_meet_their_counts(spark, fitted, monkeypatch):
+    rows, (counts, words, weights) = fitted
+    whole = {r.doc_id: r for r in lm.scored(rows, words, weights, counts).collect()}
+    few = lm.Words(words.names[:600], words.counts[:600], words.tokens, words.distinct,
+                   words.output_tokens, words.output_distinct)
+    for r in lm.scored(rows, few, weights, counts).collect():
+        assert r.n_known == whole[r.doc_id].n_known
+        assert r.score == pytest.approx(whole[r.doc_id].score)
+        assert r.base_score == pytest.approx(whole[r.doc_id].base_score)
+
+
+def test_training_learns_what_follows(fitted):
+    rows, (counts, words, weights) = fitted
+    got = lm.scored(rows, words, weights, counts).collect()
+    assert sum(r.score for r in got) > 0.9 * sum(r.base_score for r in got)
+
+
+def test_gradient_sums():
+    places, rows = np.array([2, 0, 2]), np.arange(6.0).reshape(3, 2)
+    assert lm.rows_added(places, rows, 3).tolist() == [[2, 3], [0, 0], [4, 6]]
+
+
+def test_empty_cases(spark, fitted):
+    _, (counts, words, weights) = fitted
+    rows = lm.bodies(helpers.docs(spark, [None, "", "q" * 100_000, "red", "red"], [1, 2, None, 4, 4]))
+    got = sorted(lm.scored(rows, words, weights, counts).collect(),
+                 key=lambda r: (r.doc_id or 0, r.score))
+    assert [(r.doc_id, r.n_tokens, r.n_known) for r in got] == [
+        (None, 2, 1), (1, 1, 1), (2, 1, 1), (4, 2, 2), (4, 2, 2)]
+    assert got[1].score == got[2].score and got[3].score == got[4].score
+    assert lm.scored(rows.limit(0), words, weights, counts).count() == 0
+    counts, words, weights = lm.fitted(rows.limit(0))
+    assert words.tokens == 0
+    got = lm.scored(rows, words, weights, counts).collect()
+    assert all(r.n_known == 0 and r.base_score == 0 and math.isfinite(r.score) for r in got)
