@@ -36,8 +36,10 @@ class LakeConfig:
     """Where the lake lives and how its streams run.
 
     ``shuffle_partitions`` is fixed for the life of a streaming checkpoint, so
-    size it for the peak, not for the first day. ``None`` derives it from the
-    cores the cluster offers. ``silver_files_per_date`` shuffles each batch of
+    size it for the peak, not for the first day. ``None`` takes the session's
+    setting. ``max_offsets`` and ``max_files`` bound what one micro-batch takes
+    from the log and from a followed layer, so that a backlog is worked off in
+    batches of a size the cluster knows. ``silver_files_per_date`` shuffles each batch of
     the enriched layer into that many files per date: set it for backfills, whose
     batches span many dates; a live batch spans one or two and needs no shuffle.
     ``gold_files`` gathers the windows a batch closes into that many files per
@@ -66,6 +68,8 @@ class LakeConfig:
     silver_files_per_date: int | None = None
     gold_files: int | None = None
     salts: int = 1
+    max_offsets: int | None = None
+    max_files: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> LakeConfig:
@@ -80,7 +84,24 @@ class LakeConfig:
             "bronze_checkpoint": "CHECKPOINT_PATH",
             "silver_checkpoint": "SILVER_CHECKPOINT",
         }
-        found = {field: env[name] for field, name in named.items() if env.get(name)}
+        numbers = {
+            "shuffle_partitions": "SHUFFLE_PARTITIONS",
+            "silver_files_per_date": "SILVER_FILES_PER_DATE",
+            "gold_files": "GOLD_FILES",
+            "salts": "SALTS",
+            "max_offsets": "MAX_OFFSETS_PER_TRIGGER",
+            "max_files": "MAX_FILES_PER_TRIGGER",
+        }
+        texts = {
+            "alerts_topic": "ALERTS_TOPIC",
+            "starting_offsets": "STARTING_OFFSETS",
+            "window": "WINDOW",
+            "watermark": "WATERMARK",
+            "trigger": "TRIGGER",
+            "distinct": "DISTINCT_MODE",
+        }
+        found = {f: env[name] for f, name in {**named, **texts}.items() if env.get(name)}
+        found |= {f: int(env[name]) for f, name in numbers.items() if env.get(name)}
         return cls(**{**found, **overrides})
 
     @classmethod
@@ -98,6 +119,10 @@ class LakeConfig:
     def alerts(self) -> str:
         return self.gold("alerts")
 
+    @property
+    def received(self) -> str:
+        return f"{self.bronze}_received"
+
     @property
     def quarantine(self) -> str:
         return f"{self.bronze}_quarantine"
@@ -124,33 +149,58 @@ def open_session(cfg: LakeConfig | None = None, master: str | None = None) -> Sp
     return builder.getOrCreate()
 
 
-def pin_settings(spark: SparkSession) -> SparkSession:
-    """Apply the settings jobs need to a session built elsewhere."""
+def pinned(spark: SparkSession) -> SparkSession:
+    """A session with the settings jobs need: ``spark`` itself if it has them.
+
+    Otherwise a sibling with the caller's settings and these, so that the
+    caller's session stays as it is.
+    """
+    if all(spark.conf.get(key, None) == value for key, value in SESSION_CONF.items()):
+        return spark
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key) and session.conf.get(key, None) != value:
+            session.conf.set(key, value)
     for key, value in SESSION_CONF.items():
-        spark.conf.set(key, value)
-    return spark
+        session.conf.set(key, value)
+    return session
 
 
 def streaming_session(spark: SparkSession, cfg: LakeConfig) -> SparkSession:
-    """Sibling session with the streaming settings, leaving ``spark`` as it is."""
-    session = pin_settings(spark.newSession())
-    for key, value in STATE_CONF.items():
+    """Sibling session with the streaming settings, leaving ``spark`` as it is.
+
+    The session's number of shuffle partitions holds unless ``cfg`` names one.
+    """
+    session = spark.newSession()
+    for key, value in {**SESSION_CONF, **STATE_CONF}.items():
         session.conf.set(key, value)
-    partitions = cfg.shuffle_partitions or spark.sparkContext.defaultParallelism
+    partitions = cfg.shuffle_partitions or spark.conf.get("spark.sql.shuffle.partitions")
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return session
 
 
+_application_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """Fresh folder that driver and executors can all reach.
 
-    It lies below the folder the cluster names in ``spark.checkpoint.dir``.
-    Only a local-mode session may fall back to a temporary folder.
+    It lies below the folder the cluster names in ``spark.checkpoint.dir``, in
+    one folder per application that goes when the application ends. Only a
+    local-mode session may fall back to a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="flowlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/flowlake/{purpose}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    top = _application_folders.get(context.applicationId)
+    if top is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            root = tempfile.mkdtemp(prefix="flowlake-")
+        top = f"{root.rstrip('/')}/flowlake/{context.applicationId}"
+        path = context._jvm.org.apache.hadoop.fs.Path(top)
+        store = path.getFileSystem(context._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _application_folders[context.applicationId] = top
+    return f"{top}/{purpose}-{uuid.uuid4().hex}"

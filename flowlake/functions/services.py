@@ -20,10 +20,6 @@ SERVICE_BY_PORT = {
 }
 OTHER_SERVICE = "OTHER"
 
-# Service names may take this much memory on every executor.
-MAX_BROADCAST_BYTES = 16 * 1024 * 1024
-
-
 def service_name(port: Column | str) -> Column:
     """Name of a well-known port, ``OTHER`` for the rest and for NULL."""
     port = F.col(port) if isinstance(port, str) else port
@@ -32,21 +28,20 @@ def service_name(port: Column | str) -> Column:
 
 
 def join_service(flows: DataFrame, services: DataFrame, port: str = "dst_port",
-                 output: str = "dst_service",
-                 max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+                 output: str = "dst_service") -> DataFrame:
     """Name services from a user's ``(port, service)`` table instead.
 
-    The table is reduced to one row per valid port first, at most 65,536, so
-    flows never multiply. It is broadcast if its names are short enough.
+    Two names for one port are an error, raised when the flows are read.
+    Repeated rows are not, and rows without a port or a name count for nothing.
     """
+    problem = F.concat(F.lit("two services for port "), F.col("_port").cast("string"))
     by_port = (
-        services.where(F.col("port").between(0, 65535))
+        services.where(F.col("port").isNotNull() & F.col("service").isNotNull())
         .groupBy(F.col("port").cast("int").alias("_port"))
-        .agg(F.min("service").alias("_service"))
+        .agg(F.min("service").alias("_first"), F.max("service").alias("_last"))
+        .select("_port", F.when(F.col("_first") == F.col("_last"), F.col("_first"))
+                .otherwise(F.raise_error(problem)).alias("_service"))
     )
-    name_bytes = by_port.agg(F.sum(F.octet_length("_service"))).first()[0] or 0
-    if name_bytes <= max_broadcast_bytes:
-        by_port = F.broadcast(by_port)
     return (
         flows.join(by_port, flows[port] == F.col("_port"), "left")
         .withColumn(output, F.coalesce("_service", F.lit(OTHER_SERVICE)))

@@ -80,3 +80,11 @@ ALERT = _columns(
     total_bytes="long",
     detected_at="timestamp",
 )
+
+# A message as received: its text, and the flow fields decoded from it.
+RECEIVED = StructType(QUARANTINE.fields + FLOW.fields)
+
+
+def dated(schema: StructType) -> StructType:
+    """The schema of a layer stored by ``date``."""
+    return _with(StructType([f for f in schema.fields if f.name != "date"]), date="date")

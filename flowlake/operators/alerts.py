@@ -8,18 +8,20 @@ from pyspark.sql import functions as F
 from flowlake.functions.severity import severity_label
 from flowlake.operators.rules import keep_matching
 
-NEWEST_FIRST = ("detected_at", "window_end")
-
-
 def labelled(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("severity_label", severity_label())
 
 
 def recent(alerts: DataFrame, within: str, time: str = "detected_at",
            now: Column | None = None) -> DataFrame:
-    """Alerts whose ``time`` lies less than ``within`` (an interval) before ``now``."""
+    """Alerts whose ``time`` lies less than ``within`` (an interval) before ``now``.
+
+    Newest first; other columns make the order total.
+    """
     now = F.current_timestamp() if now is None else now
-    return alerts.where(F.col(time) > now - F.expr(f"INTERVAL {within}"))
+    ties = [F.desc(c) for c in ("detected_at", "window_end") if c in alerts.columns and c != time]
+    return alerts.where(F.col(time) > now - F.expr(f"INTERVAL {within}")).orderBy(
+        F.desc(time), *ties, F.asc("alert_type"), F.asc("entity"))
 
 
 def latest(alerts: DataFrame, time: str = "window_end") -> Column:
@@ -39,9 +41,12 @@ def counts_by_type(alerts: DataFrame) -> DataFrame:
 
 
 def mean_severity(alerts: DataFrame) -> DataFrame:
-    """Mean severity to two decimals, summed as decimals so order cannot matter."""
+    """Mean severity to two decimals, summed as decimals so order cannot matter.
+
+    Scores count to nine decimals.
+    """
     return alerts.agg(
-        F.round(F.avg(F.col("severity_score").cast("decimal(3,1)")), 2)
+        F.round(F.avg(F.col("severity_score").cast("decimal(28,9)")), 2)
         .cast("double")
         .alias("mean_severity")
     )
@@ -92,6 +97,13 @@ def not_yet_notified(alerts: DataFrame, notified: DataFrame) -> DataFrame:
     )
 
 
+def distinct_windows_in_stream(alerts: DataFrame, watermark: str = "2 minutes") -> DataFrame:
+    """Drop repeats of a window, type and entity (stream), all columns kept."""
+    return alerts.withWatermark("window_end", watermark).dropDuplicates(
+        ["window_start", "window_end", "alert_type", "entity"]
+    )
+
+
 def distinct_in_stream(alerts: DataFrame, horizon: str) -> DataFrame:
     """Drop repeats of a type and entity within ``horizon`` of event time (stream)."""
     return alerts.withWatermark("window_end", horizon).dropDuplicatesWithinWatermark(

@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Of a frequent-items sketch: its error is at most this share of the flows over
+# the items it tracks.
+ERROR = 3.5
+
+
 def _descending(measure: str, *ties: str) -> list[Column]:
     return [F.desc(measure), *(F.asc(tie) for tie in ties)]
 
@@ -72,13 +77,14 @@ def heavy_hitters(flows: DataFrame, entity: str = "dst_ip", window: str = "1 min
     return top_k_per(per_entity, ["window"], "flow_count", k, entity)
 
 
-def heavy_hitters_approx(flows: DataFrame, entity: str = "dst_ip", window: str = "1 minute",
-                         k: int = 10, tracked: int = 10_000, by: list[str] | None = None,
-                         watermark: str = "2 minutes") -> DataFrame:
-    """Entities with the most flows per window, ranked, from a fixed-size sketch.
+def heavy_hitters_sketched(flows: DataFrame, entity: str = "dst_ip", window: str = "1 minute",
+                           k: int = 10, tracked: int = 10_000, by: list[str] | None = None,
+                           watermark: str = "2 minutes") -> DataFrame:
+    """Frequent entities per window from a fixed-size sketch; also for streams.
 
-    One shuffle of sketches, state of at most ``tracked`` items per group, and it
-    runs in a stream. Counts are exact while a group has fewer items than that.
+    State is at most ``tracked`` items per group. Counts are exact while a group
+    has fewer items; beyond that, entities with less than ``ERROR / tracked`` of
+    a window's flows may be missing, so a flat window yields fewer than ``k``.
     """
     groups = by or []
     sketched = (
@@ -95,38 +101,36 @@ def heavy_hitters_approx(flows: DataFrame, entity: str = "dst_ip", window: str =
     )
 
 
-def count_min(flows: DataFrame, entity: str = "dst_ip", window: str = "1 minute",
-              depth: int = 4, width: int = 2048, watermark: str = "2 minutes") -> DataFrame:
-    """Count-Min sketch of flows per entity, as a table of counters.
+def heavy_hitters_approx(flows: DataFrame, entity: str = "dst_ip", window: str = "1 minute",
+                         k: int = 10, tracked: int = 10_000) -> DataFrame:
+    """The ``min(k, entities)`` entities with the most flows per window (batch).
 
-    Each flow adds to one of ``width`` counters in each of ``depth`` rows. A
-    window holds at most ``depth * width`` counters however many entities it
-    has; sketches of several inputs merge by adding counters.
+    A sketch names candidates, and these are counted exactly. An entity that is
+    no candidate has at most the least candidate's estimate and ``ERROR /
+    tracked`` of the window's flows; where the ``k``-th count does not exceed
+    that, the window is counted as a whole. Flows without an entity don't count.
     """
-    return (
-        flows.withWatermark("ts", watermark)
-        .select("ts", F.inline(_cells(entity, depth, width)))
-        .groupBy(F.window("ts", window), "row", "cell")
-        .agg(F.count("*").alias("hits"))
+    named = flows.where(F.col(entity).isNotNull()).withColumn("window", F.window("ts", window))
+    wanted = min(4 * k, tracked)
+    sketched = named.groupBy("window").agg(
+        F.count("*").alias("_flows"),
+        F.expr(f"approx_top_k({entity}, {wanted}, {int(tracked)})").alias("_top"),
     )
-
-
-def count_min_estimate(sketch: DataFrame, candidates: DataFrame, entity: str = "dst_ip",
-                       depth: int = 4, width: int = 2048) -> DataFrame:
-    """Estimated flows of the candidate ``(window, entity)`` rows; never too low."""
-    wanted = candidates.select("window", entity, F.inline(_cells(entity, depth, width)))
-    return (
-        wanted.join(sketch, ["window", "row", "cell"])
-        .groupBy("window", entity)
-        .agg(F.min("hits").alias("estimated_flows"))
+    error = F.ceil(F.col("_flows") * F.lit(ERROR / tracked))
+    least = F.when(F.size("_top") < wanted, F.lit(0)).otherwise(F.array_min(
+        F.transform("_top", lambda item: item["count"])))
+    candidates = sketched.select(
+        "window", F.greatest(error, least).alias("_bound"),
+        F.explode(F.transform("_top", lambda item: item["item"])).alias(entity))
+    counted = (
+        named.join(candidates, ["window", entity])
+        .groupBy("window", entity, "_bound").agg(F.count("*").alias("flow_count"))
     )
-
-
-def _cells(entity: str, depth: int, width: int) -> Column:
-    return F.array(*(
-        F.struct(
-            F.lit(row).alias("row"),
-            F.pmod(F.xxhash64(F.lit(row), F.col(entity)), F.lit(width)).cast("int").alias("cell"),
-        )
-        for row in range(depth)
-    ))
+    best = top_k_per(counted, ["window"], "flow_count", k, entity)
+    settled = (
+        best.where((F.col("rank") == k) & (F.col("flow_count") > F.col("_bound")))
+        .select("window")
+    )
+    open_windows = named.join(settled, "window", "left_anti").drop("window")
+    return best.join(settled, "window", "left_semi").drop("_bound").unionByName(
+        heavy_hitters(open_windows, entity, window, k))

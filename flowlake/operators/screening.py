@@ -12,16 +12,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.config import shared_folder
 from flowlake.operators.rollup import GOLD_ROLLUPS, rollup
 from flowlake.operators.rules import Above, Rule, detect, keep_matching
 
-# What the (window, key) pairs to broadcast may take on every executor, counting
-# the text of the keys and this much for the rest of a row.
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-ROW_BYTES = 96
-
-
 def candidates(flows: DataFrame, rule: Rule, window: str) -> DataFrame:
     """The (window, key) pairs whose sums and counts allow ``rule`` to hold.
 
@@ -40,31 +33,19 @@ def candidates(flows: DataFrame, rule: Rule, window: str) -> DataFrame:
     return rule.over(totals).where(needed.matches()).select("window", spec.key)
 
 
-def detect_in_flows(flows: DataFrame, rule: Rule, window: str,
-                    max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def detect_in_flows(flows: DataFrame, rule: Rule, window: str) -> DataFrame:
     """Alerts of one rule over a batch of flows, with exact counts.
 
-    Writes the candidates to the shared folder to learn their size. If small,
-    they are broadcast to pick their flows; otherwise all flows are counted.
+    The candidates are a part of the plan: a semi join picks their flows, and
+    adaptive execution broadcasts them or not by the size they turn out to have.
     """
-    return detect(_gold_for(flows, rule, window, max_broadcast_bytes), rule)
+    spec = GOLD_ROLLUPS[rule.table]
+    timed = flows.withColumn("window", F.window("ts", window))
+    loud = keep_matching(timed, candidates(flows, rule, window), "window", spec.key)
+    return detect(rollup(loud.drop("window"), spec, window, distinct="exact"), rule)
 
 
 def detect_all_in_flows(flows: DataFrame, rules: tuple[Rule, ...], window: str) -> DataFrame:
     return reduce(
         DataFrame.unionByName, (detect_in_flows(flows, rule, window) for rule in rules)
     )
-
-
-def _gold_for(flows, rule, window, max_broadcast_bytes) -> DataFrame:
-    spark, spec = flows.sparkSession, GOLD_ROLLUPS[rule.table]
-    path = shared_folder(spark, "candidates")
-    candidates(flows, rule, window).write.parquet(path)
-    loud = spark.read.parquet(path)
-    size = loud.agg(
-        F.count(F.lit(1)) * ROW_BYTES + F.coalesce(F.sum(F.octet_length(spec.key)), F.lit(0))
-    ).first()[0]
-    if size <= max_broadcast_bytes:
-        timed = flows.withColumn("window", F.window("ts", window))
-        flows = keep_matching(timed, F.broadcast(loud), "window", spec.key).drop("window")
-    return rollup(flows, spec, window, distinct="exact")

@@ -76,14 +76,29 @@ class EventLake:
         return read_layer(self.spark, path, schema)
 
 
-_lakes: dict[tuple[str, str], EventLake] = {}
+_lakes: dict[tuple[str, str], tuple[object, EventLake]] = {}
 _lakes_lock = RLock()
 
 
+def state_of(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of change of the files a table consists of."""
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = found.getFileSystem(context._jsc.hadoopConfiguration()).listFiles(found, True)
+    state = []
+    while files.hasNext():
+        file = files.next()
+        state.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return sorted(state)
+
+
 def lake_of(spark: SparkSession, events_path: str) -> EventLake:
-    """The lake of an events table, shared by all queries of an application."""
-    key = (spark.sparkContext.applicationId, events_path)
+    """The lake of an events table, shared by the queries of an application.
+
+    A table whose files have changed gets a new lake.
+    """
+    key, state = (spark.sparkContext.applicationId, events_path), state_of(spark, events_path)
     with _lakes_lock:
-        if key not in _lakes:
-            _lakes[key] = EventLake(spark, events_path)
-        return _lakes[key]
+        if key not in _lakes or _lakes[key][0] != state:
+            _lakes[key] = (state, EventLake(spark, events_path))
+        return _lakes[key][1]

@@ -267,12 +267,6 @@ FROM messages GROUP BY 1, 2""", MESSAGES),
     "heavy_hitters": _with(_top_per(
         _rollup("dst_ip", "1 day", "count(*) AS flow_count", traffic=False),
         "window_start", "flow_count", "dst_ip", 10)),
-    "heavy_hitters_approx": _with("SELECT * EXCLUDE (dst_ip) FROM (" + _top_per(
-        _rollup("dst_ip", "1 day", "count(*) AS flow_count", traffic=False),
-        "window_start", "flow_count", "dst_ip", 10) + ")"),
-    "heavy_hitters_count_min": _with("SELECT * EXCLUDE (rank), TRUE AS never_low FROM (" + _top_per(
-        _rollup("dst_ip", "1 day", "count(*) AS flow_count", traffic=False),
-        "window_start", "flow_count", "dst_ip", 10) + ")"),
     "syn_ratio": _with(
         f"SELECT *, {RATIO} AS syn_ratio FROM ({_rollup('dst_ip', '1 day', SYN, traffic=False)})"),
     "topk_destinations": _with(
@@ -319,7 +313,7 @@ FROM (SELECT count(*) AS n FROM recent) LEFT JOIN (
     "alert_type_counts": _with(
         "SELECT alert_type, count(*) AS alerts FROM alerts GROUP BY 1", ALERTS),
     "alert_severity_mean": _with(
-        "SELECT round(CAST(sum(CAST(severity_score AS DECIMAL(3, 1))) AS DOUBLE) / count(*), 2) "
+        "SELECT round(CAST(sum(CAST(severity_score AS DECIMAL(28, 9))) AS DOUBLE) / count(*), 2) "
         "AS mean_severity FROM alerts", ALERTS),
     "most_targeted": _with(
         "SELECT entity, count(*) AS alerts FROM alerts GROUP BY 1 ORDER BY alerts DESC, entity LIMIT 5",
@@ -329,7 +323,14 @@ FROM (SELECT count(*) AS n FROM recent) LEFT JOIN (
         "(PARTITION BY alert_type, entity ORDER BY window_start) = 1", ALERTS),
 }
 ORACLES |= {
-    "streaming_deduped_alerts": _with("SELECT DISTINCT alert_type, entity FROM alerts", ALERTS),
+    "heavy_hitters_approx": ORACLES["heavy_hitters"],
+    "streaming_deduped_alerts": ORACLES["streaming_alerts"],
+    "streaming_health": _with(
+        "SELECT *, (epoch_us((SELECT max(ts) FROM flows)) - epoch_us(newest)) / 1e6 AS lag_seconds "
+        "FROM (" + "\nUNION ALL ".join(
+            f"SELECT '{layer}' AS layer, count(*) AS row_count, "
+            f"max({'ts' if layer in ('bronze', 'silver') else 'window_end'}) AS newest FROM {table}"
+            for layer, table in _LAYERS.items()) + ")", ALERTS),
     "streaming_suppressed_alerts": ORACLES["baseline_suppressed_alerts"],
     "streaming_quarantine": ORACLES["malformed_quarantine"],
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.config import LakeConfig, pin_settings, shared_folder
+from flowlake.config import LakeConfig, pinned, shared_folder
 from flowlake.functions.timing import flatten_window, zoneless
 from flowlake.model import ALERT, FLOW, GOLD, QUARANTINE
 from flowlake.operators import alerts as alert_views
@@ -25,8 +25,7 @@ from flowlake.operators.rollup import (
 from flowlake.plans.lake import EventLake, lake_of
 from flowlake.sources.events import flows_of_events, messages_of_events
 from flowlake.sources.layers import inventory, read_layer
-from flowlake.sources.streams import follow_layer
-from flowlake.streaming.health import progress
+from flowlake.streaming.health import layer_health
 from flowlake.streaming.medallion import Medallion
 from flowlake.streaming.sinks import append_files
 from flowlake.streaming.suppression import read_suppressed, start_suppression
@@ -61,20 +60,28 @@ def _events_path(sf_dir: str) -> str:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pin_settings(spark).read.parquet(_events_path(sf_dir))
+    return pinned(spark).read.parquet(_events_path(sf_dir))
+
+
+def _exactly(path: str) -> str:
+    """A pattern that only ``path`` itself meets; a stream's path must be one to be a file."""
+    return f"{path[:-1]}[{path[-1]}]"
 
 
 def event_lake(spark: SparkSession, sf_dir: str) -> EventLake:
-    return lake_of(pin_settings(spark), _events_path(sf_dir))
+    return lake_of(pinned(spark), _events_path(sf_dir))
 
 
 def _flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flows as the bronze layer stores them."""
-    return event_lake(spark, sf_dir).bronze()
+    """The flows as the bronze layer stores them, straight from the events."""
+    flows = flows_of_events(_events(spark, sf_dir))
+    return flows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_lake(spark, sf_dir).messages()
+    """What the message log would hold."""
+    messages = messages_of_events(_events(spark, sf_dir))
+    return messages.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 
 def _flat(gold: DataFrame) -> DataFrame:
@@ -218,20 +225,23 @@ def exact_unique_sources(spark, sf_dir):
 def _within_bound(spark, sf_dir, spec: Rollup, **options) -> DataFrame:
     """The approximate rollup, its estimates replaced by whether they are close.
 
-    Both sides come out of their aggregations partitioned by window and key, so
-    the join adds no shuffle.
+    Both sides come out of their aggregations partitioned by window and key. A
+    missing address is a key like any other.
     """
     flows = _flows(spark, sf_dir)
     estimate = rollup(flows, spec, ROLLUP_WINDOW, **options)
     exact = rollup(flows, spec, ROLLUP_WINDOW, distinct="exact").select(
-        "window", spec.key, *(F.col(name).alias(f"exact_{name}") for name in spec.distinct)
+        F.col("window").alias("_window"), F.col(spec.key).alias("_key"),
+        *(F.col(name).alias(f"exact_{name}") for name in spec.distinct)
     )
     close = F.lit(True)
     for name in spec.distinct:
         truth = F.col(f"exact_{name}")
         bound = F.greatest(F.lit(1), F.ceil(truth * F.lit(0.15)))
         close = close & (F.abs(F.col(name) - truth) <= bound)
-    joined = estimate.join(exact, ["window", spec.key])
+    joined = estimate.join(
+        exact, F.col("window").eqNullSafe(F.col("_window"))
+        & F.col(spec.key).eqNullSafe(F.col("_key")))
     return _flat(
         joined.select("window", spec.key, *spec.measures, close.alias("within_bound"))
     )
@@ -276,26 +286,8 @@ def heavy_hitters(spark, sf_dir):
 
 @register
 def heavy_hitters_approx(spark, sf_dir):
-    """The flow counts of the sketched heavy hitters.
-
-    Without their names, as entities with equal counts come in any order.
-    """
-    flows = _flows(spark, sf_dir)
-    top = ranking.heavy_hitters_approx(flows, "dst_ip", PROFILE_WINDOW, 10)
-    return _flat(top.drop("dst_ip"))
-
-
-@register
-def heavy_hitters_count_min(spark, sf_dir):
-    """The exact heavy hitters and whether the sketch kept its promise for them."""
-    flows = _flows(spark, sf_dir)
-    top = ranking.heavy_hitters(flows, "dst_ip", PROFILE_WINDOW, 10)
-    sketch = ranking.count_min(flows, "dst_ip", PROFILE_WINDOW)
-    estimates = ranking.count_min_estimate(sketch, top, "dst_ip")
-    never_low = (F.col("estimated_flows") >= F.col("flow_count")).alias("never_low")
-    return _flat(
-        top.join(estimates, ["window", "dst_ip"]).select("window", "dst_ip", "flow_count", never_low)
-    )
+    """Heavy hitters found through a sketch and counted exactly."""
+    return _flat(ranking.heavy_hitters_approx(_flows(spark, sf_dir), "dst_ip", PROFILE_WINDOW, 10))
 
 
 @register
@@ -452,7 +444,7 @@ def _flow_stream(spark, sf_dir, cfg: LakeConfig):
     )).write.parquet(closing)
 
     def open_flows(session):
-        events = session.readStream.schema(batch.schema).parquet(f"{_events_path(sf_dir)}*")
+        events = session.readStream.schema(batch.schema).parquet(_exactly(_events_path(sf_dir)))
         flows = flows_of_events(events)
         last = session.readStream.schema(flows.schema).parquet(closing)
         both = flows.unionByName(last)
@@ -462,10 +454,8 @@ def _flow_stream(spark, sf_dir, cfg: LakeConfig):
 
 
 def _medallion(spark, sf_dir, window, rules_=rules.STANDARD_RULES, tables=()) -> Medallion:
-    pin_settings(spark)
-    cfg = LakeConfig.under(
-        shared_folder(spark, "streams"), window=window, distinct="exact", silver_files_per_date=1
-    )
+    spark = pinned(spark)
+    cfg = LakeConfig.under(shared_folder(spark, "streams"), window=window, distinct="exact")
     return Medallion(
         spark, cfg, open_flows=_flow_stream(spark, sf_dir, cfg), rules=rules_, tables=tables
     )
@@ -490,16 +480,15 @@ def streaming_alerts(spark, sf_dir):
 
 @register
 def streaming_deduped_alerts(spark, sf_dir):
-    """Which entities a stream of notifications names, each once per type."""
+    """A stream of alerts without repeats of a window, type and entity."""
     lake = _medallion(spark, sf_dir, ALERT_WINDOW)
     lake.run_available()
     cfg = lake.cfg
-    found = follow_layer(lake.session, cfg.alerts, ALERT)
-    once = alert_views.distinct_in_stream(found, "400 days")
+    once = alert_views.distinct_windows_in_stream(lake.follow(cfg.alerts, ALERT))
     append_files(
         once, cfg.gold("notified"), cfg.checkpoint("notified"), trigger=None
     ).awaitTermination()
-    return read_layer(spark, cfg.gold("notified"), ALERT).select("alert_type", "entity")
+    return zoneless(read_layer(spark, cfg.gold("notified"), ALERT)).drop("detected_at")
 
 
 @register
@@ -515,21 +504,27 @@ def streaming_suppressed_alerts(spark, sf_dir):
 @register
 def streaming_quarantine(spark, sf_dir):
     """The texts a message stream sets aside because they cannot be decoded."""
-    pin_settings(spark)
+    spark = pinned(spark)
     cfg = LakeConfig.under(shared_folder(spark, "streams"))
     schema = _events(spark, sf_dir).schema
 
     def open_messages(session):
-        events = session.readStream.schema(schema).parquet(f"{_events_path(sf_dir)}*")
+        events = session.readStream.schema(schema).parquet(_exactly(_events_path(sf_dir)))
         return messages_of_events(events)
 
     lake = Medallion(spark, cfg, open_messages=open_messages, rules=(), tables=())
-    lake.run_available()
+    lake.run_available("quarantine")
     return read_layer(spark, cfg.quarantine, QUARANTINE)
 
 
 @register
 def streaming_health(spark, sf_dir):
-    """The micro-batches of the whole chain of streams."""
-    finished = _medallion(spark, sf_dir, ALERT_WINDOW).run_available()
-    return zoneless(progress(spark, finished))
+    """Rows of the stored layers, and how far each is behind the flows received."""
+    lake = event_lake(spark, sf_dir)
+    return zoneless(layer_health({
+        "bronze": (lake.bronze(), F.col("ts")),
+        "silver": (lake.silver(), F.col("ts")),
+        **{table: (lake.gold(table, ALERT_WINDOW), F.col("window.end"))
+           for table in ("top_destinations", "top_talkers", "router_summary")},
+        "alerts": (lake.alerts(ALERT_WINDOW), F.col("window_end")),
+    }))

@@ -14,9 +14,10 @@ def read_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Rows of a layer; none if nothing has been written yet.
 
     Goes through Spark so that files a stream has not committed stay invisible.
+    Of a layer stored by date the column is read if the schema names it.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -58,13 +59,19 @@ def write_layer(df: DataFrame, path: str, partition_by: str | None = None) -> No
     writer.parquet(path)
 
 
+def _file_of(df: DataFrame) -> Column:
+    """The file a row was read from; the frame of a missing layer knows no files."""
+    return F.col("_metadata.file_path") if df.inputFiles() else F.lit("none")
+
+
 def inventory(layers: dict[str, DataFrame]) -> DataFrame:
     """Files and rows per layer.
 
-    Rows are first counted per file, so only file names are shuffled.
+    Rows are first counted per file, so only file names are shuffled. A layer
+    that has not been written has no files and no rows.
     """
     counted = [
-        df.groupBy(F.col("_metadata.file_path").alias("_file"))
+        df.groupBy(_file_of(df).alias("_file"))
         .agg(F.count("*").alias("_rows"))
         .agg(
             F.count("*").alias("files"),

@@ -14,7 +14,8 @@ from flowlake.config import LakeConfig
 
 def log_options(cfg: LakeConfig, topic: str | None = None) -> dict[str, str]:
     """Options of the message-log source."""
-    return {
+    limit = {"maxOffsetsPerTrigger": str(cfg.max_offsets)} if cfg.max_offsets else {}
+    return limit | {
         "kafka.bootstrap.servers": cfg.brokers,
         "subscribe": topic or cfg.topic,
         "startingOffsets": cfg.starting_offsets,
@@ -31,6 +32,7 @@ def open_stream(spark: SparkSession, cfg: LakeConfig, kind: str = "kafka",
     if kind == "kafka":
         return spark.readStream.format("kafka").options(**log_options(cfg)).load()
     if kind == "text":
+        max_files = max_files or cfg.max_files
         options = {"maxFilesPerTrigger": str(max_files)} if max_files else {}
         return spark.readStream.options(**options).text(path).select(
             F.col("value"), F.col("_metadata.file_modification_time").alias("timestamp")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,6 +46,23 @@ def progress(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
     })
 
 
+def layer_health(layers: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """Rows per layer, its newest time, and the seconds it is behind the first layer.
+
+    ``layers`` gives the rows of each layer and the time to look at. A layer of
+    windows may be ahead: its newest window ends after the flows in it.
+    """
+    rows = [
+        df.agg(F.count("*").alias("row_count"), F.max(time).alias("newest"))
+        .select(F.lit(name).alias("layer"), "row_count", "newest")
+        for name, (df, time) in layers.items()
+    ]
+    first, time = next(iter(layers.values()))
+    received = first.agg(F.unix_micros(F.max(time))).scalar()
+    return reduce(DataFrame.unionByName, rows).withColumn(
+        "lag_seconds", (received - F.unix_micros("newest")) / F.lit(1e6))
+
+
 def alert_latency(alerts: DataFrame) -> DataFrame:
     """Seconds from the end of the event window to the alert, per alert type."""
     delay = F.unix_micros("detected_at") - F.unix_micros("window_end")

@@ -1,8 +1,9 @@
 """The chained streams of the lake.
 
-messages -> bronze -> silver -> gold tables -> alerts. Each layer follows the
-committed files of the one before, so all layers agree on what was received,
-the log is read once, and the alert rules are plain filters over gold.
+messages -> received -> bronze -> silver -> gold tables -> alerts, and received
+-> quarantine. Each layer follows the committed files of the one before, so the
+log is read once, bronze and quarantine together hold exactly what was received,
+and the alert rules are plain filters over gold. All layers are stored by date.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlake.config import LakeConfig, streaming_session
-from flowlake.model import FLOW, GOLD, SILVER
-from flowlake.operators.codec import parse_flows, quarantined
+from flowlake.model import FLOW, GOLD, RECEIVED, SILVER, dated
+from flowlake.operators.codec import decode, parse_flows, quarantined, valid_flows
 from flowlake.operators.enrich import enrich, with_date
 from flowlake.operators.rollup import GOLD_ROLLUPS, rollup
 from flowlake.operators.rules import STANDARD_RULES, Rule, detect_all
@@ -52,24 +53,30 @@ class Medallion:
 
     def gold(self, table: str, flows: DataFrame) -> DataFrame:
         cfg, spec = self.cfg, GOLD_ROLLUPS[table]
-        can_salt = cfg.distinct != "approx" or len(spec.distinct) == 1
+        # Only mergeable sketches allow salts where several columns are counted.
+        salted = cfg.salts > 1 and cfg.distinct == "approx" and len(spec.distinct) > 1
         return rollup(
             flows,
             spec,
             window=cfg.window,
             watermark=cfg.watermark,
-            distinct=cfg.distinct,
-            salts=cfg.salts if can_salt else 1,
+            distinct="sketch" if salted else cfg.distinct,
+            salts=cfg.salts,
         )
 
-    def run_available(self) -> list[StreamingQuery]:
-        """Bring every layer up to date with its input, one after the other."""
+    def run_available(self, until: str | None = None) -> list[StreamingQuery]:
+        """Bring the layers up to date with the input, one after the other.
+
+        Stops after the layer whose stream is called ``until``.
+        """
         finished = []
         for starts in self._stages():
             queries = [start(None) for start in starts]
             for query in queries:
                 query.awaitTermination()
             finished += queries
+            if until in {query.name for query in queries}:
+                break
         return finished
 
     def start(self) -> list[StreamingQuery]:
@@ -83,13 +90,17 @@ class Medallion:
         stream repeats the work of two gold streams.
         """
         cfg, flows = self.cfg, self.flows
-        queries = [self._append(flows(), cfg.bronze, "bronze", cfg.trigger)]
+        queries = [self._append(flows(), cfg.bronze, "bronze", cfg.trigger, "ts")]
+        if self.open_messages:
+            bad = quarantined(self.open_messages(self.session))
+            queries.append(self._append(bad, cfg.quarantine, "quarantine", cfg.trigger))
         queries.append(self._silver(flows(), cfg.trigger))
         queries += [self._gold(table, flows(), cfg.trigger) for table in self.tables]
         if self.rules:
             gold = {rule.table: self.gold(rule.table, flows()) for rule in self.rules}
             alerts = detect_all(gold, self.rules)
-            queries.append(self._append(alerts, cfg.alerts, "gold_alerts", cfg.trigger))
+            queries.append(
+                self._append(alerts, cfg.alerts, "gold_alerts", cfg.trigger, "window_start"))
         return queries
 
     def run_forever(self) -> None:
@@ -105,34 +116,52 @@ class Medallion:
         """
         cfg = self.cfg
 
+        def received(trigger):
+            decoded = decode(self.open_messages(self.session))
+            return self._append(decoded, cfg.received, "received", trigger)
+
         def bronze(trigger):
-            return self._append(self.flows(), cfg.bronze, "bronze", trigger)
+            if self.open_messages:
+                flows = valid_flows(self.follow(cfg.received, RECEIVED, stored_by_date=False))
+            else:
+                flows = self.flows()
+            return self._append(flows, cfg.bronze, "bronze", trigger, "ts")
 
         def quarantine(trigger):
-            bad = quarantined(self.open_messages(self.session))
+            decoded = self.follow(cfg.received, RECEIVED, stored_by_date=False)
+            bad = decoded.where(F.col("ts").isNull()).select("raw")
             return self._append(bad, cfg.quarantine, "quarantine", trigger)
 
         def silver(trigger):
-            return self._silver(follow_layer(self.session, cfg.bronze, FLOW), trigger)
+            return self._silver(self.follow(cfg.bronze, FLOW), trigger)
 
         def gold(table):
             def start(trigger):
-                return self._gold(table, follow_layer(self.session, cfg.silver, SILVER), trigger)
+                return self._gold(table, self.follow(cfg.silver, SILVER), trigger)
             return start
 
         def alerts(trigger):
             gold = {
-                rule.table: follow_layer(self.session, cfg.gold(rule.table), GOLD[rule.table])
+                rule.table: self.follow(cfg.gold(rule.table), GOLD[rule.table])
                 for rule in self.rules
             }
-            return self._append(detect_all(gold, self.rules), cfg.alerts, "gold_alerts", trigger)
+            alerts = detect_all(gold, self.rules)
+            return self._append(alerts, cfg.alerts, "gold_alerts", trigger, "window_start")
 
+        if self.open_messages:
+            yield [received]
         yield [bronze, quarantine] if self.open_messages else [bronze]
         yield [silver]
         yield [gold(table) for table in self.tables]
         if self.rules:
             yield [alerts]
 
+    def follow(self, path: str, schema, stored_by_date: bool = True) -> DataFrame:
+        """Stream of a layer's rows, in batches the configuration bounds."""
+        stored = dated(schema) if stored_by_date else schema
+        rows = follow_layer(self.session, path, stored, self.cfg.max_files)
+        return rows.select(*schema.fieldNames())
+
     def _silver(self, flows: DataFrame, trigger: str | None) -> StreamingQuery:
         silver = with_date(enrich(flows))
         if self.cfg.silver_files_per_date:
@@ -142,7 +171,7 @@ class Medallion:
                 F.xxhash64("ts", "src_ip", "src_port"), F.lit(self.cfg.silver_files_per_date)
             )
             silver = silver.repartition("date", salt)
-        return self._append(silver, self.cfg.silver, "silver", trigger, partition_by="date")
+        return self._append(silver, self.cfg.silver, "silver", trigger, "ts")
 
     def _gold(self, table: str, flows: DataFrame, trigger: str | None) -> StreamingQuery:
         gold = self.gold(table, flows)
@@ -150,9 +179,13 @@ class Medallion:
             # Only closed windows pass here: little data, but from every state
             # partition, which would each write a small file.
             gold = gold.repartition(self.cfg.gold_files, GOLD_ROLLUPS[table].key)
-        return self._append(gold, self.cfg.gold(table), f"gold_{table}", trigger)
+        return self._append(gold, self.cfg.gold(table), f"gold_{table}", trigger, "window.start")
 
-    def _append(self, df, path, sink, trigger, partition_by=None) -> StreamingQuery:
+    def _append(self, df, path, sink, trigger, time: str | None = None) -> StreamingQuery:
+        """Start a layer's sink, stored by the date of ``time`` if one is given."""
+        if time:
+            df = df.withColumn("date", F.to_date(time))
         return append_files(
-            df, path, self.cfg.checkpoint(sink), sink, trigger, partition_by=partition_by
+            df, path, self.cfg.checkpoint(sink), sink, trigger,
+            partition_by="date" if time else None,
         )

@@ -1,18 +1,27 @@
 """Start the lake's streams: ``spark-submit run_streams.py``.
 
-Brokers, topic and paths come from the environment, see ``LakeConfig.from_env``.
+Brokers, topics, paths, rate limits and sizes come from the environment, see
+``LakeConfig.from_env``. With ``ALERTS_TOPIC`` set the alerts also go to that topic.
 """
 
+import os
+
 from flowlake.config import LakeConfig, open_session
+from flowlake.model import ALERT
 from flowlake.sources.streams import open_stream
 from flowlake.streaming.medallion import Medallion
+from flowlake.streaming.sinks import publish_alerts
 
 
 def main() -> None:
     cfg = LakeConfig.from_env()
     spark = open_session(cfg)
     spark.sparkContext.setLogLevel("WARN")
-    Medallion(spark, cfg, open_messages=lambda session: open_stream(session, cfg)).run_forever()
+    lake = Medallion(spark, cfg, open_messages=lambda session: open_stream(session, cfg))
+    lake.start()
+    if os.environ.get("ALERTS_TOPIC"):
+        publish_alerts(lake.follow(cfg.alerts, ALERT), cfg, cfg.trigger)
+    lake.session.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

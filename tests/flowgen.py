@@ -1,16 +1,12 @@
-"""Flow records for tests: the four traffic scenarios, seeded."""
+"""Flow records for tests, built by counting: every sum and distinct count is known."""
 
 from __future__ import annotations
 
 import json
-import random
 from datetime import datetime, timedelta, timezone
 
 NOON = datetime(2026, 1, 29, 12, tzinfo=timezone.utc)
 
-# Ports of ordinary traffic and of the 12-port scan.
-BASELINE_PORTS = (80, 443, 22, 53, 8080, 3306, 5432, 6379)
-SCAN_PORTS = (21, 22, 23, 25, 53, 80, 110, 143, 443, 445, 3389, 8080)
 CROWD_TARGETS = ("172.16.1.10", "172.16.1.20", "172.16.1.30")
 
 
@@ -24,33 +20,44 @@ def record(ts, src_ip, dst_ip, dst_port=443, proto="TCP", size=100, packets=1, t
     }
 
 
-def scenario(name, minute, count, seed=0, ports=None):
-    """``count`` flows of one scenario, spread over one minute after noon."""
-    rng = random.Random(f"{name}-{minute}-{seed}")
-
-    def anyone():
-        if rng.random() < 0.7:
-            return f"10.{rng.randrange(256)}.{rng.randrange(256)}.{rng.randrange(1, 255)}"
-        return f"192.168.{rng.randrange(256)}.{rng.randrange(1, 255)}"
-
-    for position in range(count):
-        ts = NOON + timedelta(minutes=minute, seconds=60 * position / count)
-        if name == "ddos_fan_in":
-            bot = rng.randrange(1000)
-            yield record(ts, f"10.0.{bot // 256}.{bot % 256}", "172.16.4.100", 80,
-                         size=rng.randrange(10000, 60000), packets=rng.randrange(50, 150),
-                         tcp_flags="SYN")
-        elif name == "scan_fan_out":
-            yield record(ts, "10.0.0.99", anyone(), rng.choice(ports or SCAN_PORTS),
-                         size=rng.randrange(40, 140), packets=1, tcp_flags="SYN")
-        elif name == "flash_crowd":
-            yield record(ts, anyone(), rng.choice(CROWD_TARGETS), 443,
-                         size=rng.randrange(500, 5500), packets=rng.randrange(5, 25))
-        else:
-            proto = rng.choice(("TCP", "UDP", "ICMP"))
-            flags = rng.choice(("", "SYN", "SYN-ACK", "ACK", "FIN", "RST")) if proto == "TCP" else ""
-            yield record(ts, anyone(), anyone(), rng.choice(BASELINE_PORTS), proto,
-                         rng.randrange(100, 10100), rng.randrange(1, 51), flags)
+def address(block, number):
+    """A different address per number, in a block for documentation or tests."""
+    return f"{block}.{number // 250 % 250}.{number % 250 + 1}"
+
+
+def flood(i, count, **_):
+    """Up to 1000 sources send 100 packets of 300 bytes each to one target."""
+    return {"src_ip": address("198.18", i % 1000), "dst_ip": "172.16.4.100", "dst_port": 80,
+            "size": 30_000, "packets": 100, "tcp_flags": "SYN"}
+
+
+def scan(i, count, ports=None):
+    """One source sends one packet to each of many targets, ports in turn."""
+    ports = ports or range(20, 32)
+    return {"src_ip": "10.0.0.99", "dst_ip": address("203.0", i), "dst_port": ports[i % len(ports)],
+            "size": 60, "packets": 1, "tcp_flags": "SYN"}
+
+
+def crowd(i, count, **_):
+    """A source of its own for each flow to one of three targets, 15 packets each."""
+    return {"src_ip": address("10.7", i), "dst_ip": CROWD_TARGETS[i % 3], "dst_port": 443,
+            "size": 3000, "packets": 15}
+
+
+def quiet(i, count, **_):
+    """No two flows share a source or a target."""
+    return {"src_ip": address("10.9", i), "dst_ip": address("192.0", i), "dst_port": 1000 + i % 8,
+            "proto": ("TCP", "UDP", "ICMP")[i % 3], "size": 5000, "packets": 20, "tcp_flags": ""}
+
+
+SCENARIOS = {"ddos_fan_in": flood, "scan_fan_out": scan, "flash_crowd": crowd, "baseline": quiet}
+
+
+def scenario(name, minute, count, ports=None):
+    """``count`` flows of one scenario, spread evenly over one minute after noon."""
+    for i in range(count):
+        ts = NOON + timedelta(minutes=minute, seconds=60 * i / count)
+        yield record(ts, **SCENARIOS[name](i, count, ports=ports))
 
 
 def lines(records):

@@ -47,19 +47,21 @@ def test_services(spark):
     assert {r.port: r.s for r in df.select("port", service_name("port").alias("s")).collect()} == ports
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_service_dimension_replaces_the_list_and_keeps_rows(spark, limit):
-    flows = spark.createDataFrame([(80,), (9999,), (None,), (80,)], "dst_port int").select(
+def test_service_dimension_replaces_the_list_and_keeps_rows(spark):
+    flows = spark.createDataFrame([(80,), (9999,), (None,), (80,), (70000,)], "dst_port int").select(
         *(F.lit(None).cast(f.dataType).alias(f.name) for f in FLOW.fields if f.name != "dst_port"),
         "dst_port",
     )
     services = spark.createDataFrame(
-        [(80, "web"), (80, "www"), (70000, "bad"), (9999, "game")], "port int, service string"
-    )
-    assert join_service(flows, services).count() == enrich(flows, services).count() == 4
-    rows = join_service(flows, services, max_broadcast_bytes=limit).collect()
+        [(80, "web"), (80, "web"), (70000, "own"), (9999, "game"), (None, "x"), (81, None)],
+        "port int, service string")
+    assert join_service(flows, services).count() == enrich(flows, services).count() == 5
+    rows = join_service(flows, services).collect()
     assert sorted((str(r.dst_port), r.dst_service) for r in rows) == [
-        ("80", "web"), ("80", "web"), ("9999", "game"), ("None", "OTHER")]
+        ("70000", "own"), ("80", "web"), ("80", "web"), ("9999", "game"), ("None", "OTHER")]
+    twice = spark.createDataFrame([(80, "web"), (80, "www")], "port int, service string")
+    with pytest.raises(Exception, match="two services for port 80"):
+        join_service(flows, twice).collect()
 
 
 def test_severity(spark):

@@ -177,23 +177,23 @@ def test_rankings(spark):
     ports = ranking.router_top_ports(df, k=2).collect()
     assert {(r.window.start.minute, r.dst_port, r["rank"]) for r in ports} == {
         (0, 80, 1), (0, 81, 2), (1, 80, 1), (1, 81, 2)}
-    per_router = ranking.heavy_hitters_approx(df, "dst_port", k=2, by=["router_id"]).collect()
+    per_router = ranking.heavy_hitters_sketched(df, "dst_port", k=2, by=["router_id"]).collect()
     assert {(r.router_id, r.dst_port, r.flow_count) for r in per_router} == {("r", 80, 6), ("r", 81, 5)}
 
 
-def test_count_min_never_counts_too_low(spark):
-    flows = [(0, "r", "s", f"d{i % 50 * (i % 3)}", 80, "TCP", 1, 1, "") for i in range(3000)]
+@pytest.mark.parametrize("entities,tracked", [(60, 20), (2000, 100), (5, 1000)])
+def test_sketched_heavy_hitters_are_the_exact_ones(spark, entities, tracked):
+    # Flat windows, in which no entity stands out, and one with ten heavy ones.
+    flows = [(i % 60, "r", "s", f"d{i % entities}", 80, "TCP", 1, 1, "") for i in range(4000)]
+    flows += [(60 + i % 60, "r", "s", f"d{i % 10 if i % 2 else i % entities}", 80, "TCP", 1, 1, "")
+              for i in range(4000)]
     df = frame(spark, flows)
-    counts = ranking.count_per_window(df, ["dst_ip"], "1 minute")
-    # Far fewer counters than destinations, so that they must collide.
-    for width, exact in ((8, False), (4096, True)):
-        sketch = ranking.count_min(df, depth=3, width=width)
-        assert sketch.count() <= 3 * width
-        estimates = ranking.count_min_estimate(sketch, counts, depth=3, width=width)
-        joined = counts.join(estimates, ["window", "dst_ip"]).collect()
-        assert len(joined) == counts.count()
-        assert all(r.estimated_flows >= r.flow_count for r in joined)
-        assert all(r.estimated_flows == r.flow_count for r in joined) is exact
+    got = ranking.heavy_hitters_approx(df, k=10, tracked=tracked)
+    want = ranking.heavy_hitters(df, k=10)
+    columns = ["window", "dst_ip", "flow_count", "rank"]
+    assert sorted(map(str, got.select(columns).collect())) == sorted(
+        map(str, want.select(columns).collect()))
+    assert got.count() >= 2 * min(10, entities)
 
 
 def test_newest_rows(spark):

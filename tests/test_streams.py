@@ -1,6 +1,7 @@
 """The chained streams: equal to batch, late data, restarts, set-aside records."""
 
 import time
+from dataclasses import replace
 from datetime import timedelta
 
 import pytest
@@ -13,7 +14,7 @@ from flowlake.operators import rules
 from flowlake.operators.alerts import distinct_in_stream, first_per_entity
 from flowlake.operators.codec import decode, parse_flows
 from flowlake.operators.enrich import enrich, with_date
-from flowlake.operators.ranking import heavy_hitters_approx
+from flowlake.operators.ranking import heavy_hitters_sketched
 from flowlake.operators.rollup import DESTINATIONS, GOLD_ROLLUPS, rollup
 from flowlake.operators.views import ingest_stats
 from flowlake.sources.layers import inventory, read_layer
@@ -174,7 +175,7 @@ def test_all_streams_at_once_follow_each_other(spark, inbox, tmp_path, drop_file
             query.stop()
     assert sorted(r.flow_count for r in gold.collect()) == [5, 5, 5, 5]
     assert {q.name for q in queries} == {
-        "bronze", "quarantine", "silver", "gold_alerts", *(f"gold_{t}" for t in TABLES)}
+        "received", "bronze", "quarantine", "silver", "gold_alerts", *(f"gold_{t}" for t in TABLES)}
 
 
 def test_direct_streams_give_the_same_alerts(spark, inbox, tmp_path, drop_file):
@@ -239,6 +240,13 @@ def test_suppression_follows_the_stored_profile(spark, inbox, tmp_path, drop_fil
     got = {(r.entity, r.window_start.minute) for r in read_suppressed(spark, path).collect()}
     crowd = {(ip, m) for ip in flowgen.CROWD_TARGETS for m in range(3)}
     assert got == crowd | {("172.16.4.100", m) for m in range(6)}
+    # After the loss of the checkpoint nothing goes and nothing comes twice.
+    fresh = replace(lake.cfg, checkpoint_root=str(tmp_path / "fresh"))
+    before = sorted(map(str, read_suppressed(spark, path).drop("detected_at").collect()))
+    start_suppression(lake.session, fresh, rules.Rule(
+        "FAN_IN_DDOS", "destination_profile", "dst_ip", "unique_sources",
+        every=(rules.Above("unique_sources", 100),)), 60, path).awaitTermination()
+    assert sorted(map(str, read_suppressed(spark, path).drop("detected_at").collect())) == before
 
 
 def test_ingest_counters(spark, inbox, tmp_path, drop_file):
@@ -263,7 +271,7 @@ def test_heavy_hitters_run_on_a_stream(spark, inbox, tmp_path, drop_file):
     drop_file(inbox, "2.txt", flowgen.lines(minute(90, 1)))
     cfg = LakeConfig.under(str(tmp_path / "out"))
     session = streaming_session(spark, cfg)
-    top = heavy_hitters_approx(
+    top = heavy_hitters_sketched(
         parse_flows(open_stream(session, cfg, "text", str(inbox))), "dst_ip", "1 minute", 2)
     append_files(top, cfg.gold("top"), cfg.checkpoint("top"), trigger=None).awaitTermination()
     rows = spark.read.parquet(cfg.gold("top")).collect()
@@ -281,6 +289,11 @@ def test_configuration(spark):
     assert log_options(cfg) == {
         "kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "latest",
         "failOnDataLoss": "false"}
+    more = LakeConfig.from_env({"MAX_OFFSETS_PER_TRIGGER": "9", "MAX_FILES_PER_TRIGGER": "2",
+                                "SHUFFLE_PARTITIONS": "7", "SALTS": "4", "WINDOW": "5 minutes"})
+    assert (more.max_files, more.shuffle_partitions, more.salts, more.window) == (
+        2, 7, 4, "5 minutes")
+    assert log_options(more)["maxOffsetsPerTrigger"] == "9"
     with pytest.raises(ValueError):
         open_stream(spark, cfg, "socket")
 
@@ -291,6 +304,56 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert first != second and first.startswith(root)
 
 
+def test_a_set_number_of_partitions_is_obeyed(spark):
+    sibling = spark.newSession()
+    sibling.conf.set("spark.sql.shuffle.partitions", "37")
+    session = streaming_session(sibling, LakeConfig())
+    assert session.conf.get("spark.sql.shuffle.partitions") == "37"
+
+
+def test_bounded_batches_leave_nothing_out(spark, inbox, tmp_path, drop_file):
+    for number in range(4):
+        drop_file(inbox, f"{number}.txt", flowgen.lines(minute(number)) + [f"bad {number}"])
+    lake = text_lake(spark, inbox, tmp_path, max_files=1)
+    batches = lake.run_available("quarantine")
+    assert len(batches[0].recentProgress) >= 4 and len(batches) == 3
+    assert read_layer(spark, lake.cfg.bronze, FLOW).count() == 20
+    bad = read_layer(spark, lake.cfg.quarantine, QUARANTINE)
+    assert sorted(r.raw for r in bad.collect()) == [f"bad {n}" for n in range(4)]
+
+
+def test_salts_hold_for_every_standard_table(spark, inbox, tmp_path):
+    lake = text_lake(spark, inbox, tmp_path, distinct="approx", salts=4)
+    flows = parse_flows(flowgen.messages(spark, minute(0)))
+    for table in TABLES:
+        plan = lake.gold(table, flows)._jdf.queryExecution().optimizedPlan().toString()
+        assert "pmod" in plan or "salt" in plan, table
+
+
+def test_streams_and_tables_read_their_own_path_only(spark, tmp_path):
+    import shutil
+
+    import __spark_entry__ as entry
+
+    source = f"{tmp_path}/tables"
+    shutil.copytree("/root/testdata/sf0.001", source)
+    small = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    small.limit(50).toPandas().to_parquet(f"{source}/events.parquet_old")
+    before = entry.queries()["streaming_top_destinations"](spark, source)
+    assert before.agg(F.sum("flow_count")).first()[0] == 1000
+    # The table grows; a query called again sees all rows.
+    path = f"{source}/events.parquet"
+    assert entry.queries()["silver_daily_partitions"](spark, source).agg(
+        F.sum("flow_count")).first()[0] == 1000
+    grown = small.union(small.limit(50)).toPandas()
+    import os
+    os.chmod(path, 0o644)
+    grown.to_parquet(path, coerce_timestamps="us", allow_truncated_timestamps=True)
+    assert entry.queries()["enrich_flows"](spark, source).count() == 1050
+    assert entry.queries()["silver_daily_partitions"](spark, source).agg(
+        F.sum("flow_count")).first()[0] == 1050
+
+
 def test_streaming_settings_do_not_leak(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     session = streaming_session(spark, LakeConfig(shuffle_partitions=3))
