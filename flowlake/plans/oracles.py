@@ -137,6 +137,7 @@ def _fan_out(width: str) -> str:
 
 
 ALERTS = f"alerts AS ({_fan_in('10 days')} UNION ALL {_fan_out('10 days')})"
+# The bands of the severity labels.
 LABEL = (
     "CASE WHEN severity_score >= 0.8 THEN 'CRITICAL' WHEN severity_score >= 0.6 THEN 'HIGH' "
     "ELSE 'MEDIUM' END"
@@ -146,6 +147,8 @@ RECENT = (
     "(SELECT max(window_end) FROM alerts) - INTERVAL 15 DAYS)"
 )
 
+# Private address ranges, names of well-known ports. The limits and
+# scores of the rules above and below are those of ``operators/rules.py``.
 PRIVATE = "regexp_matches({0}, '^(10[.]|192[.]168[.]|172[.](1[6-9]|2[0-9]|3[01])[.])')"
 SUBNET = "regexp_extract({0}, '^([0-9]+[.][0-9]+[.][0-9]+)[.][0-9]+$', 1)"
 SERVICE = (
