@@ -174,6 +174,6 @@ def packed(pieces: DataFrame, length: int = 2048, open_bins: int = 256) -> DataF
             yield batch.assign(sequence_id=[base + b for b, _ in placed],
                                offset=[o for _, o in placed])
 
-    return (pieces.repartition("ids_crc32")
+    return (pieces.repartition("doc_id", "piece", "ids_crc32")
             .sortWithinPartitions("ids_crc32", "doc_id", "piece")
             .mapInPandas(pack, f"{schema},sequence_id:bigint,offset:bigint"))
