@@ -100,8 +100,9 @@ def dealt(lists: DataFrame, block: int) -> DataFrame:
     A list of ``g`` blocks gives each entry to the ``g`` block pairs it belongs to, so a task
     holds two blocks at most whatever the length of the list.
     """
-    sizes = lists.groupBy("posting").count().where("count > 1").select(
-        "posting", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    # Written, so that the join deals both sides out and can split a long list.
+    sizes = written(lists.groupBy("posting").count().where("count > 1").select(
+        "posting", F.ceil(F.col("count") / block).cast("int").alias("blocks")), "lists")
     own = F.pmod(F.xxhash64("simhash"), F.col("blocks")).cast("int")
     return (lists.join(sizes, "posting").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -195,9 +196,9 @@ def one_of_each(docs: DataFrame, distance: int = 4, shingle: int = 4,
     prints = written(
         fingerprints(marked.select("text", key, digest, F.col("doc_id").isNull().alias("no_id")),
                      shingle).select(key, digest, "no_id", "simhash"), "simhash")
-    chosen = (prints.join(members(prints, distance, width), "simhash").groupBy("root")
-              .agg(F.min(F.struct("no_id", key, digest)).alias("kept"))
-              .select(f"kept.{key}", f"kept.{digest}"))
+    first = prints.groupBy("simhash").agg(F.min(F.struct("no_id", key, digest)).alias("first"))
+    chosen = (first.join(members(prints, distance, width), "simhash").groupBy("root")
+              .agg(F.min("first").alias("kept")).select(f"kept.{key}", f"kept.{digest}"))
     turn = F.row_number().over(Window.partitionBy(key, digest).orderBy(key))
     return (marked.join(chosen, [key, digest], "left_semi")
             .withColumn("_near_turn", turn).where("_near_turn = 1")
