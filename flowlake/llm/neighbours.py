@@ -127,13 +127,21 @@ def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
             .select(F.col("ids")[0].alias("group"), "vector", "ids"))
 
 
-def forest_for(groups: DataFrame, trees: int, leaf: int, sample: int) -> Forest | None:
-    """A forest over a hash sample of at most ``sample`` vectors; None for an empty table."""
-    rows = (groups.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(sample)
-            .toPandas()["vector"])
-    if not len(rows):
+def forest_for(groups: DataFrame, total: int, trees: int, leaf: int,
+               sample: int) -> Forest | None:
+    """A forest over a hash sample of about ``sample`` of ``total`` vectors, or all of them.
+
+    None for an empty table.
+    """
+    if not total:
         return None
+    share = int(min(1.0, sample / total) * (1 << 20))
+    rows = (groups.where(F.pmod(F.xxhash64("vector"), F.lit(1 << 20)) < max(share, 1))
+            .select("vector").toPandas()["vector"])
+    if not len(rows):
+        rows = groups.select("vector").limit(1).toPandas()["vector"]
     matrix = np.vstack(rows.to_numpy())
+    matrix = matrix[np.lexsort(matrix.T)]  # the same forest whatever the order of the files
     return grow(matrix, trees, max(0, int(np.ceil(np.log2(max(1, len(matrix) / leaf))))))
 
 
@@ -181,12 +189,15 @@ def asked(groups: DataFrame, forest: Forest, leaves: int, slices: int) -> DataFr
             .select("tree", "leaf", "slice", F.lit(True).alias("asks"), "group", "vector"))
 
 
-def reranked(frame: pd.DataFrame, keys: list[str], most: int) -> list[tuple[int, int, float]]:
-    """Query group, member group and exact distance of the nearest members within each leaf."""
-    out: list[tuple[int, int, float]] = []
+def reranked(frame: pd.DataFrame, keys: list[str], most: int) -> pd.DataFrame:
+    """``asking, group, score``: the nearest members of each query in a frame's leaves, exactly.
+
+    The leaves of a frame are merged here, so that a query leaves ``most`` rows per frame.
+    """
     asks, group = frame["asks"].to_numpy(bool), frame["group"].to_numpy()
     vectors = np.vstack(frame["vector"].to_numpy())
     bounds = group_starts(frame, keys)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for a, b in zip(bounds, bounds[1:], strict=False):
         rows = np.arange(a, b)
         queries, members = rows[asks[a:b]], rows[~asks[a:b]]
@@ -195,12 +206,17 @@ def reranked(frame: pd.DataFrame, keys: list[str], most: int) -> list[tuple[int,
         for q in queries:
             difference = vectors[members] - vectors[q]
             distance = np.sqrt((difference * difference).sum(1))
-            near = (np.argpartition(distance, most - 1)[:most]
-                    if len(distance) > most else np.arange(len(distance)))
-            # Members as far as the last one taken tie with it.
-            near = np.flatnonzero(distance <= distance[near].max())
-            out += [(int(group[q]), int(group[members[i]]), float(distance[i])) for i in near]
-    return out
+            if len(distance) > most:  # and all that tie with the last one
+                near = np.flatnonzero(distance <= np.partition(distance, most - 1)[most - 1])
+            else:
+                near = np.arange(len(distance))
+            found.append((np.full(len(near), group[q]), group[members[near]], distance[near]))
+    if not found:
+        return pd.DataFrame({"asking": [], "group": [], "score": []})
+    asking, member, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    rows = pd.DataFrame({"asking": asking, "group": member, "score": score})
+    return (rows.sort_values(["asking", "score", "group"]).drop_duplicates()
+            .groupby("asking").head(most))
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
@@ -219,7 +235,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec
     asking = usable(queries, key, vector).where(F.size("vector") == width).distinct()
     asking_groups = asking.select("vector").distinct().join(groups, "vector")
     total = groups.count()
-    forest = forest_for(groups, trees, leaf, sample)
+    forest = forest_for(groups, total, trees, leaf, sample)
     schema = "asking long, group long, score double"
     if forest is None:
         found = groups.select(F.col("group").alias("asking"), "group",
@@ -231,9 +247,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec
         rows = routed(groups, forest, slices).union(asked(asking_groups, forest, leaves, slices))
 
         def rerank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in whole_groups(batches, keys, least=5000):
-                yield pd.DataFrame(reranked(frame, keys, k + 1),
-                                   columns=["asking", "group", "score"])
+            for frame in whole_groups(batches, keys):
+                yield reranked(frame, keys, k + 1)
 
         found = (rows.repartition(*keys).sortWithinPartitions(*keys)
                  .mapInPandas(rerank, schema).distinct())
