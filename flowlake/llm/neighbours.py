@@ -221,7 +221,7 @@ def reranked(frame: pd.DataFrame, keys: list[str], most: int) -> pd.DataFrame:
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
             vector: str = "embedding", trees: int = 8, leaf: int = 128, share: float = 0.1,
-            least: int = 12_000, sample: int = 50_000) -> DataFrame:
+            least: int = 12_000, sample: int = 20_000) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query, itself excluded.
 
     ``queries`` has the same columns as ``vectors``. A query looks at leaves until they hold
