@@ -140,15 +140,34 @@ def counted(texts: DataFrame) -> DataFrame:
                    .groupBy("word").agg(F.sum("count").alias("count")), "words")
 
 
+def most_frequent(counts: DataFrame) -> pd.DataFrame:
+    """At most ``TOP_WORDS`` short words, more frequent ones first.
+
+    Words are taken by whole classes of counts, a sixteenth of a power of two
+    wide, so that the driver receives the classes' sizes and those words alone.
+    """
+    level = F.floor(F.log2("count") * 16).cast("int")
+    short = counts.where((F.octet_length("word") <= LONGEST_TOP)
+                         & (F.octet_length("word") > 0)).withColumn("level", level)
+    sizes = sorted((r[0], r[1]) for r in short.groupBy("level").count().collect())[::-1]
+    total, least = 0, None
+    for at, size in sizes:
+        total += size
+        if total > TOP_WORDS:
+            break
+        least = at
+    if least is None:
+        return pd.DataFrame({"word": [], "count": []})
+    return (short.where(F.col("level") >= least).select("word", "count").toPandas()
+            .sort_values(["count", "word"], ascending=[False, True]))
+
+
 def frequent(counts: DataFrame) -> Words:
     """The bounded broadcast part of the counts, and the totals of all words by output."""
-    top = (counts.where(F.octet_length("word") <= LONGEST_TOP)
-           .orderBy(F.desc("count"), "word").limit(TOP_WORDS).toPandas())
-    top = top[top["word"] != END]
     ends = counts.where(F.octet_length("word") == 0).toPandas()
-    top = pd.concat([ends, top], ignore_index=True)  # the end is always the first output
+    # The end is always the first output.
+    top = pd.concat([ends, most_frequent(counts)], ignore_index=True)
     names = [bytes(w) for w in top["word"]]
-    single = set(names[:SINGLES])
     shared = counts.sparkSession.sparkContext.broadcast(
         {w: i for i, w in enumerate(names[:SINGLES])})
 
@@ -167,7 +186,6 @@ def frequent(counts: DataFrame) -> Words:
     tokens, distinct = np.zeros(SINGLES + GROUPS, np.int64), np.zeros(SINGLES + GROUPS, np.int64)
     if len(sums):
         tokens[sums[:, 0]], distinct[sums[:, 0]] = sums[:, 1], sums[:, 2]
-    assert len(single) == len(names[:SINGLES])
     return Words(names, top["count"].to_numpy(np.int64), int(tokens.sum()), int(distinct.sum()),
                  tokens, distinct)
 
