@@ -39,9 +39,9 @@ from flowlake.llm.common import group_starts, text_bytes, whole_groups, written
 #: Long enough not to occur twice by chance in prose; a multiple of 8.
 GRAM = 32
 #: Bytes hashed at once; a packed position has this many values.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Distinct contents of one minimizer that one block may hold.
-GROUP_LIMIT = 2500
+GROUP_LIMIT = 1500
 LOW = np.uint64(CHUNK - 1)
 MULTIPLIERS = tuple(np.uint64(x) for x in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -183,6 +183,7 @@ def shared_prefix_groups(symbols: np.ndarray, least: int) -> tuple[np.ndarray, n
     symbol = symbols[order - 1]  # the transform
     unknown = np.ones(n + 1, bool)
     unknown[[0, n]] = False
+    marked, owner_at = np.zeros(n, bool), np.zeros(n, np.int32)
     low, high = np.array([0]), np.array([n - 1])
     for _ in range(least):
         sizes = high - low + 1
@@ -193,8 +194,15 @@ def shared_prefix_groups(symbols: np.ndarray, least: int) -> tuple[np.ndarray, n
         if not len(inside):
             break
         longer = before[inside]
-        by = np.argsort(longer)
-        longer, owner, via = longer[by], owner[by], symbol[inside][by]
+        if len(longer) > n // 64:  # in order by a scan over all ranks
+            marked[longer], owner_at[longer] = True, owner
+            longer = np.flatnonzero(marked)
+            owner = owner_at[longer]
+            marked[longer] = False
+        else:
+            by = np.argsort(longer)
+            longer, owner = longer[by], owner[by]
+        via = symbols[order[longer]]
         cut = np.flatnonzero((longer[1:] != longer[:-1] + 1) | (owner[1:] != owner[:-1])
                              | (via[1:] != via[:-1]))
         low, high = longer[np.append(0, cut + 1)], longer[np.append(cut, len(longer) - 1)]
@@ -335,17 +343,18 @@ def settled(segments: DataFrame, least: int, widths: tuple[int, ...] = (16, 1))
 def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
     """``key, hash, start, windows``: stretches of starts whose windows start elsewhere too."""
     runs = runs_of(texts, least)
+    # Written, so that the joins below deal both sides out and split a common minimizer.
     shared = (runs.groupBy("minimizer")
               .agg(F.count("*").alias("n"), F.min("content").alias("lo"),
                    F.max("content").alias("hi"))
               .where("n > 1").select("minimizer", (F.col("lo") != F.col("hi")).alias("mixed")))
-    runs = written(runs.join(shared, "minimizer"), "runs")
+    runs = written(runs.join(written(shared, "shared"), "minimizer"), "runs")
     mixed = runs.where("mixed")
     contents = mixed.groupBy("minimizer", "content", "windows").agg(
         F.count("*").alias("copies"), F.min(F.struct("key", "hash", "start")).alias("first"))
     contents = written(contents.select("minimizer", "content", "windows", "copies", "first.*"),
                        "contents")
-    crowd = contents.groupBy("minimizer").agg(F.count("*").alias("crowd"))
+    crowd = written(contents.groupBy("minimizer").agg(F.count("*").alias("crowd")), "crowd")
     wanted = (contents.join(crowd, "minimizer").groupBy("key", "hash").agg(F.collect_list(
         F.struct("minimizer", "content", "windows", "copies", "start", "crowd")).alias("wanted")))
     cut = F.expr(f"substring(body, cast(want.start as int) + 1, want.windows + {least - 1})")
