@@ -341,7 +341,10 @@ def settled(segments: DataFrame, least: int, widths: tuple[int, ...] = (16, 1))
 
 
 def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
-    """``key, hash, start, windows``: stretches of starts whose windows start elsewhere too."""
+    """``key, hash, start, windows``: stretches of starts whose windows start elsewhere too.
+
+    Rows of equal key and hash have equal runs; each stretch is given once for all of them.
+    """
     runs = runs_of(texts, least)
     # Written, so that the joins below deal both sides out and split a common minimizer.
     shared = (runs.groupBy("minimizer")
@@ -367,7 +370,8 @@ def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
     return (mixed.join(part, ["minimizer", "content"])
             .select("key", "hash", (F.col("start") + F.col("at")).alias("start"),
                     F.col("found").alias("windows"))
-            .union(runs.where("not mixed").select("key", "hash", "start", "windows")))
+            .union(runs.where("not mixed").select("key", "hash", "start", "windows"))
+            .distinct())
 
 
 def cut_out(body: bytes, found, least: int) -> tuple[bytes, list[tuple[int, int]]]:

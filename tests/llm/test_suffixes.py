@@ -88,3 +88,21 @@ def test_empty_cases(spark):
     got = suffixes.without_repeats(rows).collect()
     assert sorted(len(r["kept"]) for r in got) == [0, 0, 0, 0, 150]
     assert suffixes.without_repeats(rows.limit(0)).count() == 0
+
+
+def test_equal_rows_share_one_list_of_starts(spark):
+    pick = random.Random(5)
+    texts = [" ".join("".join(pick.choices("abcde", k=6)) for _ in range(300)) for _ in range(2)]
+    texts.append(texts[1][:900] + "other")  # A mixed minimizer.
+
+    def stretches_of(copies):
+        rows = helpers.docs(spark, [texts[0]] * copies + [texts[1]] * copies + texts[2:],
+                            [7] * copies + [None] * copies + [8])
+        found = suffixes.repeated_starts(suffixes.keyed(rows), 200).collect()
+        return rows, Counter(tuple(r) for r in found)
+
+    _, few = stretches_of(2)
+    rows, many = stretches_of(30)
+    assert many == few and set(many.values()) == {1}
+    kept = [bytes(r["kept"]) for r in suffixes.without_repeats(rows).collect()]
+    assert sorted(kept) == [b""] * 60 + [b"other"]
