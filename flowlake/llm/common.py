@@ -37,6 +37,11 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
 
 
+def smallest_text(name: str = "text") -> Column:
+    """Of a group's texts the one with the smallest hash."""
+    return F.min_by(name, F.struct(F.xxhash64(name), name))
+
+
 def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str],
                  least: int = 20_000) -> Iterator[pd.DataFrame]:
     """Regroup batches that are sorted by ``keys`` so that no group is split.

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlake.llm.common import smallest_text
+
 BITS = 14
 LENGTHS = (1, 2, 3)
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -104,19 +106,22 @@ def training_sample(docs: DataFrame, per_language: int = 150,
                     max_chars: int = 20_000) -> tuple[list[str], list[str]]:
     """Up to ``per_language`` texts of each language, chosen by a hash of the id.
 
-    Texts longer than ``max_chars`` are not sampled; both bounds keep the fit on one machine.
+    Texts longer than ``max_chars`` are not sampled; both bounds keep the fit on one machine. An
+    id takes one place of a language, a null id none; of several texts of one id the one with the
+    smallest hash is sampled.
     """
     rows = docs.where(F.col("lang").isNotNull() & (F.length("text") <= max_chars))
     order = F.xxhash64("doc_id", F.lit(29))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("o", "doc_id"))
-    ids = (rows.select("doc_id", "lang", order.alias("o")).withColumn("turn", turn)
+    ids = (rows.where("doc_id is not null").select("doc_id", "lang").distinct()
+           .withColumn("o", order).withColumn("turn", turn)
            .where(F.col("turn") <= per_language)
            .select(F.col("doc_id").alias("sample_id"), F.col("lang").alias("sample_lang"), "o"))
     sample = rows.join(F.broadcast(ids), (F.col("doc_id") == F.col("sample_id"))
                        & (F.col("lang") == F.col("sample_lang")))
-    found = sample.select("o", "lang", "text").toPandas().sort_values(["o", "text"])
-    found = found.drop_duplicates()
-    return found["text"].tolist(), found["lang"].tolist()
+    found = (sample.groupBy("o", "sample_id", "sample_lang").agg(smallest_text().alias("text"))
+             .toPandas().sort_values(["o", "sample_id", "sample_lang"]))
+    return found["text"].tolist(), found["sample_lang"].tolist()
 
 
 def predicted(docs: DataFrame, model: KernelModel | None) -> DataFrame:

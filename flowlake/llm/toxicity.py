@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.llm.common import smallest_text
+
 SENTENCE = re.compile(r"[^.!?\n]*\w[^.!?\n]*")
 WORD = re.compile(r"\w+")
 PREFIXES = (4, 5)
@@ -151,7 +153,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = 1500,
                     max_chars: int = 60_000) -> tuple[list[str], np.ndarray]:
     """Up to ``per_class`` labelled texts of each label, chosen by a hash of the id.
 
-    Texts longer than ``max_chars`` are not sampled; both bounds keep the fit on one machine.
+    Texts longer than ``max_chars`` are not sampled; both bounds keep the fit on one machine. Of
+    several texts of one id the one with the smallest hash is sampled.
     """
     ids = (labels.where("doc_id is not null and toxic is not null")
            .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
@@ -165,8 +168,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = 1500,
     rows = (docs.select("doc_id", "text")
             .where(F.length("text") <= max_chars)
             .join(F.broadcast(chosen), F.col("doc_id") == F.col("sample_id"))
-            .select("sample_id", "text", "toxic").toPandas()
-            .sort_values(["sample_id", "text"]))
+            .groupBy("sample_id", "toxic").agg(smallest_text().alias("text")).toPandas()
+            .sort_values("sample_id"))
     return rows["text"].tolist(), rows["toxic"].to_numpy()
 
 

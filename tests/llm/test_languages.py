@@ -55,3 +55,12 @@ def test_empty_cases(spark):
     assert nothing is None
     assert {r["language"]["lang_pred"] for r in languages.predicted(rows, nothing).collect()} == {"und"}
     assert languages.predicted(rows.limit(0), model).count() == 0
+
+
+def test_a_repeated_id_takes_one_place_of_the_sample(spark):
+    ids = [i for i in (*range(8), None) for _ in range(5)]
+    rows = helpers.docs(spark, [f"{i} text {k % 5 // 2}" for k, i in enumerate(ids)], ids)
+    texts, names = languages.training_sample(rows, per_language=6)
+    assert len({t.split()[0] for t in texts}) == len(texts) == 6 and set(names) == {"en"}
+    again = languages.training_sample(rows.orderBy(rows.text.desc()), per_language=6)
+    assert again[0] == texts

@@ -54,3 +54,13 @@ def test_held_out_documents(spark):
         assert r.predicted == (r.score >= 0.3) and 0 <= r.score <= 1
     held = [(labels[i], r.predicted) for i, r in got.items() if r.held_out and i in labels]
     assert sum(a == b for a, b in held) / len(held) >= 0.95
+
+
+def test_a_repeated_id_takes_one_place_of_the_sample(spark):
+    ids = [i for i in (*range(8), None) for _ in range(5)]
+    rows = helpers.docs(spark, [f"{i} text {k % 5 // 2}" for k, i in enumerate(ids)], ids)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)] * 2, "doc_id long, toxic int")
+    texts, toxic = toxicity.training_sample(rows, labels, per_class=3)
+    assert len({t.split()[0] for t in texts}) == len(texts) == 6 and toxic.sum() == 3
+    again = toxicity.training_sample(rows.orderBy(rows.text.desc()), labels, per_class=3)
+    assert again[0] == texts
