@@ -8,7 +8,7 @@ bit-parallel algorithm.
 
 Defined results: null and empty texts hold nothing; null and empty items are found nowhere;
 items shorter than ``per_error`` must occur unchanged; equal items are reported under each of
-their ids; repeated rows are searched one by one; of several occurrences in a text the closest,
+their ids, repeated item rows once; repeated rows are searched one by one; of several occurrences in a text the closest,
 then the first counts. Columns other than ids and texts are not read.
 """
 
@@ -16,12 +16,15 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.llm.common import written
+
 #: Bytes of test items that one pass over the texts searches for.
 BLOCK_BYTES = 4 << 20
 MATCH = "array<struct<item_id:long,start:long,end:long,distance:int>>"
@@ -118,15 +121,14 @@ class Items:
         return sorted(found)
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``block_bytes``, so that each block can be broadcast."""
+def item_blocks(benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
+    """The distinct items in blocks of about ``block_bytes``, so that each can be broadcast."""
     items = benchmark.select(F.col("item_id").cast("long"), "text").where(
-        "item_id is not null and text is not null")
+        "item_id is not null and text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes)
-    for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        yield [tuple(r) for r in part.orderBy("item_id", "text").collect()]
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    return [items.where(part == k).orderBy("item_id", "text") for k in range(blocks)]
 
 
 def searcher(shared):
@@ -143,8 +145,29 @@ def searcher(shared):
 
 def matched(docs: DataFrame, benchmark: DataFrame, per_error: int = 16,
             block_bytes: int = BLOCK_BYTES, column: str = "matches") -> DataFrame:
-    """``docs`` with the items found in each text; an empty array if none is."""
+    """``docs`` with the items found in each text; an empty array if none is.
+
+    Several blocks are searched one after the other, so that only one is in memory; the matches
+    of each are written under a digest of the text and joined at the end.
+    """
     context = docs.sparkSession.sparkContext
-    found = [searcher(context.broadcast((rows, per_error)))("text")
-             for rows in item_blocks(benchmark, block_bytes)]
-    return docs.withColumn(column, F.concat(F.expr("array()").cast(MATCH), *found))
+    none = F.expr("array()").cast(MATCH)
+    blocks = item_blocks(benchmark, block_bytes)
+
+    def shared(block: DataFrame):
+        return context.broadcast(([tuple(r) for r in block.collect()], per_error))
+
+    if len(blocks) < 2:
+        return docs.withColumn(column, searcher(shared(blocks[0]))("text") if blocks else none)
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    passes = []
+    for block in blocks:
+        items = shared(block)
+        found = docs.select(digest.alias("_digest"), searcher(items)("text").alias("_found"))
+        passes.append(written(found.where(F.size("_found") > 0).dropDuplicates(["_digest"]),
+                              "matches"))
+        items.destroy()
+    found = reduce(DataFrame.union, passes).groupBy("_digest").agg(
+        F.sort_array(F.flatten(F.collect_list("_found"))).alias("_found"))
+    return (docs.withColumn("_digest", digest).join(found, "_digest", "left")
+            .withColumn(column, F.coalesce("_found", none)).drop("_digest", "_found"))

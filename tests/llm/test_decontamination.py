@@ -68,3 +68,33 @@ def test_query_finds_exact_copies_and_little_else(spark):
         where contains(d.text, b.text)"""))
     assert {k for k, d in got.items() if d == 0} >= exact and len(exact) > 10
     assert len(got) <= 1.2 * len(exact)
+
+
+def test_one_block_is_in_memory_at_a_time(spark, monkeypatch):
+    context, shared, most = type(spark.sparkContext), set(), [0]
+    broadcast = context.broadcast
+
+    def counted(self, value):
+        made = broadcast(self, value)
+        destroy = made.destroy
+        shared.add(id(made))
+        most[0] = max(most[0], len(shared))
+        made.destroy = lambda *a: (shared.discard(id(made)), destroy(*a))
+        return made
+
+    passages = [f"passage {i} of its own, number {i * 7919} in the list" for i in range(12)]
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(passages)] * 20,
+                                  "item_id long, text string")
+    rows = helpers.docs(spark, [None, "", "nothing", *passages, " and ".join(passages)],
+                        [None, 1, 2, *range(100, 113)])
+
+    def found(block):
+        got = dc.matched(rows.union(rows), items, 50, block)
+        assert got.columns == rows.columns
+        return sorted((r.doc_id or 0, [tuple(m) for m in r.matches]) for r in got.collect())
+
+    whole = found(1 << 20)
+    assert sum(len(m) for _, m in whole) == 2 * (12 + 12)
+    monkeypatch.setattr(context, "broadcast", counted)
+    assert len(dc.item_blocks(items, 150)) < 8
+    assert found(150) == whole and most[0] == 1
