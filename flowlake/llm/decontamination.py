@@ -6,17 +6,20 @@ Cut into one piece more than that budget, at least one piece of the item must oc
 an automaton over all pieces finds these hits, and the text around each is verified with Myers'
 bit-parallel algorithm.
 
-Defined results: null and empty texts hold nothing; null and empty items are found nowhere;
+Defined results: null and empty texts hold nothing; items with a null or empty text are found
+nowhere; items with a null id are reported under a null id;
 items shorter than ``per_error`` must occur unchanged; equal items are reported under each of
-their ids, repeated item rows once; repeated rows are searched one by one; of several occurrences in a text the closest,
-then the first counts. Columns other than ids and texts are not read.
+their ids, repeated item rows once; repeated rows are searched one by one; of overlapping occurrences in a text the closest,
+then the first counts, and all that do not overlap are reported. Columns other than ids and texts are not read.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from heapq import heappop, heappush
 
 import ahocorasick
 import pandas as pd
@@ -70,8 +73,8 @@ def closest(pattern: dict[str, int], n: int, text: str) -> tuple[int, int]:
 class Items:
     """Test items and the automaton over their pieces."""
 
-    def __init__(self, rows: list[tuple[int, str]], per_error: int):
-        self.ids: dict[str, list[int]] = defaultdict(list)
+    def __init__(self, rows: list[tuple[int | None, str]], per_error: int):
+        self.ids: dict[str, list[int | None]] = defaultdict(list)
         for item_id, text in rows:
             if text := normal(text):
                 self.ids[text].append(item_id)
@@ -90,8 +93,17 @@ class Items:
         if pieces:
             self.finder.make_automaton()
 
-    def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """``item_id, start, end, distance`` in the normalised text, by item."""
+    def find(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
+        """The closest, then first place of each item, as ``occurrences`` gives them."""
+        best: dict[int | None, tuple] = {}
+        for match in self.occurrences(text):
+            held = best.setdefault(match[0], match)
+            if match[3] < held[3]:
+                best[match[0]] = match
+        return list(best.values())
+
+    def occurrences(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
+        """``item_id, start, end, distance`` in the normalised text, by item, null ids last."""
         text = normal(text)
         if not text or not self.texts:
             return []
@@ -102,29 +114,66 @@ class Items:
         found = []
         for number, guesses in starts.items():
             errors, n = self.budget[number], len(self.texts[number])
-            best = None
+            parts = []
             done = -1
             for guess in sorted(guesses):
                 # One look covers all hits that would begin within the budget of each other.
                 if guess <= done:
                     continue
                 done = guess + errors
-                low = max(0, guess - errors)
-                around = text[low:guess + n + 2 * errors]
-                distance, end = closest(self.forward[number], n, around)
-                if distance <= errors and (best is None or distance < best[2]):
-                    back = around[max(0, end - n - errors):end][::-1]
-                    _, length = closest(self.backward[number], n, back)
-                    best = (low + end - length, low + end, distance)
-            if best:
-                found += [(i, *best) for i in self.ids[self.texts[number]]]
-        return sorted(found)
+                parts.append((max(0, guess - errors), min(len(text), guess + n + 2 * errors)))
+            places = self.disjoint(number, text, parts)
+            found += [(i, *p) for i in self.ids[self.texts[number]] for p in places]
+        return sorted(found, key=lambda m: (m[0] is None, m[0] or 0, m[1:]))
+
+    def nearest(self, number: int, text: str, low: int, high: int) -> tuple | None:
+        """``distance, start, end`` of the item's closest place in a part of the text."""
+        errors, n = self.budget[number], len(self.texts[number])
+        if high - low < n - errors:
+            return None
+        around = text[low:high]
+        distance, end = closest(self.forward[number], n, around)
+        if distance > errors:
+            return None
+        back = around[max(0, end - n - errors):end][::-1]
+        _, length = closest(self.backward[number], n, back)
+        return distance, low + end - length, low + end
+
+    def disjoint(self, number: int, text: str,
+                 parts: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """``start, end, distance`` of places that do not overlap, closer and earlier ones first
+        chosen; any other place within the budget overlaps one of them."""
+        waiting: list[tuple] = []
+        firsts: list[int] = []
+        taken: list[tuple[int, int, int]] = []
+
+        def look(low: int, high: int) -> None:
+            if place := self.nearest(number, text, low, high):
+                heappush(waiting, (*place, low, high))
+
+        for low, high in parts:
+            look(low, high)
+        while waiting:
+            distance, start, end, low, high = heappop(waiting)
+            at = bisect_left(firsts, end)
+            if not at or taken[at - 1][1] <= start:
+                firsts.insert(at, start)
+                taken.insert(at, (start, end, distance))
+            # What is free of this part may hold further places.
+            k = max(0, bisect_left(firsts, low) - 1)
+            while k < len(taken) and taken[k][0] < high:
+                if taken[k][1] > low:
+                    look(low, taken[k][0])
+                    low = taken[k][1]
+                k += 1
+            look(low, high)
+        return taken
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
     """The distinct items in blocks of about ``block_bytes``, so that each can be broadcast."""
     items = benchmark.select(F.col("item_id").cast("long"), "text").where(
-        "item_id is not null and text is not null").distinct()
+        "text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes)
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
@@ -138,7 +187,7 @@ def searcher(shared):
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         items = Items(*shared.value)
         for texts in batches:
-            yield pd.Series([items.find(t) for t in texts])
+            yield pd.Series([items.occurrences(t) for t in texts])
 
     return find
 

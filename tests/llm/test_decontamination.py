@@ -98,3 +98,39 @@ def test_one_block_is_in_memory_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(context, "broadcast", counted)
     assert len(dc.item_blocks(items, 150)) < 8
     assert found(150) == whole and most[0] == 1
+
+
+def test_all_disjoint_places_are_given():
+    pick = random.Random(4)
+    several = 0
+    for trial in range(300):
+        per = pick.choice([2, 3, 8])
+        item = "".join(pick.choices("abcd", k=pick.randrange(2, 12))) if trial else "aa"
+        copies = [item.replace(pick.choice(item), pick.choice("xa"), 1) if pick.random() < 0.4
+                  else item for _ in range(pick.randrange(6))]
+        text = "".join(c + "".join(pick.choices("abcd", k=pick.randrange(12))) for c in copies)
+        found = dc.Items([(1, item), (None, item)], per).occurrences(text)
+        assert [m[0] for m in found] == [1] * (len(found) // 2) + [None] * (len(found) // 2)
+        places = [m[1:] for m in found[:len(found) // 2]]
+        assert [m[1:] for m in found[len(found) // 2:]] == places
+        assert all(a[1] <= b[0] for a, b in zip(places, places[1:], strict=False))
+        for start, end, distance in places:
+            assert distance == plain(item, text[start:end])[0] <= len(item) // per
+        # Nothing that could be found is left between the places.
+        edges = [0, *(x for p in places for x in p[:2]), len(text)]
+        for a, b in zip(edges[::2], edges[1::2], strict=True):
+            assert plain(item, text[a:b])[0] > len(item) // per
+        several += len(places) > 1
+    assert several > 100
+
+
+def test_further_copies_and_items_without_an_id(spark):
+    passage, other = "a passage of the benchmark, here again", "and one that has no id of its own"
+    items = spark.createDataFrame([(1, passage), (None, other)], "item_id long, text string")
+    rows = helpers.docs(spark, [f"{passage} twice: {passage}.", f"see {other}", "nothing"])
+    got = {r.doc_id: r.matches for r in dc.matched(rows, items, 12).collect()}
+    assert [(m.item_id, m.start, m.distance) for m in got[0]] == [
+        (1, 0, 0), (1, len(passage) + 8, 0)]
+    assert [(m.item_id, m.start) for m in got[1]] == [(None, 4)] and not got[2]
+    parted = {r.doc_id: r.matches for r in dc.matched(rows, items, 12, 20).collect()}
+    assert parted == got
