@@ -16,13 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, max_rows: int = 0) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
-    A lost executor then costs the tasks it ran, not the steps before.
+    A lost executor then costs the tasks it ran, not the steps before. Files hold at most
+    ``max_rows`` rows; 0 sets no bound.
     """
     path = shared_folder(df.sparkSession, f"llm-{purpose}")
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", max_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

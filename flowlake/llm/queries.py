@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.llm import (
-    decontamination, language_model, languages, neighbours, packing, simhash, suffixes, toxicity,
-    url_filter, warc,
+    decontamination, divergence, language_model, languages, neighbours, packing, sharding, simhash,
+    suffixes, toxicity, url_filter, warc, whitening,
 )
 from flowlake.llm.common import crc_remainder, table
 
@@ -18,6 +18,8 @@ LEAST_REPEAT = 200
 SEQUENCE_LENGTH = 2048
 #: Characters of a benchmark item for each edit that a copy of it may have.
 BENCHMARK_PER_ERROR = 12
+SHARDS = 40
+COMPONENTS = 32
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -123,6 +125,23 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and place of every document; counts of shards are at most one apart."""
+    found = sharding.sharded(table(spark, sf_dir, "documents"), SHARDS)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
+                        "slot", F.lit(None).cast("int").alias("grown_shard"), "home")
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are from each other, and by which terms."""
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector, and how well they are whitened."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), COMPONENTS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_toxicity": op2_toxicity,
@@ -134,4 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_languages": op9_languages,
     "op10_suffixes": op10_suffixes,
+    "op11_sharding": op11_sharding,
+    "op12_divergence": op12_divergence,
+    "op13_whitening": op13_whitening,
 }
