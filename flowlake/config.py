@@ -127,6 +127,25 @@ class LakeConfig:
     def quarantine(self) -> str:
         return f"{self.bronze}_quarantine"
 
+    @property
+    def batches(self) -> str:
+        return self.gold("stream_batches")
+
+    @property
+    def latency(self) -> str:
+        return self.gold("alert_latency")
+
+    @property
+    def late(self) -> str:
+        return f"{self.silver}_late"
+
+    @property
+    def frontier(self) -> str:
+        return f"{self.checkpoint_root}/corrections_frontier"
+
+    def corrections(self, table: str) -> str:
+        return self.gold(f"{table}_corrections")
+
     def gold(self, table: str) -> str:
         return f"{self.gold_root}/{table}"
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql.types import StructType
 
 
-def _columns(**types: str) -> StructType:
+def of_types(**types: str) -> StructType:
     schema = StructType()
     for name, type_name in types.items():
         schema = schema.add(name, type_name)
@@ -16,10 +16,10 @@ def _columns(**types: str) -> StructType:
 
 
 def _with(base: StructType, **types: str) -> StructType:
-    return StructType(base.fields + _columns(**types).fields)
+    return StructType(base.fields + of_types(**types).fields)
 
 
-FLOW = _columns(
+FLOW = of_types(
     ts="timestamp",
     router_id="string",
     src_ip="string",
@@ -43,11 +43,11 @@ SILVER = _with(
     date="date",
 )
 
-MESSAGE = _columns(value="string", timestamp="timestamp")
+MESSAGE = of_types(value="string", timestamp="timestamp")
 
-QUARANTINE = _columns(raw="string")
+QUARANTINE = of_types(raw="string")
 
-WINDOW = _columns(start="timestamp", end="timestamp")
+WINDOW = of_types(start="timestamp", end="timestamp")
 
 
 def _gold(key: str, *counts: str) -> StructType:
@@ -60,6 +60,9 @@ def _gold(key: str, *counts: str) -> StructType:
     )
 
 
+#: Sums every pane carries.
+PANE_TRAFFIC = {"total_bytes": "long", "total_packets": "long", "flow_count": "long"}
+
 GOLD = {
     "top_destinations": _gold("dst_ip", "unique_sources"),
     "top_talkers": _gold("src_ip", "unique_destinations", "distinct_ports"),
@@ -67,9 +70,12 @@ GOLD = {
     "destination_profile": _gold("dst_ip", "tcp_flows", "syn_flows", "unique_sources"),
 }
 
+# Which addresses of a block occur, per window and destination.
+SOURCE_BITS = of_types(window=WINDOW, dst_ip="string", block="long", other="string", bits="binary")
+
 # For scan alerts ``unique_sources`` carries the number of distinct
 # destinations; the column name is part of the contract.
-ALERT = _columns(
+ALERT = of_types(
     window_start="timestamp",
     window_end="timestamp",
     alert_type="string",
@@ -84,7 +90,34 @@ ALERT = _columns(
 # A message as received: its text, and the flow fields decoded from it.
 RECEIVED = StructType(QUARANTINE.fields + FLOW.fields)
 
+# What a micro-batch of a stream did.
+BATCHES = of_types(
+    stream="string",
+    run_id="string",
+    batch_id="long",
+    trigger_time="timestamp",
+    input_rows="long",
+    written_rows="long",
+    first_time="timestamp",
+    last_time="timestamp",
+    duration_ms="long",
+    watermark="timestamp",
+    state_rows="long",
+    late_groups="long",
+)
+
+# Sketches of the seconds from event window to alert, one per batch and type.
+LATENCY = of_types(alert_type="string", latencies="binary")
+
+# The newest event time up to a batch, in microseconds.
+FRONTIER = of_types(newest="long")
+
 
 def dated(schema: StructType) -> StructType:
     """The schema of a layer stored by ``date``."""
     return _with(StructType([f for f in schema.fields if f.name != "date"]), date="date")
+
+
+def batched(schema: StructType) -> StructType:
+    """The schema of a table that keeps the rows of each micro-batch apart."""
+    return _with(schema, batch="integer")

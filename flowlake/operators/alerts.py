@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowlake.functions.severity import severity_label
 from flowlake.operators.rules import keep_matching
 
+
 def labelled(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("severity_label", severity_label())
 
@@ -109,3 +110,35 @@ def distinct_in_stream(alerts: DataFrame, horizon: str) -> DataFrame:
     return alerts.withWatermark("window_end", horizon).dropDuplicatesWithinWatermark(
         ["alert_type", "entity"]
     )
+
+
+def incidents(alerts: DataFrame, gap: str = "30 minutes", watermark: str = "2 minutes",
+              ) -> DataFrame:
+    """Alerts of one type and entity that follow each other within ``gap``, as one incident.
+
+    Batch or stream. Windows belong to one incident while each starts at most ``gap`` after the
+    one before; an alert that is delivered again counts once. On a stream an incident is opened
+    by its first alert, extended by others in whatever batch they come, joined with a neighbour
+    when one comes between them, and written when the watermark has passed its end. State is one
+    row per open incident and one per recent alert.
+    """
+    once = alerts.withWatermark("window_start", watermark).dropDuplicates(
+        ["window_start", "alert_type", "entity"])
+    return (
+        once.groupBy(F.session_window("window_start", gap), "alert_type", "entity")
+        .agg(
+            F.min("window_start").alias("incident_start"),
+            F.max("window_end").alias("incident_end"),
+            F.count(F.lit(1)).alias("windows"),
+            F.max("severity_score").alias("peak_severity"),
+            F.max("unique_sources").alias("peak_sources"),
+            F.sum("total_packets").alias("total_packets"),
+            F.sum("total_bytes").alias("total_bytes"),
+        )
+        .drop("session_window")
+    )
+
+
+def with_state(found: DataFrame, now: Column, gap: str = "30 minutes") -> DataFrame:
+    """Incidents with ``is_open``: whether an alert at ``now`` could still extend them (batch)."""
+    return found.withColumn("is_open", F.col("incident_end") + F.expr(f"INTERVAL {gap}") > now)

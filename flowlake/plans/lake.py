@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.config import LakeConfig, shared_folder
-from flowlake.model import ALERT, FLOW, GOLD, MESSAGE, SILVER
+from flowlake.model import ALERT, FLOW, GOLD, MESSAGE, SILVER, SOURCE_BITS
 from flowlake.operators.enrich import enrich, with_date
+from flowlake.operators.mergeable import PANES, address_bits, panes
 from flowlake.operators.rollup import GOLD_ROLLUPS, rollup
 from flowlake.operators.rules import STANDARD_RULES, detect_all
 from flowlake.sources.events import flows_of_events, messages_of_events
@@ -61,6 +62,17 @@ class EventLake:
             lambda: rollup(self.silver(), GOLD_ROLLUPS[table], window, distinct="exact"),
         )
 
+    def panes(self, table: str, window: str) -> DataFrame:
+        """A gold table that merges, see ``operators.mergeable``."""
+        path = self.cfg.gold(f"{table}_{window.replace(' ', '_')}")
+        return self._layer(
+            path, PANES[table].schema(), lambda: panes(self.silver(), PANES[table], window))
+
+    def source_bits(self, window: str) -> DataFrame:
+        path = self.cfg.gold(f"source_bits_{window.replace(' ', '_')}")
+        return self._layer(
+            path, SOURCE_BITS, lambda: address_bits(self.silver(), "dst_ip", "src_ip", window))
+
     def alerts(self, window: str) -> DataFrame:
         path = self.cfg.gold(f"alerts_{window.replace(' ', '_')}")
         return self._layer(

@@ -328,12 +328,96 @@ FROM (SELECT count(*) AS n FROM recent) LEFT JOIN (
 ORACLES |= {
     "heavy_hitters_approx": ORACLES["heavy_hitters"],
     "streaming_deduped_alerts": ORACLES["streaming_alerts"],
-    "streaming_health": _with(
-        "SELECT *, (epoch_us((SELECT max(ts) FROM flows)) - epoch_us(newest)) / 1e6 AS lag_seconds "
-        "FROM (" + "\nUNION ALL ".join(
-            f"SELECT '{layer}' AS layer, count(*) AS row_count, "
-            f"max({'ts' if layer in ('bronze', 'silver') else 'window_end'}) AS newest FROM {table}"
-            for layer, table in _LAYERS.items()) + ")", ALERTS),
     "streaming_suppressed_alerts": ORACLES["baseline_suppressed_alerts"],
     "streaming_quarantine": ORACLES["malformed_quarantine"],
 }
+
+# The streams' layers of flows also hold the flow, a year later, that closes all windows.
+_YEAR_LATER = "(SELECT max(ts) + INTERVAL 1 YEAR FROM flows)"
+ORACLES["streaming_health"] = _with(
+    f"SELECT *, (epoch_us({_YEAR_LATER}) - epoch_us(newest)) / 1e6 AS lag_seconds FROM ("
+    + "\nUNION ALL ".join(
+        f"SELECT '{layer}' AS layer, count(*) + 1 AS row_count, max(ts) + INTERVAL 1 YEAR AS newest "
+        f"FROM {table}" if table == "flows" else
+        f"SELECT '{layer}' AS layer, count(*) AS row_count, max(window_end) AS newest FROM {table}"
+        for layer, table in _LAYERS.items()) + ")", ALERTS)
+
+
+def _stream(name: str, read: str, table: str, time: str) -> str:
+    return (
+        f"SELECT '{name}' AS stream, CAST(({read}) AS BIGINT) AS input_rows, "
+        f"count(*) AS written_rows, min({time}) AS first_time, max({time}) AS last_time FROM {table}"
+    )
+
+
+_SENT = "(SELECT ts FROM flows UNION ALL SELECT max(ts) + INTERVAL 1 YEAR FROM flows)"
+_ALL_FLOWS = "SELECT count(*) + 1 FROM flows"
+ORACLES["streaming_metrics"] = _with(
+    "SELECT *, CAST(0 AS BIGINT) AS late_groups, TRUE AS is_timed FROM ("
+    + "\nUNION ALL ".join([
+        _stream("bronze", _ALL_FLOWS, _SENT, "ts"),
+        _stream("silver", _ALL_FLOWS, _SENT, "ts"),
+        *(_stream(f"gold_{table}", _ALL_FLOWS, _LAYERS[table], "window_start")
+          for table in ("top_destinations", "top_talkers", "router_summary")),
+        _stream("gold_alerts", "NULL", "alerts", "window_start"),
+    ]) + ")", ALERTS)
+
+_SENSITIVE = f"""sensitive AS (
+  SELECT window_start, window_end, 'FAN_IN_DDOS' AS alert_type, dst_ip AS entity,
+    CAST(CASE WHEN unique_sources > 500 THEN 1.0 WHEN unique_sources > 200 THEN 0.7 ELSE 0.4 END AS DOUBLE)
+      AS severity_score, unique_sources, total_packets, total_bytes
+  FROM ({_rollup("dst_ip", "1 day", SOURCES)})
+  WHERE unique_sources > 5 AND total_packets > 50
+)"""
+# Gaps and islands: an incident begins where the alert before is more than the gap away.
+_ISLANDS = """heard AS (SELECT * FROM sensitive WHERE day(window_start) % 5 <> 0),
+begun AS (
+  SELECT *, CASE WHEN lag(window_start) OVER run >= window_start - INTERVAL 36 HOURS THEN 0 ELSE 1 END
+    AS is_first
+  FROM heard WINDOW run AS (PARTITION BY alert_type, entity ORDER BY window_start)
+),
+numbered AS (
+  SELECT *, sum(is_first) OVER (PARTITION BY alert_type, entity ORDER BY window_start) AS island
+  FROM begun
+),
+incidents AS (
+  SELECT alert_type, entity, min(window_start) AS incident_start, max(window_end) AS incident_end,
+    count(*) AS windows, max(severity_score) AS peak_severity, max(unique_sources) AS peak_sources,
+    CAST(sum(total_packets) AS BIGINT) AS total_packets, CAST(sum(total_bytes) AS BIGINT) AS total_bytes
+  FROM numbered GROUP BY alert_type, entity, island
+)"""
+ORACLES |= {
+    "alert_incidents": _with(
+        "SELECT *, incident_end + INTERVAL 36 HOURS > (SELECT max(window_end) FROM heard) AS is_open "
+        "FROM incidents", _SENSITIVE, _ISLANDS),
+    "streaming_incidents": _with("SELECT * FROM incidents", _SENSITIVE, _ISLANDS),
+    "streaming_alert_latency": _with(
+        "SELECT alert_type, count(*) AS alerts, TRUE AS p50_within, TRUE AS p99_within "
+        "FROM sensitive GROUP BY alert_type", _SENSITIVE),
+    "streaming_late_corrected": ORACLES["top_destinations"],
+    "streaming_top_ports": ORACLES["router_top_ports"],
+    "streaming_bitmap_sources": ORACLES["exact_unique_sources"],
+    "gold_top_ports": ORACLES["router_top_ports"],
+    "bitmap_unique_sources": ORACLES["exact_unique_sources"],
+    "gold_sketch_rollup": _with(_rollup("dst_ip", "1 day", "TRUE AS within_bound")),
+    "gold_total_rollup": _with(
+        "SELECT * EXCLUDE (everything) FROM (" + _rollup(
+            "everything", "1 day", f"{SOURCES}, TRUE AS within_bound",
+            source="(SELECT *, 'all' AS everything FROM flows)") + ")"),
+    "shared_sources": _with("""
+SELECT a.day AS window_start, a.day + INTERVAL 1 DAY AS window_end, a.dst_ip AS dst_ip_a,
+  b.dst_ip AS dst_ip_b, count(*) FILTER (WHERE a.src_ip = b.src_ip) AS shared
+FROM watched a JOIN watched b ON a.day = b.day AND a.dst_ip < b.dst_ip
+GROUP BY 1, 2, 3, 4""", """watched AS (
+  SELECT DISTINCT date_trunc('day', ts) AS day, dst_ip, src_ip FROM flows
+  WHERE dst_ip IN ('172.16.4.100', '172.16.1.10', '172.16.1.20', '172.16.1.30'))"""),
+    "gold_heavy_hitters": _with(_top_per(
+        _rollup("dst_ip", "1 day", "count(*) AS flow_count, TRUE AS within_bound", traffic=False),
+        "window_start", "flow_count", "dst_ip", 4)),
+    "sliding_destinations": _with(f"""
+SELECT window_start, window_start + INTERVAL 6 HOURS AS window_end, dst_ip,
+  CAST(sum(bytes) AS BIGINT) AS total_bytes, CAST(sum(packets) AS BIGINT) AS total_packets,
+  count(*) AS flow_count, {SOURCES}
+FROM (SELECT *, {_bucket("1 hour")} - INTERVAL 1 HOUR * unnest(range(6)) AS window_start FROM flows)
+GROUP BY window_start, dst_ip"""),
+}

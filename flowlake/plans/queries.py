@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.config import LakeConfig, pinned, shared_folder
 from flowlake.functions.timing import flatten_window, zoneless
-from flowlake.model import ALERT, FLOW, GOLD, QUARANTINE
+from flowlake.model import ALERT, FLOW, GOLD, QUARANTINE, SILVER, SOURCE_BITS, dated
 from flowlake.operators import alerts as alert_views
-from flowlake.operators import baseline, codec, ranking, rules, screening, views
+from flowlake.operators import baseline, codec, mergeable, ranking, rules, screening, views
 from flowlake.operators.enrich import enrich, with_date
 from flowlake.operators.rollup import (
     DESTINATION_PROFILE,
@@ -23,10 +24,13 @@ from flowlake.operators.rollup import (
     rollup_widths,
 )
 from flowlake.plans.lake import EventLake, lake_of
-from flowlake.sources.events import flows_of_events, messages_of_events
+from flowlake.sources.events import FLOOD_TARGET, flows_of_events, messages_of_events
 from flowlake.sources.layers import inventory, read_layer
+from flowlake.sources.streams import follow_layer
+from flowlake.streaming import metrics
 from flowlake.streaming.health import layer_health
-from flowlake.streaming.medallion import Medallion
+from flowlake.streaming.late import read_corrected, start_corrections
+from flowlake.streaming.medallion import STANDARD_TABLES, Medallion
 from flowlake.streaming.sinks import append_files
 from flowlake.streaming.suppression import read_suppressed, start_suppression
 
@@ -37,6 +41,7 @@ REGISTRY: dict[str, Query] = {}
 ALERT_WINDOW = "10 days"
 PROFILE_WINDOW = "1 day"
 ROLLUP_WINDOW = "1 hour"
+INCIDENT_GAP = "36 hours"
 
 # A fan-in rule sensitive enough for one-day windows of small tables, so that
 # the crowd targets trip it and the baseline has something to judge.
@@ -298,6 +303,111 @@ def syn_ratio(spark, sf_dir):
     )
 
 
+# --- gold that merges ------------------------------------------------------------
+
+WATCHED = [FLOOD_TARGET, *(f"172.16.1.{host}" for host in (10, 20, 30))]
+
+
+def _destination_panes(spark, sf_dir) -> DataFrame:
+    return event_lake(spark, sf_dir).panes("destination_panes", ROLLUP_WINDOW)
+
+
+def _close(estimate: str, truth: str, share: float = 0.15) -> Column:
+    """Whether an estimate is within a share of the truth, or one off."""
+    return F.abs(F.col(estimate) - F.col(truth)) <= F.greatest(
+        F.lit(1), F.ceil(F.col(truth) * F.lit(share)))
+
+
+@register
+def gold_sketch_rollup(spark, sf_dir):
+    """Days from hourly panes: sums, and sources by union of sketches, against the exact ones."""
+    days = mergeable.estimates(
+        mergeable.merged(_destination_panes(spark, sf_dir), mergeable.DESTINATION_PANES, "1 day"),
+        mergeable.DESTINATION_PANES, sources="by_hll", source_set="by_theta")
+    exact = event_lake(spark, sf_dir).gold("top_destinations", PROFILE_WINDOW).select(
+        F.col("window").alias("_window"), F.col("dst_ip").alias("_key"), "unique_sources")
+    both = days.join(exact, F.col("window").eqNullSafe(F.col("_window"))
+                     & F.col("dst_ip").eqNullSafe(F.col("_key")))
+    return _flat(both.select(
+        "window", "dst_ip", "total_bytes", "total_packets", "flow_count",
+        (_close("by_hll", "unique_sources") & _close("by_theta", "unique_sources")).alias(
+            "within_bound")))
+
+
+@register
+def gold_total_rollup(spark, sf_dir):
+    """The panes without their key: traffic and sources of all targets together, per day."""
+    spec = mergeable.DESTINATION_PANES
+    days = mergeable.estimates(
+        mergeable.merged(_destination_panes(spark, sf_dir), spec, "1 day", keys=()),
+        spec, sources="by_hll", source_set="by_theta")
+    bits = event_lake(spark, sf_dir).source_bits(ROLLUP_WINDOW).withColumn("dst_ip", F.lit("all"))
+    exact = mergeable.counted_bits(mergeable.merged_bits(bits, "dst_ip", "1 day"), "dst_ip",
+                                   "unique_sources").select("window", "unique_sources")
+    return _flat(days.join(exact, "window").select(
+        "window", "total_bytes", "total_packets", "flow_count", "unique_sources",
+        (_close("by_hll", "unique_sources") & _close("by_theta", "unique_sources")).alias(
+            "within_bound")))
+
+
+@register
+def shared_sources(spark, sf_dir):
+    """Sources that each two watched targets share per day, by intersecting sketches."""
+    days = mergeable.merged(_destination_panes(spark, sf_dir), mergeable.DESTINATION_PANES, "1 day")
+    shared = mergeable.shared_values(days, "source_set", "dst_ip", WATCHED)
+    return _flat(shared.withColumn("shared", F.col("shared").cast("long")))
+
+
+@register
+def gold_top_ports(spark, sf_dir):
+    """Most used ports per router and day, from hourly states."""
+    days = mergeable.merged(event_lake(spark, sf_dir).panes("router_panes", ROLLUP_WINDOW),
+                            mergeable.ROUTER_PANES, PROFILE_WINDOW)
+    return _top_ports(days)
+
+
+def _top_ports(days: DataFrame) -> DataFrame:
+    top = mergeable.frequent(days, mergeable.ROUTER_PANES, "ports", 5)
+    return _flat(top.select("window", "router_id", "dst_port",
+                            F.col("item_count").alias("flow_count"), "rank"))
+
+
+@register
+def gold_heavy_hitters(spark, sf_dir):
+    """Targets of most flows per day over all routers, and whether counts keep to their bound."""
+    lake = event_lake(spark, sf_dir)
+    days = mergeable.merged(lake.panes("router_panes", ROLLUP_WINDOW), mergeable.ROUTER_PANES,
+                            PROFILE_WINDOW, keys=())
+    top = mergeable.frequent(days, mergeable.ROUTER_PANES, "targets", 4)
+    exact = lake.gold("top_destinations", PROFILE_WINDOW).select("window", "dst_ip", "flow_count")
+    return _flat(top.join(exact, ["window", "dst_ip"]).select(
+        "window", "dst_ip", "flow_count", "rank",
+        (F.abs(F.col("item_count") - F.col("flow_count")) <= F.col("count_error")).alias(
+            "within_bound")))
+
+
+@register
+def bitmap_unique_sources(spark, sf_dir):
+    """Sources per target and day, exactly, from the bitmaps of hours."""
+    bits = event_lake(spark, sf_dir).source_bits(ROLLUP_WINDOW)
+    days = mergeable.merged_bits(bits, "dst_ip", PROFILE_WINDOW)
+    return _flat(mergeable.counted_bits(days, "dst_ip", "unique_sources"))
+
+
+@register
+def sliding_destinations(spark, sf_dir):
+    """Six hours, every hour, from hourly panes: sums, and sources by the panes' bitmaps."""
+    spec = mergeable.DESTINATION_PANES
+    sums = mergeable.merged(_destination_panes(spark, sf_dir), spec, "6 hours", "1 hour").drop(
+        *spec.states)
+    bits = event_lake(spark, sf_dir).source_bits(ROLLUP_WINDOW)
+    sources = mergeable.counted_bits(
+        mergeable.merged_bits(bits, "dst_ip", "6 hours", "1 hour"), "dst_ip", "unique_sources")
+    sources = sources.withColumnsRenamed({"window": "_window", "dst_ip": "_key"})
+    return _flat(sums.join(sources, F.col("window").eqNullSafe(F.col("_window"))
+                           & F.col("dst_ip").eqNullSafe(F.col("_key"))).drop("_window", "_key"))
+
+
 # --- rankings and flags over gold -----------------------------------------------
 
 
@@ -427,6 +537,23 @@ def deduped_alerts(spark, sf_dir):
     return zoneless(alert_views.first_per_entity(_stored_alerts(spark, sf_dir)))
 
 
+def _outage(alerts: DataFrame) -> DataFrame:
+    """Alerts with gaps and repeats: none of every fifth day, those of even days sent twice."""
+    day = F.dayofmonth("window_start")
+    heard = alerts.where(day % 5 != 0)
+    return heard.unionByName(heard.where(day % 2 == 0))
+
+
+@register
+def alert_incidents(spark, sf_dir):
+    """Alerts of days that follow each other as one incident, and whether it is still open."""
+    profile = event_lake(spark, sf_dir).gold("destination_profile", PROFILE_WINDOW)
+    sent = _outage(rules.detect(profile, SENSITIVE_FAN_IN))
+    found = alert_views.incidents(sent, INCIDENT_GAP)
+    return zoneless(alert_views.with_state(
+        found, alert_views.latest(sent, "window_end"), INCIDENT_GAP))
+
+
 # --- streams --------------------------------------------------------------------
 
 
@@ -466,8 +593,8 @@ def streaming_top_destinations(spark, sf_dir):
     """Bronze, silver and a gold table by chained streams; read back from the lake."""
     lake = _medallion(spark, sf_dir, ROLLUP_WINDOW, (), ("top_destinations",))
     lake.run_available()
-    gold = read_layer(spark, lake.cfg.gold("top_destinations"), GOLD["top_destinations"])
-    return _flat(gold)
+    path = lake.cfg.gold("top_destinations")
+    return _flat(read_layer(pinned(spark), path, GOLD["top_destinations"]))
 
 
 @register
@@ -475,20 +602,45 @@ def streaming_alerts(spark, sf_dir):
     """The whole chain of streams down to the alerts table."""
     lake = _medallion(spark, sf_dir, ALERT_WINDOW)
     lake.run_available()
-    return zoneless(read_layer(spark, lake.cfg.alerts, ALERT)).drop("detected_at")
+    return zoneless(read_layer(pinned(spark), lake.cfg.alerts, ALERT)).drop("detected_at")
 
 
 @register
 def streaming_deduped_alerts(spark, sf_dir):
-    """A stream of alerts without repeats of a window, type and entity."""
+    """A stream of alerts, each sent twice, without repeats of a window, type and entity."""
     lake = _medallion(spark, sf_dir, ALERT_WINDOW)
     lake.run_available()
     cfg = lake.cfg
-    once = alert_views.distinct_windows_in_stream(lake.follow(cfg.alerts, ALERT))
+    sent = lake.follow(cfg.alerts, ALERT)
+    once = alert_views.distinct_windows_in_stream(sent.unionByName(sent))
     append_files(
         once, cfg.gold("notified"), cfg.checkpoint("notified"), trigger=None
     ).awaitTermination()
-    return zoneless(read_layer(spark, cfg.gold("notified"), ALERT)).drop("detected_at")
+    return zoneless(read_layer(pinned(spark), cfg.gold("notified"), ALERT)).drop("detected_at")
+
+
+@register
+def streaming_incidents(spark, sf_dir):
+    """Incidents closed by a stream that takes one file of alerts after the other.
+
+    Files hold alerts in any order, so the watermark keeps incidents open for two months. The
+    stream is started again when an alert of a year later is there, which closes them all.
+    """
+    lake = _medallion(spark, sf_dir, PROFILE_WINDOW, (SENSITIVE_FAN_IN,), ("destination_profile",))
+    lake.run_available()
+    cfg = lake.cfg
+    end = f"{cfg.checkpoint_root}/end"
+    stored = read_layer(lake.session, cfg.alerts, ALERT)
+    later = stored.agg(F.max("window_start") + F.expr("INTERVAL 1 YEAR")).scalar()
+    last = stored.limit(1).withColumns({"window_start": later, "alert_type": F.lit("END")})
+    for arrived in (last.limit(0), last):
+        arrived.write.mode("append").parquet(end)
+        sent = _outage(follow_layer(lake.session, cfg.alerts, dated(ALERT), 8).drop("date"))
+        sent = sent.unionByName(follow_layer(lake.session, end, ALERT))
+        closed = alert_views.incidents(sent, INCIDENT_GAP, "60 days")
+        append_files(closed, cfg.gold("incidents"), cfg.checkpoint("incidents"),
+                     trigger=None).awaitTermination()
+    return zoneless(read_layer(pinned(spark), cfg.gold("incidents"), closed.schema))
 
 
 @register
@@ -498,7 +650,7 @@ def streaming_suppressed_alerts(spark, sf_dir):
     lake.run_available()
     path = lake.cfg.gold("suppressed")
     start_suppression(lake.session, lake.cfg, SENSITIVE_FAN_IN, 86_400, path).awaitTermination()
-    return zoneless(read_suppressed(spark, path)).drop("detected_at")
+    return zoneless(read_suppressed(pinned(spark), path)).drop("detected_at")
 
 
 @register
@@ -519,12 +671,98 @@ def streaming_quarantine(spark, sf_dir):
 
 @register
 def streaming_health(spark, sf_dir):
-    """Rows of the stored layers, and how far each is behind the flows received."""
-    lake = event_lake(spark, sf_dir)
+    """Rows of the layers that the streams stored, and how far each is behind the first."""
+    lake = _medallion(spark, sf_dir, ALERT_WINDOW, tables=STANDARD_TABLES)
+    lake.run_available()
+    session, cfg = pinned(spark), lake.cfg
     return zoneless(layer_health({
-        "bronze": (lake.bronze(), F.col("ts")),
-        "silver": (lake.silver(), F.col("ts")),
-        **{table: (lake.gold(table, ALERT_WINDOW), F.col("window.end"))
+        "bronze": (read_layer(session, cfg.bronze, FLOW), F.col("ts")),
+        "silver": (read_layer(session, cfg.silver, SILVER), F.col("ts")),
+        **{table: (read_layer(session, cfg.gold(table), GOLD[table]), F.col("window.end"))
            for table in ("top_destinations", "top_talkers", "router_summary")},
-        "alerts": (lake.alerts(ALERT_WINDOW), F.col("window_end")),
+        "alerts": (read_layer(session, cfg.alerts, ALERT), F.col("window_end")),
     }))
+
+
+@register
+def streaming_metrics(spark, sf_dir):
+    """What each stream of the chain read and wrote, from the stored reports of its batches.
+
+    The rules' filter reaches the scan of gold, so the rows it reads are left out.
+    """
+    lake = _medallion(spark, sf_dir, ALERT_WINDOW, tables=STANDARD_TABLES)
+    with metrics.BatchLog(lake.session, lake.cfg.batches) as log:
+        log.settle(lake.run_available())
+    streams = metrics.throughput(metrics.batches(pinned(spark), lake.cfg.batches))
+    return zoneless(streams.select(
+        "stream", F.when(F.col("stream") != "gold_alerts", F.col("input_rows")).alias("input_rows"),
+        "written_rows", "first_time", "last_time", "late_groups",
+        ((F.col("busy_seconds") > 0) & (F.col("rows_per_second") > 0)
+         & (F.col("median_ms") <= F.col("p99_ms"))).alias("is_timed")))
+
+
+@register
+def streaming_alert_latency(spark, sf_dir):
+    """Alerts per type and whether the stored sketches' quantiles of latency are near enough."""
+    lake = _medallion(spark, sf_dir, PROFILE_WINDOW, (SENSITIVE_FAN_IN,), ("destination_profile",))
+    lake.run_available()
+    session, cfg = pinned(spark), lake.cfg
+    metrics.start_latency(lake.session, replace(cfg, max_files=8)).awaitTermination()
+    sketched = metrics.latency_quantiles(session, cfg)
+    seconds = (F.unix_micros("detected_at") - F.unix_micros("window_end")) / F.lit(1e6)
+    alerts = read_layer(session, cfg.alerts, ALERT).select("alert_type", seconds.alias("seconds"))
+
+    def near(quantile: float, column: str) -> Column:
+        # As many alerts lie below and up to the estimate as the sketch's rank error allows.
+        below = F.count_if(F.col("seconds") < F.col(column))
+        up_to = F.count_if(F.col("seconds") <= F.col(column))
+        slack = F.count("*") * F.lit(0.02) + F.lit(1)
+        target = F.count("*") * F.lit(quantile)
+        return (below <= target + slack) & (up_to >= target - slack)
+
+    return alerts.join(F.broadcast(sketched), "alert_type").groupBy("alert_type", "alerts").agg(
+        near(0.5, "p50_seconds").alias("p50_within"), near(0.99, "p99_seconds").alias("p99_within"))
+
+
+@register
+def streaming_late_corrected(spark, sf_dir):
+    """Gold of a stream to which every twentieth flow came too late, with its corrections."""
+    events = _events(spark, sf_dir)
+    cfg = LakeConfig.under(shared_folder(spark, "streams"), window=ROLLUP_WINDOW, distinct="exact")
+    inbox = f"{cfg.checkpoint_root}/inbox"
+    is_late = F.col("event_id") % 20 == 0
+    closing = events.agg(
+        *(F.max(c).alias(c) if c != "ts" else (F.max(c) + F.expr("INTERVAL 1 YEAR")).alias(c)
+          for c in events.columns))
+
+    def open_flows(session):
+        flows = flows_of_events(session.readStream.schema(events.schema).parquet(inbox))
+        return flows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+    for part in (events.where(~is_late).unionByName(closing), events.where(is_late)):
+        part.write.mode("append").parquet(inbox)
+        lake = Medallion(pinned(spark), cfg, open_flows=open_flows, rules=(),
+                         tables=("top_destinations",))
+        lake.run_available()
+        start_corrections(lake).awaitTermination()
+    return _flat(read_corrected(pinned(spark), cfg, "top_destinations"))
+
+
+@register
+def streaming_top_ports(spark, sf_dir):
+    """Most used ports per router and day, from hourly states that a stream stored."""
+    lake = _medallion(spark, sf_dir, ROLLUP_WINDOW, (), ("router_panes",))
+    lake.run_available()
+    stored = read_layer(pinned(spark), lake.cfg.gold("router_panes"),
+                        mergeable.ROUTER_PANES.schema())
+    return _top_ports(mergeable.merged(stored, mergeable.ROUTER_PANES, PROFILE_WINDOW))
+
+
+@register
+def streaming_bitmap_sources(spark, sf_dir):
+    """Sources per target and day, exactly, from the hourly bitmaps that a stream stored."""
+    lake = _medallion(spark, sf_dir, ROLLUP_WINDOW, (), ("source_bits",))
+    lake.run_available()
+    stored = read_layer(pinned(spark), lake.cfg.gold("source_bits"), SOURCE_BITS)
+    days = mergeable.merged_bits(stored, "dst_ip", PROFILE_WINDOW)
+    return _flat(mergeable.counted_bits(days, "dst_ip", "unique_sources"))

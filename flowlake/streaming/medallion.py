@@ -19,11 +19,16 @@ from flowlake.config import LakeConfig, streaming_session
 from flowlake.model import FLOW, GOLD, RECEIVED, SILVER, dated
 from flowlake.operators.codec import decode, parse_flows, quarantined, valid_flows
 from flowlake.operators.enrich import enrich, with_date
+from flowlake.operators.mergeable import PANES, address_bits, panes
 from flowlake.operators.rollup import GOLD_ROLLUPS, rollup
 from flowlake.operators.rules import STANDARD_RULES, Rule, detect_all
 from flowlake.sources.streams import follow_layer
+from flowlake.streaming.metrics import observed
 from flowlake.streaming.sinks import append_files
 
+#: Gold tables beside those of ``GOLD_ROLLUPS`` and ``PANES``.
+SOURCE_BITS_TABLE = "source_bits"
+
 STANDARD_TABLES = ("top_destinations", "top_talkers", "router_summary")
 
 
@@ -52,7 +57,12 @@ class Medallion:
         return parse_flows(self.open_messages(self.session))
 
     def gold(self, table: str, flows: DataFrame) -> DataFrame:
-        cfg, spec = self.cfg, GOLD_ROLLUPS[table]
+        cfg = self.cfg
+        if table in PANES:
+            return panes(flows, PANES[table], cfg.window, cfg.watermark)
+        if table == SOURCE_BITS_TABLE:
+            return address_bits(flows, "dst_ip", "src_ip", cfg.window, cfg.watermark)
+        spec = GOLD_ROLLUPS[table]
         # Only mergeable sketches allow salts where several columns are counted.
         salted = cfg.salts > 1 and cfg.distinct == "approx" and len(spec.distinct) > 1
         return rollup(
@@ -178,11 +188,12 @@ class Medallion:
         if self.cfg.gold_files:
             # Only closed windows pass here: little data, but from every state
             # partition, which would each write a small file.
-            gold = gold.repartition(self.cfg.gold_files, GOLD_ROLLUPS[table].key)
+            gold = gold.repartition(self.cfg.gold_files, gold.columns[1])
         return self._append(gold, self.cfg.gold(table), f"gold_{table}", trigger, "window.start")
 
     def _append(self, df, path, sink, trigger, time: str | None = None) -> StreamingQuery:
         """Start a layer's sink, stored by the date of ``time`` if one is given."""
+        df = observed(df, time)
         if time:
             df = df.withColumn("date", F.to_date(time))
         return append_files(

@@ -26,7 +26,7 @@ def append_files(df: DataFrame, path: str, checkpoint: str, name: str | None = N
         writer = writer.queryName(name)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    return _triggered(writer, trigger).start()
+    return triggered(writer, trigger).start()
 
 
 def publish_alerts(alerts: DataFrame, cfg: LakeConfig,
@@ -39,7 +39,7 @@ def publish_alerts(alerts: DataFrame, cfg: LakeConfig,
         .option("checkpointLocation", cfg.checkpoint("alerts_topic"))
         .outputMode("append")
     )
-    return _triggered(writer, trigger).start()
+    return triggered(writer, trigger).start()
 
 
 def publish_rows(rows: DataFrame, cfg: LakeConfig, topic: str, key: str | None = None) -> None:
@@ -52,7 +52,8 @@ def publish_rows(rows: DataFrame, cfg: LakeConfig, topic: str, key: str | None =
     )
 
 
-def _triggered(writer, trigger: str | None):
+def triggered(writer, trigger: str | None):
+    """The writer with its trigger; ``None`` takes what is there now and stops."""
     if trigger is None:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=trigger)

@@ -30,5 +30,16 @@ def test_query_equals_sql(spark, databases, name):
     assert compare(df, databases[sf_dir], entry.oracle_sql()[name]) == []
 
 
+@pytest.mark.parametrize("name", sorted(n for n in ORACLES if n.startswith("streaming_")))
+def test_streams_do_not_follow_the_zone_of_the_session(spark, databases, name):
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.session.timeZone", "America/New_York")
+    df = REGISTRY[name](session, SMALL)
+    assert compare(df, databases[SMALL], ORACLES[name]) == []
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 3
