@@ -81,7 +81,9 @@ def term_counts(docs: DataFrame) -> DataFrame:
                     occurring, holding, held = defaultdict(Counter), defaultdict(Counter), 0
         yield counted(occurring, holding)
 
+    # Tasks have combined their counts already; dealing them out first spares a second time.
     return (docs.mapInArrow(count, "lang string, source string, term string, n long, docs long")
+            .repartition(*GROUP, "term")
             .groupBy(*GROUP, "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
 
 
@@ -109,14 +111,14 @@ class Counts:
 
     def __init__(self, docs: DataFrame, least_docs: int = 3):
         texts = group_columns(docs)
-        counts = written(term_counts(texts), "terms")
-        kept = written(
-            counts.groupBy("lang", "term")
-            .agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs"))
-            .where(F.col("docs") >= least_docs).drop("docs"), "kept")
-        self.held = written(counts.drop("docs").join(kept, ["lang", "term"]), "held")
-        langs = kept.groupBy("lang").agg(F.sum("n_lang").alias("total_lang"),
-                                         F.count("*").alias("kept"))
+        # At most one row per source and term comes together here.
+        term = Window.partitionBy("lang", "term")
+        counts = term_counts(texts).withColumns({
+            "n_lang": F.sum("n").over(term), "docs": F.sum("docs").over(term),
+            "is_first": F.row_number().over(term.orderBy("source")) == 1})
+        self.held = written(counts.where(F.col("docs") >= least_docs).drop("docs"), "held")
+        langs = self.held.groupBy("lang").agg(F.sum("n").alias("total_lang"),
+                                              F.count_if("is_first").alias("kept"))
         totals = self.held.groupBy(*GROUP).agg(F.sum("n").alias("total"))
         self.groups = written(
             texts.select(*GROUP).distinct().join(totals, GROUP, "left").join(langs, "lang", "left")
