@@ -44,7 +44,9 @@ class LakeConfig:
     batches span many dates; a live batch spans one or two and needs no shuffle.
     ``gold_files`` gathers the windows a batch closes into that many files per
     gold table; by default every state partition writes one. ``salts`` splits hot
-    keys of the rollups that allow it, see ``rollup``.
+    keys of the rollups that allow it, see ``rollup``. ``retention`` (such as ``7d``) lets the logs
+    of the sinks forget files that old, see ``streaming.compaction``. ``suppress`` also judges the
+    alerts of the destination profile by the past of their target, see ``streaming.decayed``.
     """
 
     # Default paths, topics and stream settings of a deployment.
@@ -70,6 +72,8 @@ class LakeConfig:
     salts: int = 1
     max_offsets: int | None = None
     max_files: int | None = None
+    retention: str | None = None
+    suppress: bool = False
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **overrides) -> LakeConfig:
@@ -98,10 +102,13 @@ class LakeConfig:
             "window": "WINDOW",
             "watermark": "WATERMARK",
             "trigger": "TRIGGER",
+            "retention": "RETENTION",
             "distinct": "DISTINCT_MODE",
         }
         found = {f: env[name] for f, name in {**named, **texts}.items() if env.get(name)}
         found |= {f: int(env[name]) for f, name in numbers.items() if env.get(name)}
+        if env.get("SUPPRESS"):
+            found["suppress"] = env["SUPPRESS"].lower() in ("1", "true", "yes")
         return cls(**{**found, **overrides})
 
     @classmethod
@@ -135,6 +142,10 @@ class LakeConfig:
     def latency(self) -> str:
         return self.gold("alert_latency")
 
+    @property
+    def judged(self) -> str:
+        return self.gold("judged_alerts")
+
     @property
     def late(self) -> str:
         return f"{self.silver}_late"
@@ -155,6 +166,11 @@ class LakeConfig:
         return override.get(sink) or f"{self.checkpoint_root}/{sink}"
 
 
+def seconds_of(spark: SparkSession, interval: str) -> int:
+    """Length of an interval text such as ``1 minute``."""
+    return spark.sql(f"SELECT unix_seconds(timestamp_seconds(0) + INTERVAL {interval})").first()[0]
+
+
 def open_session(cfg: LakeConfig | None = None, master: str | None = None) -> SparkSession:
     """Session for lake jobs."""
     cfg = cfg or LakeConfig()

@@ -112,6 +112,14 @@ LATENCY = of_types(alert_type="string", latencies="binary")
 # The newest event time up to a batch, in microseconds.
 FRONTIER = of_types(newest="long")
 
+# Alerts with the decayed past they were held against.
+DECAYED = _with(
+    ALERT, syn_ratio="double", history_sum="double", history_weight="double", suppressed="boolean")
+
+# Which version of a date is current, and which files of the layer it holds.
+VERSION = of_types(version="integer")
+MANIFEST = of_types(date="date", version="integer", file="string")
+
 
 def dated(schema: StructType) -> StructType:
     """The schema of a layer stored by ``date``."""

@@ -14,7 +14,7 @@ from flowlake.operators.mergeable import PANES, address_bits, panes
 from flowlake.operators.rollup import GOLD_ROLLUPS, rollup
 from flowlake.operators.rules import STANDARD_RULES, detect_all
 from flowlake.sources.events import flows_of_events, messages_of_events
-from flowlake.sources.layers import read_layer, write_layer
+from flowlake.sources.layers import read_layer, write_clustered, write_layer
 
 
 class EventLake:
@@ -55,6 +55,11 @@ class EventLake:
             self.cfg.silver, SILVER, lambda: with_date(enrich(self.bronze())), "date"
         )
 
+    def clustered(self) -> DataFrame:
+        """The silver layer as ``write_clustered`` lays it out."""
+        return self._layer(f"{self.cfg.silver}_clustered", SILVER, self.silver, "date",
+                           write_clustered)
+
     def gold(self, table: str, window: str) -> DataFrame:
         path = self.cfg.gold(f"{table}_{window.replace(' ', '_')}")
         return self._layer(
@@ -80,10 +85,10 @@ class EventLake:
             lambda: detect_all({r.table: self.gold(r.table, window) for r in STANDARD_RULES}),
         )
 
-    def _layer(self, path, schema, build, partition_by=None) -> DataFrame:
+    def _layer(self, path, schema, build, partition_by=None, write=write_layer) -> DataFrame:
         with self._lock:
             if path not in self._written:
-                write_layer(build(), path, partition_by)
+                write(build(), path, partition_by)
                 self._written.add(path)
         return read_layer(self.spark, path, schema)
 

@@ -421,3 +421,34 @@ SELECT window_start, window_start + INTERVAL 6 HOURS AS window_end, dst_ip,
 FROM (SELECT *, {_bucket("1 hour")} - INTERVAL 1 HOUR * unnest(range(6)) AS window_start FROM flows)
 GROUP BY window_start, dst_ip"""),
 }
+
+_DECAYED = f"""profile AS ({_rollup("dst_ip", "1 day", f"{SYN}, {SOURCES}")}),
+past AS (
+  SELECT a.window_start, a.dst_ip,
+    sum(b.unique_sources * power(0.5, date_diff('day', b.window_start, a.window_start))) AS sums,
+    sum(power(0.5, date_diff('day', b.window_start, a.window_start))) AS weights
+  FROM profile a JOIN profile b ON a.dst_ip = b.dst_ip AND b.window_start < a.window_start
+  GROUP BY 1, 2
+),
+held AS (
+  SELECT p.*, {RATIO} AS syn_ratio, coalesce(sums, 0.0) AS history_sum,
+    coalesce(weights, 0.0) AS history_weight
+  FROM profile p LEFT JOIN past USING (window_start, dst_ip)
+)"""
+ORACLES |= {
+    "streaming_decayed_verdicts": _with("""
+SELECT window_start, window_end, 'FAN_IN_DDOS' AS alert_type, dst_ip AS entity,
+  CAST(CASE WHEN unique_sources > 500 THEN 1.0 WHEN unique_sources > 200 THEN 0.7 ELSE 0.4 END AS DOUBLE)
+    AS severity_score, unique_sources, total_packets, total_bytes, syn_ratio,
+  history_sum, history_weight,
+  history_weight >= 0.8 AND unique_sources * history_weight <= 2 * history_sum
+    AND coalesce(syn_ratio <= 0.8, TRUE) AS suppressed
+FROM held WHERE unique_sources > 5 AND total_packets > 50""", _DECAYED),
+    "streaming_compacted": _with(
+        "SELECT CAST(ts AS DATE) AS date, count(*) AS flow_count, "
+        "CAST(ts AS DATE) < DATE '2024-01-25' AS is_compact FROM flows GROUP BY 1, 3"),
+}
+ORACLES["entity_flows"] = _with(f"""
+SELECT CASE WHEN src_ip = '172.16.1.20' THEN 'sent' ELSE 'received' END AS role, {FLOW_COLUMNS}
+FROM flows WHERE '172.16.1.20' IN (src_ip, dst_ip)
+  AND ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-13 06:00:00'""")

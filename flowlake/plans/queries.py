@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flowlake.config import LakeConfig, pinned, shared_folder
 from flowlake.functions.timing import flatten_window, zoneless
-from flowlake.model import ALERT, FLOW, GOLD, QUARANTINE, SILVER, SOURCE_BITS, dated
+from flowlake.model import ALERT, DECAYED, FLOW, GOLD, QUARANTINE, SILVER, SOURCE_BITS, dated
 from flowlake.operators import alerts as alert_views
 from flowlake.operators import baseline, codec, mergeable, ranking, rules, screening, views
 from flowlake.operators.enrich import enrich, with_date
@@ -25,9 +25,13 @@ from flowlake.operators.rollup import (
 )
 from flowlake.plans.lake import EventLake, lake_of
 from flowlake.sources.events import FLOOD_TARGET, flows_of_events, messages_of_events
-from flowlake.sources.layers import inventory, read_layer
+from flowlake.sources.layers import entity_history, inventory, read_layer
 from flowlake.sources.streams import follow_layer
 from flowlake.streaming import metrics
+from flowlake.streaming.compaction import (
+    compact, drop_superseded, files_per_date, read_compacted,
+)
+from flowlake.streaming.decayed import start_decayed
 from flowlake.streaming.health import layer_health
 from flowlake.streaming.late import read_corrected, start_corrections
 from flowlake.streaming.medallion import STANDARD_TABLES, Medallion
@@ -165,6 +169,14 @@ def latest_flows(spark, sf_dir):
     return zoneless(latest.select(*FLOW.fieldNames()))
 
 
+@register
+def entity_flows(spark, sf_dir):
+    """What one address sent and received in three days, from the clustered layer."""
+    since, until = (F.lit(f"2024-01-{day} 06:00:00").cast("timestamp") for day in (10, 13))
+    found = entity_history(event_lake(spark, sf_dir).clustered(), "172.16.1.20", since, until)
+    return zoneless(found.select("role", *FLOW.fieldNames()))
+
+
 @register
 def gold_flattened(spark, sf_dir):
     return _flat(event_lake(spark, sf_dir).gold("top_destinations", ALERT_WINDOW))
@@ -653,6 +665,43 @@ def streaming_suppressed_alerts(spark, sf_dir):
     return zoneless(read_suppressed(pinned(spark), path)).drop("detected_at")
 
 
+@register
+def streaming_decayed_verdicts(spark, sf_dir):
+    """Alerts of a stream, held against decayed sums that it keeps as state."""
+    lake = _medallion(spark, sf_dir, PROFILE_WINDOW, (), ("destination_profile",))
+    lake.run_available()
+    start_decayed(lake.session, lake.cfg, SENSITIVE_FAN_IN, 86_400).awaitTermination()
+    judged = read_layer(pinned(spark), lake.cfg.judged, DECAYED)
+    return zoneless(judged).drop("detected_at")
+
+
+@register
+def streaming_compacted(spark, sf_dir):
+    """Flows per date of a layer that a stream filled in many batches and that was compacted.
+
+    The second half of the flows comes after a compaction and reaches back into its dates.
+    """
+    events = _events(spark, sf_dir)
+    cfg = LakeConfig.under(shared_folder(spark, "streams"))
+    inbox, closed = f"{cfg.checkpoint_root}/inbox", "2024-01-25"
+
+    def open_flows(session):
+        rows = session.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+        return flows_of_events(rows.parquet(inbox)).withColumn("ts", F.col("ts").cast("timestamp"))
+
+    session, schema = pinned(spark), dated(FLOW)
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).repartition(2, "event_id").write.mode(
+            "append").parquet(inbox)
+        Medallion(session, cfg, open_flows=open_flows, rules=(), tables=()).run_available("bronze")
+        compact(session, cfg.bronze, schema, closed)
+    drop_superseded(session, cfg.bronze)
+    counted = read_compacted(session, cfg.bronze, schema).groupBy("date").agg(
+        F.count("*").alias("flow_count"))
+    return counted.join(files_per_date(session, cfg.bronze, schema), "date").select(
+        "date", "flow_count", (F.col("files") <= 2).alias("is_compact"))
+
+
 @register
 def streaming_quarantine(spark, sf_dir):
     """The texts a message stream sets aside because they cannot be decoded."""

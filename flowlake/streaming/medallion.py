@@ -198,5 +198,5 @@ class Medallion:
             df = df.withColumn("date", F.to_date(time))
         return append_files(
             df, path, self.cfg.checkpoint(sink), sink, trigger,
-            partition_by="date" if time else None,
+            partition_by="date" if time else None, retention=self.cfg.retention,
         )

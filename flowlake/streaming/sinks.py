@@ -11,10 +11,11 @@ from flowlake.operators.codec import alert_messages, encode
 
 def append_files(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
                  trigger: str | None = "10 seconds",
-                 partition_by: str | None = None) -> StreamingQuery:
+                 partition_by: str | None = None, retention: str | None = None) -> StreamingQuery:
     """Append a stream to a Parquet layer, exactly once.
 
-    ``trigger=None`` takes what is there now and stops.
+    ``trigger=None`` takes what is there now and stops. After ``retention`` the sink's log, and
+    with it every reader, forgets a file.
     """
     writer = (
         df.writeStream.format("parquet")
@@ -26,6 +27,8 @@ def append_files(df: DataFrame, path: str, checkpoint: str, name: str | None = N
         writer = writer.queryName(name)
     if partition_by:
         writer = writer.partitionBy(partition_by)
+    if retention:
+        writer = writer.option("retention", retention)
     return triggered(writer, trigger).start()
 
 
