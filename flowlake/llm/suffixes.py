@@ -34,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from flowlake.llm.common import group_starts, text_bytes, whole_groups, written
+from flowlake.llm.common import group_starts, quoted, text_bytes, whole_groups, written
 
 #: Long enough not to occur twice by chance in prose; a multiple of 8.
 GRAM = 32
 #: Bytes hashed at once; a packed position has this many values.
-CHUNK = 1 << 19
+CHUNK = 1 << 17
+#: Bytes of the pieces in which texts meet the runs that are cut out of them.
+PIECE = 1 << 16
 #: Distinct contents of one minimizer that one block may hold.
 GROUP_LIMIT = 1500
 LOW = np.uint64(CHUNK - 1)
@@ -238,7 +240,7 @@ def stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def keyed(docs: DataFrame) -> DataFrame:
     """The other columns as ``document``, the bytes, and a key for rows of equal id and text."""
     body = text_bytes()
-    others = [c for c in docs.columns if c != "text"]
+    others = [F.col(quoted(c)).alias(c) for c in docs.columns if c != "text"]
     return docs.select(F.struct(*others).alias("document"),
                        F.coalesce(F.col("doc_id"), F.lit(0)).alias("key"),
                        F.xxhash64(body, F.col("doc_id").isNull()).alias("hash"),
@@ -258,6 +260,20 @@ def runs_of(texts: DataFrame, least: int) -> DataFrame:
         find, "start long, windows int, minimizer long, content long, key long, hash long")
 
 
+def pieces_of(texts: DataFrame, least: int) -> DataFrame:
+    """``key, hash, piece, bytes``: texts in pieces of ``PIECE`` bytes.
+
+    Each piece goes on for as long as a run that starts in it can, so a run needs one piece and
+    no row is larger than a piece, however long the text.
+    """
+    last = F.expr(f"cast((octet_length(body) - 1) div {PIECE} as int)")
+    longest = 2 * least - GRAM
+    return (texts.where(F.octet_length("body") >= least)
+            .select("key", "hash", "body", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+            .select("key", "hash", "piece", F.expr(
+                f"substring(body, piece * {PIECE} + 1, {PIECE + longest})").alias("bytes")))
+
+
 def _settled_in_blocks(segments: DataFrame, least: int) -> DataFrame:
     """``minimizer, content, at, windows``: repeated windows of contents, by suffix arrays."""
     keys = ["minimizer"]
@@ -358,13 +374,14 @@ def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
     contents = written(contents.select("minimizer", "content", "windows", "copies", "first.*"),
                        "contents")
     crowd = written(contents.groupBy("minimizer").agg(F.count("*").alias("crowd")), "crowd")
-    wanted = (contents.join(crowd, "minimizer").groupBy("key", "hash").agg(F.collect_list(
-        F.struct("minimizer", "content", "windows", "copies", "start", "crowd")).alias("wanted")))
-    cut = F.expr(f"substring(body, cast(want.start as int) + 1, want.windows + {least - 1})")
+    wanted = contents.join(crowd, "minimizer").withColumns({
+        "piece": F.expr(f"cast(start div {PIECE} as int)"),
+        "at": F.expr(f"cast(start % {PIECE} as int)")})
+    cut = F.expr(f"substring(bytes, at + 1, windows + {least - 1})")
     segments = written(
-        texts.join(wanted, ["key", "hash"]).select("body", F.explode("wanted").alias("want"))
-        .select("want.minimizer", "want.content", "want.copies", "want.crowd",
-                cut.alias("segment")).dropDuplicates(["minimizer", "content"]), "segments")
+        wanted.join(pieces_of(texts, least), ["key", "hash", "piece"])
+        .select("minimizer", "content", "copies", "crowd", cut.alias("segment"))
+        .dropDuplicates(["minimizer", "content"]), "segments")
     part = settled(segments, least).select("minimizer", "content", "at",
                                            F.col("windows").alias("found"))
     return (mixed.join(part, ["minimizer", "content"])
@@ -374,27 +391,81 @@ def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
             .distinct())
 
 
-def cut_out(body: bytes, found, least: int) -> tuple[bytes, list[tuple[int, int]]]:
-    """What stays of ``body`` without the windows that start in ``found``; the removed spans."""
-    spans: list[list[int]] = []
-    for start, windows in sorted((f["start"], f["windows"]) for f in found):
-        end = start + windows + least - 1
-        if spans and start <= spans[-1][1]:
-            spans[-1][1] = max(end, spans[-1][1])
-        else:
-            spans.append([start, end])
-    edges = [0, *(x for s in spans for x in s), len(body)]
+def spans_of(starts: DataFrame, least: int) -> DataFrame:
+    """``key, hash, spans``: the maximal spans that repeated windows cover, packed as pairs.
+
+    Rows come sorted and are merged as they pass, so a task holds one batch and the spans of the
+    text at hand; no list of windows is ever gathered.
+    """
+    keys = ["key", "hash"]
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if not len(frame):
+                continue
+            merged = merged_spans(frame, least)
+            last = merged["text"].iloc[-1]
+            # The last text may go on in the next batch: its spans come back as stretches.
+            open_ones = merged["text"] == last
+            held = frame.iloc[merged["first"][open_ones]][keys].assign(
+                start=merged["start"][open_ones].to_numpy(),
+                windows=(merged["end"] - merged["start"] - least + 1)[open_ones].to_numpy())
+            if not open_ones.all():
+                yield packed_spans(frame, merged[~open_ones])
+        if held is not None:
+            yield packed_spans(held, merged_spans(held.reset_index(drop=True), least))
+
+    return (starts.select(*keys, "start", F.col("windows").cast("long").alias("windows"))
+            .repartition(*keys).sortWithinPartitions(*keys, "start")
+            .mapInPandas(merge, "key long, hash long, spans binary"))
+
+
+def merged_spans(frame: pd.DataFrame, least: int) -> pd.DataFrame:
+    """``text, first, start, end``: spans of stretches sorted by text and start.
+
+    ``text`` numbers the texts of the frame, ``first`` is the row at which a span begins.
+    """
+    bounds = group_starts(frame, ["key", "hash"])
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    start = frame["start"].to_numpy()
+    end = start + frame["windows"].to_numpy() + least - 1
+    # The furthest end so far within a text: texts are put one behind the other.
+    far = int(end.max()) + 1
+    reach = np.maximum.accumulate(end + text * far) - text * far
+    new = np.ones(len(frame), bool)
+    new[1:] = (text[1:] != text[:-1]) | (start[1:] > reach[:-1])
+    first = np.flatnonzero(new)
+    return pd.DataFrame({"text": text[first], "first": first, "start": start[first],
+                         "end": reach[np.append(first[1:], len(frame)) - 1]})
+
+
+def packed_spans(frame: pd.DataFrame, merged: pd.DataFrame) -> pd.DataFrame:
+    """One row per text: its spans as pairs of 64-bit numbers."""
+    texts = np.append(np.flatnonzero(np.diff(merged["text"], prepend=-1)), len(merged))
+    pairs = np.ascontiguousarray(merged[["start", "end"]].to_numpy(np.int64))
+    rows = merged["first"].to_numpy()[texts[:-1]]
+    return pd.DataFrame({
+        "key": frame["key"].to_numpy()[rows], "hash": frame["hash"].to_numpy()[rows],
+        "spans": [pairs[a:b].tobytes() for a, b in zip(texts, texts[1:], strict=False)]})
+
+
+def cut_out(body: bytes, spans: bytes) -> tuple[bytes, list[tuple[int, int]]]:
+    """What stays of ``body`` without the packed spans; the spans as start and length."""
+    pairs = np.frombuffer(spans, np.int64).reshape(-1, 2).tolist()
+    edges = [0, *(x for s in pairs for x in s), len(body)]
     kept = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-    return kept, [(a, b - a) for a, b in spans]
+    return kept, [(a, b - a) for a, b in pairs]
 
 
-def remover(least: int, characters: bool):
-    """Function of a body and its repeated starts; null starts give null."""
+def remover(characters: bool):
+    """Function of a body and its packed spans; null spans give null."""
 
     @F.pandas_udf("kept binary, spans array<struct<start:long,length:long>>")
     def remove(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for bodies, founds in batches:
-            done = [(None, None) if f is None else cut_out(b, f, least)
+            done = [(None, None) if f is None else cut_out(b, f)
                     for b, f in zip(bodies, founds, strict=True)]
             kept = [k for k, _ in done]
             if characters:
@@ -412,12 +483,11 @@ def without_repeats(docs: DataFrame, least: int = 200, characters: bool = False)
     bytes are text.
     """
     texts = keyed(docs)
-    found = (repeated_starts(texts, least).groupBy("key", "hash")
-             .agg(F.collect_list(F.struct("start", "windows")).alias("found")))
+    found = spans_of(repeated_starts(texts, least), least).withColumnRenamed("spans", "found")
     touched = F.when(F.col("found").isNotNull(), F.col("body"))
     no_spans = F.expr("array()").cast("array<struct<start:bigint,length:bigint>>")
     return (texts.join(found, ["key", "hash"], "left")
-            .withColumn("cut", remover(least, characters)(touched, "found"))
+            .withColumn("cut", remover(characters)(touched, "found"))
             .select("document", "no_text", "body",
                     F.coalesce("cut.kept", "body").alias("kept"),
                     F.coalesce("cut.spans", no_spans).alias("spans")))

@@ -56,6 +56,7 @@ def test_operator_equals_brute_force(spark, monkeypatch, limit):
     monkeypatch.setattr(suffixes, "GROUP_LIMIT", limit)
     monkeypatch.setattr(suffixes, "CHUNK", 1 << 12)
     monkeypatch.setattr(suffixes, "LOW", np.uint64((1 << 12) - 1))
+    monkeypatch.setattr(suffixes, "PIECE", 300)
     texts = corpus()
     got = {r["document"]["doc_id"]: r for r in suffixes.without_repeats(
         helpers.docs(spark, texts)).collect()}
@@ -64,6 +65,32 @@ def test_operator_equals_brute_force(spark, monkeypatch, limit):
         assert bytes(got[i]["kept"]) == kept
         assert [tuple(s) for s in got[i]["spans"]] == spans
     assert sum(bool(s) for _, s in want) > 25
+    assert all(r["document"][c] == c for r in got.values() for c in helpers.CLASHING)
+
+
+def test_spans_do_not_depend_on_batches(spark):
+    pick = random.Random(8)
+    rows = [(k, -k, pick.randrange(600), pick.randrange(1, 40)) for k in range(6)
+            for _ in range(pick.choice([1, 4, 60]))]
+    frame = spark.createDataFrame(rows, "key long, hash long, start long, windows int").coalesce(1)
+    want = {}
+    for key in range(6):
+        covered = np.zeros(700, bool)
+        for k, _, start, windows in rows:
+            if k == key:
+                covered[start:start + windows + 9] = True
+        start, length = suffixes.stretches(covered)
+        want[key] = list(zip(start.tolist(), (start + length).tolist(), strict=True))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for size in ("1", "7", "10000"):
+            spark.conf.set(name, size)
+            got = suffixes.spans_of(frame, 10).collect()
+            assert {r["key"]: [tuple(p) for p in np.frombuffer(r["spans"], np.int64)
+                               .reshape(-1, 2).tolist()] for r in got} == want
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_query_equals_brute_force(spark):
