@@ -5,9 +5,9 @@ Each task packs its pieces online: a piece goes to the open bin it leaves least
 spaces are keys of a bitset, so the tightest fit is the lowest bit at or above the piece's
 length. Only a fixed number of bins is open; when one more is needed the fullest closes.
 
-Defined results: null and empty texts are one piece that holds the end id; repeated rows are
-packed one by one; columns other than the id and the text are not read; an empty table has no
-sequence. The tokenizer file is read on the executors, which need it at the same path.
+Defined results: null and empty texts are one piece that holds the end id; texts of any length,
+blank ones too, are encoded whole; repeated rows are packed one by one; columns other than the id
+and the text are not read, whatever their names; an empty table has no sequence. The tokenizer file is read on the executors, which need it at the same path.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 END_ID = 0
 #: Letters on whose class every Unicode version agrees; others go the plain way.
 UNUSUAL = re.compile("[^\u0000-\u036f\u2000-\u206f\u20a0-\u20bf]")
+#: Longer runs of white space than this go the plain way.
+LONGEST_BLANK = 10_000
+BLANK = re.compile(r"\s{64}\s*+")
 #: The pattern by which byte-level files split a text; a fixed value of the format.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -43,7 +46,8 @@ class Encoder:
     """Ids of texts as the tokenizer file gives them, without special tokens added.
 
     A plain byte-level file also loads as merge ranks, which encode several times as fast.
-    Texts that hold a special token or unusual letters go through the file's own tokenizer.
+    Texts that hold a special token, unusual letters or a very long run of white space (whose
+    pattern overflows the quick way's stack) go through the file's own tokenizer.
     """
 
     def __init__(self, path: str):
@@ -76,9 +80,14 @@ class Encoder:
         return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks,
                                  special_tokens={}).encode_ordinary
 
+    def plainly(self, text: str) -> bool:
+        return (self.quick is None or UNUSUAL.search(text) is not None
+                or any(s in text for s in self.special)
+                or any(m.end() - m.start() > LONGEST_BLANK for m in BLANK.finditer(text)))
+
     def __call__(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
-        if self.quick is None or UNUSUAL.search(text) or any(s in text for s in self.special):
+        if self.plainly(text):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
             ids = self.quick(text)

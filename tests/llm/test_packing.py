@@ -31,6 +31,16 @@ def test_special_strings_and_long_texts():
         assert np.frombuffer(ENCODE(text), "<u4").tolist() == ids_of(text)
 
 
+def test_long_runs_of_white_space(spark):
+    blank = [" " * 5_000_000, "a" + "\n" * 1_000_000 + "b", " \t\n\x85\xa0" * 300_000,
+             ("word" + " " * 9_999) * 3 + "\n" * 10_001 + "x"]
+    for text in blank:
+        assert np.frombuffer(ENCODE(text), "<u4").tolist() == ids_of(text)
+    got = packing.pieces(helpers.docs(spark, blank), PATH, 2048).collect()
+    for i, text in enumerate(blank):
+        assert sum(r.length for r in got if r.doc_id == i) == len(ids_of(text)) + 1
+
+
 def plain_best_fit(lengths, capacity, most):
     bins, made, out = {}, 0, []
     for n in lengths:
