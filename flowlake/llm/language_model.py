@@ -4,8 +4,8 @@ Words are counted over all training documents. The most frequent words are outpu
 network by themselves; all others share outputs by their ending, within which a word has its
 smoothed share of the counts. The network predicts the next output from the two before it:
 the sum of their position-dependent vectors, times the outputs' vectors, plus a bias. It is
-trained in numpy on every training document: each task takes noise-contrastive steps from
-common weights over its rows, and the weights are averaged over the tasks by their tokens.
+trained in numpy on every training document, in rounds: shards of a fixed number of tokens take
+noise-contrastive steps from common weights, which are then averaged by tokens.
 
 A text's probability is normalised: the softmax over all outputs, in batched matrix products
 per distinct context, times the word's share in its output. Shares need the exact counts of all
@@ -45,6 +45,10 @@ WIDTH = 32
 TOKENS_AT_ONCE = 1024
 NOISE = 64
 NOISE_PER_TOKEN = 10
+RATE = 0.6
+#: Training tokens of a shard, and of a shard's tokens those that are shuffled among each other.
+SHARD_TOKENS = 4_000_000
+SHUFFLED = 200_000
 CACHED_WORDS = 200_000
 
 
@@ -57,9 +61,11 @@ class Weights:
     output: np.ndarray
     bias: np.ndarray
 
+    def parts(self) -> list[np.ndarray]:
+        return [self.near, self.far, self.output, self.bias]
+
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in
-                               (self.near, self.far, self.output, self.bias)])
+        return np.concatenate([x.ravel() for x in self.parts()])
 
     @classmethod
     def unflat(cls, values: np.ndarray) -> Weights:
@@ -224,10 +230,10 @@ def rows_added(places: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 class Trainer:
     """Noise-contrastive steps with per-weight rates (Adagrad) over a stream of tokens."""
 
-    def __init__(self, weights: Weights, noise: np.ndarray, rate: float = 0.6, seed: int = 0):
-        self.values = [x.copy() for x in (weights.near, weights.far, weights.output,
-                                          weights.bias)]
-        self.squares = [np.full_like(x, 1e-2) for x in self.values]
+    def __init__(self, flat: np.ndarray, squares: np.ndarray, noise: np.ndarray,
+                 rate: float = RATE, seed=0):
+        self.values, self.squares = (
+            [x.copy() for x in Weights.unflat(part).parts()] for part in (flat, squares))
         self.noise, self.log_noise = noise, np.log(NOISE_PER_TOKEN * noise).astype(np.float32)
         self.edges = np.cumsum(noise)
         self.rate, self.random, self.tokens = rate, np.random.default_rng(seed), 0
@@ -256,6 +262,9 @@ class Trainer:
             value += self.rate * gradient / np.sqrt(square)
         self.tokens += n
 
+    def state(self) -> list[np.ndarray]:
+        return [Weights(*part).flat() for part in (self.values, self.squares)]
+
     def learn(self, outputs: list[np.ndarray]) -> None:
         near, far = (np.concatenate(x) for x in zip(*map(contexts, outputs), strict=True))
         target = np.concatenate(outputs)
@@ -265,42 +274,89 @@ class Trainer:
             self.step(near[part], far[part], target[part])
 
 
-def trained(texts: DataFrame, words: Words, rounds: int = 1) -> Weights:
-    """One pass per round over all training texts; weights are averaged by tokens."""
+def encoded(texts: DataFrame, words: Words, shards: int, rounds: int) -> DataFrame:
+    """``shard, turn, outputs``: the texts' outputs, dealt to shards and rounds by a hash.
+
+    Shards depend on the number of training tokens alone, not on files, tasks or cores. The hash
+    takes a row's place in, so that copies of one text spread like any other rows.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(words)
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lexicon = Lexicon(shared.value)
+        for batch in batches:
+            outputs = [lexicon.read(words_of(t))[1].astype("<u2").tobytes() for t in batch["body"]]
+            yield pd.DataFrame({"part": batch["part"], "outputs": outputs})
+
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.octet_length("body")),
+                  F.lit(shards * rounds)).cast("int")
+    return (texts.select(part.alias("part"), "body").mapInPandas(encode, "part int, outputs binary")
+            .select((F.col("part") % shards).alias("shard"),
+                    F.expr(f"part div {shards}").cast("int").alias("turn"), "outputs"))
+
+
+def trained(texts: DataFrame, words: Words, rounds: int = 2,
+            shard_tokens: int = SHARD_TOKENS) -> Weights:
+    """Weights after one pass over all training texts, in rounds.
+
+    A round deals its share of the texts to shards; each shard takes its steps from the common
+    weights, and the results are averaged by tokens. There is a shard per ``shard_tokens``
+    training tokens, so the steps behind a model do not fall as files or tasks are added.
+    """
     context = texts.sparkSession.sparkContext
     weights = started(words)
+    state = [weights.flat(), np.full_like(weights.flat(), 1e-2)]
+    shards = max(1, -(-words.tokens // shard_tokens))
+    held = written(encoded(texts, words, shards, rounds), "outputs")
+    noise = unigram(words)
     for turn in range(rounds):
-        shared = context.broadcast((words, weights))
-
-        def learn(batches: Iterator[pd.DataFrame], shared=shared,
-                  turn=turn) -> Iterator[pd.DataFrame]:
-            words, weights = shared.value
-            lexicon = Lexicon(words)
-            task = TaskContext.get().partitionId()
-            trainer = Trainer(weights, unigram(words), seed=1000 * turn + task)
-            for batch in batches:
-                held, size = [], 0
-                for text in batch["body"]:
-                    held.append(lexicon.read(words_of(text))[1])
-                    size += len(held[-1])
-                    if size > 200_000:
-                        trainer.learn(held)
-                        held, size = [], 0
-                if held:
-                    trainer.learn(held)
-            if trainer.tokens:
-                flat = Weights(*trainer.values).flat()
-                yield pd.DataFrame({"place": np.arange(len(flat)), "tokens": trainer.tokens,
-                                    "value": flat.astype(float) * trainer.tokens})
-
-        places = (texts.select("body").mapInPandas(learn, "place int, tokens long, value double")
-                  .groupBy("place").agg((F.sum("value") / F.sum("tokens")).alias("value"))
+        shared = context.broadcast((state, noise))
+        places = (held.where(F.col("turn") == turn).repartitionByRange(shards, "shard")
+                  .sortWithinPartitions("shard").select("shard", "outputs")
+                  .mapInPandas(learner(shared, turn),
+                               "place int, tokens long, value double, square double")
+                  .groupBy("place").agg(*((F.sum(c) / F.sum("tokens")).alias(c)
+                                          for c in ("value", "square")))
                   .toPandas())
         if len(places):
-            flat = weights.flat()
-            flat[places["place"]] = places["value"]
-            weights = Weights.unflat(flat)
-    return weights
+            for flat, column in zip(state, ("value", "square"), strict=True):
+                flat[places["place"]] = places[column]
+    return Weights.unflat(state[0])
+
+
+def learner(shared, turn: int):
+    """Function from rows sorted by shard to sums of the shards' weights, times their tokens."""
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state, noise = shared.value
+        sums, tokens = [np.zeros(len(x)) for x in state], 0
+        trainer, held, size, number = None, [], 0, None
+
+        def finish() -> int:
+            if held:
+                trainer.learn(held)
+            for total, own in zip(sums, trainer.state(), strict=True):
+                total += own.astype(float) * trainer.tokens
+            return trainer.tokens
+
+        for batch in batches:
+            for shard, outputs in batch.itertuples(index=False):
+                if shard != number:
+                    if trainer:
+                        tokens += finish()
+                    trainer = Trainer(*state, noise, RATE / (1 + turn / 2), [turn, shard])
+                    held, size, number = [], 0, shard
+                held.append(np.frombuffer(outputs, "<u2").astype(np.int64))
+                size += len(held[-1])
+                if size > SHUFFLED:
+                    trainer.learn(held)
+                    held, size = [], 0
+        if trainer:
+            tokens += finish()
+            yield pd.DataFrame({"place": np.arange(len(sums[0])), "tokens": tokens,
+                                "value": sums[0], "square": sums[1]})
+
+    return learn
 
 
 class Normaliser:
@@ -388,7 +444,7 @@ def bodies(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_bytes().alias("body"))
 
 
-def fitted(texts: DataFrame, rounds: int = 1) -> tuple[DataFrame, Words, Weights]:
+def fitted(texts: DataFrame, rounds: int = 2) -> tuple[DataFrame, Words, Weights]:
     """Counts, frequent words and weights learned from ``texts(body)``."""
     counts = counted(texts)
     words = frequent(counts)

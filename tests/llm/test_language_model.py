@@ -89,3 +89,52 @@ def test_empty_cases(spark, fitted):
     assert words.tokens == 0
     got = lm.scored(rows, words, weights, counts).collect()
     assert all(r.n_known == 0 and r.base_score == 0 and math.isfinite(r.score) for r in got)
+
+
+def test_steps_follow_the_numerical_gradient(monkeypatch):
+    """Each step's direction against differences of the noise-contrastive objective."""
+    monkeypatch.setattr(lm, "SINGLES", 5)
+    monkeypatch.setattr(lm, "GROUPS", 2)
+    monkeypatch.setattr(lm, "WIDTH", 3)
+    monkeypatch.setattr(lm, "NOISE", 4)
+    random = np.random.default_rng(2)
+    shapes = lm.Weights.unflat(np.zeros(8 * 3 + 8 * 3 + 7 * 3 + 7))
+    flat = random.normal(0, 0.5, len(shapes.flat()))
+    noise = random.dirichlet(np.ones(7))
+    near, far, target = (random.integers(0, n, 6) for n in (8, 8, 7))
+    drawn = np.minimum(np.searchsorted(np.cumsum(noise), np.random.default_rng(9).random(4)), 6)
+
+    def objective(x):
+        # In full precision, where the model keeps single.
+        ends = np.cumsum([24, 24, 21, 7])
+        w = lm.Weights(*(p.reshape(s.shape) for p, s in zip(
+            np.split(x, ends[:-1]), shapes.parts(), strict=True)))
+        q = w.near[near] + w.far[far]
+        log_noise = np.log(lm.NOISE_PER_TOKEN * noise)
+        true = (q * w.output[target]).sum(1) + w.bias[target] - log_noise[target]
+        false = q @ w.output[drawn].T + w.bias[drawn] - log_noise[drawn]
+        data = -np.log1p(np.exp(-true)).sum()
+        return (data - (lm.NOISE_PER_TOKEN / lm.NOISE) * np.log1p(np.exp(false)).sum()) / 6
+
+    numeric = np.array([(objective(flat + e) - objective(flat - e)) / 2e-5
+                        for e in np.eye(len(flat)) * 1e-5])
+    trainer = lm.Trainer(flat, np.full(len(flat), 1e-2), noise, 1.0, 9)
+    before, squares = (x.astype(float) for x in trainer.state())
+    trainer.step(near, far, target)
+    after, grown = (x.astype(float) for x in trainer.state())
+    moved = (after - before) * np.sqrt(grown)
+    assert np.allclose(moved, numeric, atol=2e-5)
+    assert np.allclose(grown - squares, numeric ** 2, atol=1e-4)
+
+
+def test_training_does_not_depend_on_partitions(spark):
+    rows = lm.bodies(spark.read.parquet(f"{helpers.LARGER}/documents.parquet"))
+    counts = lm.counted(rows)
+    words = lm.frequent(counts)
+    tokens, score = 0, {}
+    for n in (2, 64):
+        weights = lm.trained(rows.repartition(n, "doc_id"), words, shard_tokens=200_000)
+        got = lm.scored(rows, words, weights, counts).toPandas()
+        tokens, score[n] = got["n_tokens"].sum(), got["score"].sum() / got["n_tokens"].sum()
+    assert abs(score[2] - score[64]) < 0.02 * abs(score[2])
+    assert score[64] - got["base_score"].sum() / tokens > 0.05
