@@ -27,6 +27,22 @@ def written(df: DataFrame, purpose: str, max_rows: int = 0) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it, whatever letters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def all_columns(df: DataFrame) -> list[Column]:
+    return [F.col(quoted(c)).alias(c) for c in df.columns]
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or with the first number that makes it unlike the names ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    names = [wanted, *(f"{wanted}_{n}" for n in range(len(taken) + 1))]
+    return next(n for n in names if n.lower() not in taken)
+
+
 def crc_remainder(key: str | Column, modulus: int) -> Column:
     """crc32 of a key's text modulo ``modulus``; a null key counts as empty text."""
     key = F.col(key) if isinstance(key, str) else key

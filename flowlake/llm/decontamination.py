@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import written
+from flowlake.llm.common import all_columns, quoted, written
 
 #: Bytes of test items that one pass over the texts searches for.
 BLOCK_BYTES = 4 << 20
@@ -196,6 +196,8 @@ def matched(docs: DataFrame, benchmark: DataFrame, per_error: int = 16,
             block_bytes: int = BLOCK_BYTES, column: str = "matches") -> DataFrame:
     """``docs`` with the items found in each text; an empty array if none is.
 
+    They are in ``column``, in the place of a column of that name; ``common.free_name`` gives one
+    that is free. No other column of ``docs`` is touched.
     Several blocks are searched one after the other, so that only one is in memory; the matches
     of each are written under a digest of the text and joined at the end.
     """
@@ -218,5 +220,10 @@ def matched(docs: DataFrame, benchmark: DataFrame, per_error: int = 16,
         items.destroy()
     found = reduce(DataFrame.union, passes).groupBy("_digest").agg(
         F.sort_array(F.flatten(F.collect_list("_found"))).alias("_found"))
-    return (docs.withColumn("_digest", digest).join(found, "_digest", "left")
-            .withColumn(column, F.coalesce("_found", none)).drop("_digest", "_found"))
+    # The columns of the documents go through the join inside a struct.
+    held = docs.select(F.struct(*all_columns(docs)).alias("_document"), digest.alias("_digest"))
+    result = F.coalesce("_found", none)
+    columns = [result.alias(c) if c == column else F.col(f"_document.{quoted(c)}").alias(c)
+               for c in docs.columns]
+    return held.join(found, "_digest", "left").select(
+        *columns, *([] if column in docs.columns else [result.alias(column)]))

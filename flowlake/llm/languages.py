@@ -124,8 +124,12 @@ def training_sample(docs: DataFrame, per_language: int = 150,
     return found["text"].tolist(), found["sample_lang"].tolist()
 
 
-def predicted(docs: DataFrame, model: KernelModel | None) -> DataFrame:
-    """``docs`` with ``language``: the prediction and its score."""
+def predicted(docs: DataFrame, model: KernelModel | None,
+              column: str = "language") -> DataFrame:
+    """``docs`` with ``column``: the prediction and its score.
+
+    It takes the place of a column of that name; ``common.free_name`` gives one that is free.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -134,4 +138,4 @@ def predicted(docs: DataFrame, model: KernelModel | None) -> DataFrame:
             yield pd.concat([predict(shared.value, texts.iloc[a:a + ROWS_AT_ONCE].tolist())
                              for a in range(0, max(1, len(texts)), ROWS_AT_ONCE)])
 
-    return docs.withColumn("language", language("text"))
+    return docs.withColumn(column, language("text"))

@@ -9,7 +9,8 @@ rest is verified by their bit distance.
 
 Defined results: texts without a word (null, empty, white space) have fingerprint zero and are
 linked like any other; equal fingerprints are linked; repeated rows get equal results; a null
-id takes part but never names a component unless nothing else is in it.
+id takes part but never names a component unless nothing else is in it; texts of any length are
+taken whole; columns of any other name are carried through unread.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import group_starts, text_bytes, whole_groups, written
+from flowlake.llm.common import all_columns, group_starts, text_bytes, whole_groups, written
 from flowlake.llm.components import components
 
 POSITIONS = 8
@@ -189,17 +190,18 @@ def one_of_each(docs: DataFrame, distance: int = 4, shingle: int = 4,
 
     Ids come before null; of equal ids the text with the smaller hash stays, once.
     """
-    key, digest = "_near_key", "_near_hash"
-    marked = docs.withColumns({
-        key: F.coalesce(F.col("doc_id"), F.lit(0)),
-        digest: F.xxhash64(text_bytes(), F.col("doc_id").isNull())})
-    prints = written(
-        fingerprints(marked.select("text", key, digest, F.col("doc_id").isNull().alias("no_id")),
-                     shingle).select(key, digest, "no_id", "simhash"), "simhash")
+    key, digest = "key", "hash"
+    # The columns of the documents go through the joins inside a struct.
+    marked = docs.select(
+        F.struct(*all_columns(docs)).alias("document"), "text",
+        F.coalesce(F.col("doc_id"), F.lit(0)).alias(key),
+        F.xxhash64(text_bytes(), F.col("doc_id").isNull()).alias(digest),
+        F.col("doc_id").isNull().alias("no_id"))
+    prints = written(fingerprints(marked.drop("document"), shingle)
+                     .select(key, digest, "no_id", "simhash"), "simhash")
     first = prints.groupBy("simhash").agg(F.min(F.struct("no_id", key, digest)).alias("first"))
     chosen = (first.join(members(prints, distance, width), "simhash").groupBy("root")
               .agg(F.min("first").alias("kept")).select(f"kept.{key}", f"kept.{digest}"))
     turn = F.row_number().over(Window.partitionBy(key, digest).orderBy(key))
-    return (marked.join(chosen, [key, digest], "left_semi")
-            .withColumn("_near_turn", turn).where("_near_turn = 1")
-            .select(*docs.columns))
+    return (marked.select("document", key, digest).join(chosen, [key, digest], "left_semi")
+            .withColumn("turn", turn).where("turn = 1").select("document.*"))

@@ -189,6 +189,9 @@ def scorer(docs: DataFrame, model: SentenceModel, threshold: float):
 
 
 def scored(docs: DataFrame, model: SentenceModel, threshold: float = 0.3,
-           text: str | Column = "text") -> DataFrame:
-    """``docs`` with ``toxicity``: the score and the offending sentences' places."""
-    return docs.withColumn("toxicity", scorer(docs, model, threshold)(text))
+           text: str | Column = "text", column: str = "toxicity") -> DataFrame:
+    """``docs`` with ``column``: the score and the offending sentences' places.
+
+    It takes the place of a column of that name; ``common.free_name`` gives one that is free.
+    """
+    return docs.withColumn(column, scorer(docs, model, threshold)(text))

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 from flowlake.llm import divergence
 from flowlake.llm.oracles import ORACLES
 from flowlake.llm.queries import op12_divergence
-from tests.llm.helpers import CLASHING, LARGER, SMALL
+from tests.llm.helpers import CLASHING, EXTRA, LARGER, SMALL
 from tests.parity import compare, duck
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -47,8 +47,7 @@ def brute(rows, least=3, ranks=200):
 
 def audit(spark, rows, **options):
     docs = spark.createDataFrame(
-        [(*r, *("x" for _ in CLASHING)) for r in rows],
-        "text string, lang string, source string" + "".join(f", {c} string" for c in CLASHING))
+        [(*r, *CLASHING) for r in rows], f"text string, lang string, source string{EXTRA}")
     return sorted(map(tuple, divergence.audited(docs, **options).collect()))
 
 

@@ -1,7 +1,7 @@
 """Each stage against a brute-force version, on what the one before it kept."""
 
-import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from flowlake.llm import decontamination, queries, toxicity
@@ -89,10 +89,37 @@ def test_odd_rows_pass_all_stages(spark):
     texts = [None, "", " ", "one", "one", "x" * 300_000, "word " * 30, "other text " * 40]
     docs = helpers.docs(spark, texts, [1, 2, None, 4, 4, 6, 7, 8])
     for docs in (docs, docs.limit(0)):
+        empty = not docs.count()
         for name, stage in pipeline.STAGES:
             columns = docs.columns
             out = stage(spark, docs, helpers.SMALL)
-            assert name == "packing" or out.columns == columns
-            docs = spark.createDataFrame(out.collect(), out.schema)
-        assert {r.doc_id for r in docs.collect()} <= {1, 2, 4, 6, 7, 8, None}
-    assert np.isfinite(docs.count())
+            rows = out.collect()
+            if name != "packing":
+                assert out.columns == columns and all(map(helpers.extras_kept, rows))
+            if name == "toxicity":
+                assert len(rows) == (0 if empty else len(texts))
+            docs = spark.createDataFrame(rows, out.schema)
+            if name == "decontamination":
+                # Blank texts are near duplicates, texts that repeat themselves are cut empty.
+                assert {r.doc_id: (r.text, r.n_chars) for r in rows} == ({} if empty else {
+                    1: (None, 0), 4: ("one", 3), 6: ("", 0), 7: ("word " * 30, 150), 8: ("", 0)})
+        assert sorted(r.doc_id for r in docs.collect()) == ([] if empty else [1, 4, 6, 7, 8])
+
+
+def test_toxic_and_repeated_rows_leave_the_pipeline(spark):
+    docs, labels = (table(spark, helpers.LARGER, t) for t in ("documents", "labels"))
+    score = toxicity.Scorer(queries.toxic_model(docs, labels), queries.TOXIC_FROM)
+    toxic = next(r.text for r in docs.collect() if score(r.text)[0] > 0.9)
+    clean = "a quiet walk along the river " * 3
+    first = 1_000_001
+    rows = helpers.docs(spark, [toxic, clean, clean, "another plain text"],
+                        [first, first + 1, first + 2, None])
+    rows = rows.unionByName(docs.select(
+        "doc_id", "text", "lang", "source", "n_chars",
+        *(F.lit(c).alias(c) for c in helpers.CLASHING)))
+    kept = pipeline.toxicity_filter(spark, rows, helpers.LARGER)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert first not in ids and {first + 1, first + 2, None} <= ids
+    once = pipeline.near_duplicates(spark, kept, helpers.LARGER).collect()
+    assert [r.doc_id for r in once if r.text == clean] == [first + 1]
+    assert sum(r.doc_id is None for r in once) == 1 and all(map(helpers.extras_kept, once))

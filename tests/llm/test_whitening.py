@@ -5,7 +5,7 @@ import pytest
 
 from flowlake.llm import whitening
 from flowlake.llm.queries import op13_whitening
-from tests.llm.helpers import CLASHING, SMALL
+from tests.llm.helpers import CLASHING, EXTRA, SMALL
 
 
 def brute(vectors):
@@ -19,8 +19,7 @@ def brute(vectors):
 
 def frame(spark, rows):
     return spark.createDataFrame(
-        [(*r, *("x" for _ in CLASHING)) for r in rows],
-        "vec_id long, embedding array<float>" + "".join(f", {c} string" for c in CLASHING))
+        [(*r, *CLASHING) for r in rows], f"vec_id long, embedding array<float>{EXTRA}")
 
 
 def test_query_against_brute_force(spark):
