@@ -5,7 +5,8 @@ result is written as Parquet to the shared folder and read again. All stages but
 return the columns of ``documents``, extra ones included.
 
 Null and empty texts pass every filter; one document without a word stays, as such texts are
-near duplicates of each other. Empty tables stay empty.
+near duplicates of each other. Empty tables stay empty. Extra columns keep their names and
+values, whatever their names. Texts are taken whole at any length.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.llm import decontamination, packing, simhash, suffixes, toxicity
-from flowlake.llm.common import table, written
+from flowlake.llm.common import all_columns, free_name, quoted, table, written
 from flowlake.llm.queries import (
     BENCHMARK_PER_ERROR, LEAST_REPEAT, SEQUENCE_LENGTH, TOXIC_FROM, tokenizer_path, toxic_model,
 )
@@ -25,8 +26,9 @@ from flowlake.llm.queries import (
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
     score = toxicity.scorer(docs, toxic_model(docs, table(spark, sf_dir, "labels")), TOXIC_FROM)
-    return (docs.withColumn("_toxicity", score("text")["score"])
-            .where(F.col("_toxicity") < TOXIC_FROM).select(*docs.columns))
+    name = free_name(docs, "toxicity")
+    return (docs.withColumn(name, score("text")["score"])
+            .where(F.col(name) < TOXIC_FROM).select(*all_columns(docs)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +40,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Texts without the strings that repeat; ``n_chars`` follows the text."""
     cut = suffixes.without_repeats(docs, LEAST_REPEAT, characters=True)
     text = F.when(~F.col("no_text"), F.col("kept").cast("string"))
-    columns = {c: F.col(f"document.`{c}`") for c in docs.columns if c != "text"}
+    columns = {c: F.col(f"document.{quoted(c)}") for c in docs.columns if c != "text"}
     if "n_chars" in columns:
         kind = dict(docs.dtypes)["n_chars"]
         columns["n_chars"] = F.when(F.size("spans") > 0, F.length(text).cast(kind)).otherwise(
@@ -49,9 +51,10 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
-    found = decontamination.matched(docs, table(spark, sf_dir, "benchmark"),
-                                    BENCHMARK_PER_ERROR, column="_matches")
-    return found.where(F.size("_matches") == 0).select(*docs.columns)
+    matches = free_name(docs, "matches")
+    found = decontamination.matched(docs, table(spark, sf_dir, "benchmark"), BENCHMARK_PER_ERROR,
+                                    column=matches)
+    return found.where(F.size(matches) == 0).select(*all_columns(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
