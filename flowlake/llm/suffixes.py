@@ -9,7 +9,8 @@ find all of them without sorting the corpus in one place:
    windows, and a run never holds a window twice.
 2. Runs whose minimizer occurs once are done. Where all runs of a minimizer have the same
    content, all their windows repeat.
-3. Of the rest each distinct content is cut out once. Blocks of whole minimizer groups are
+3. Of the rest each distinct content is cut out once. Those that agree with no other of their
+   minimizer in the bytes just before it, or just after it, are done. Blocks of whole minimizer groups are
    indexed by a suffix array and its Burrows-Wheeler transform; breadth-first backward extension
    finds the common prefixes by increasing value and stops at ``least``. Neighbours whose common
    prefix is still unknown then share a window. Groups too large for a block are narrowed first:
@@ -143,6 +144,7 @@ class RunFinder:
             "row": rows[which],
             "start": start - firsts[which] + offsets[which],
             "windows": count.astype(np.int32),
+            "anchor": ((value[first] & LOW).astype(np.int64) - start).astype(np.int32),
             "minimizer": (value[first] >> np.uint64(20)).astype(np.int64),
             "content": content.view(np.int64),
         })
@@ -247,17 +249,32 @@ def keyed(docs: DataFrame) -> DataFrame:
                        body.alias("body"), F.col("text").isNull().alias("no_text"))
 
 
+def gathered(frames: Iterator[pd.DataFrame], least: int = 50_000) -> Iterator[pd.DataFrame]:
+    """Small frames put together, so that each one sent is worth its cost."""
+    held, rows = [], 0
+    for frame in frames:
+        if len(frame):
+            held.append(frame)
+            rows += len(frame)
+        if rows >= least:
+            yield pd.concat(held, ignore_index=True)
+            held, rows = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def runs_of(texts: DataFrame, least: int) -> DataFrame:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         finder = RunFinder(least)
         for batch in batches:
             key, digest = batch["key"].to_numpy(), batch["hash"].to_numpy()
-            for runs in finder(batch["body"].tolist()):
+            for runs in gathered(finder(batch["body"].tolist())):
                 row = runs.pop("row").to_numpy()
                 yield runs.assign(key=key[row], hash=digest[row])
 
     return texts.select("key", "hash", "body").mapInPandas(
-        find, "start long, windows int, minimizer long, content long, key long, hash long")
+        find, "start long, windows int, anchor int, minimizer long, content long, key long, "
+              "hash long")
 
 
 def pieces_of(texts: DataFrame, least: int) -> DataFrame:
@@ -274,12 +291,34 @@ def pieces_of(texts: DataFrame, least: int) -> DataFrame:
                 f"substring(body, piece * {PIECE} + 1, {PIECE + longest})").alias("bytes")))
 
 
+def might_share(frame: pd.DataFrame, least: int) -> np.ndarray:
+    """Which contents of a frame of whole groups can share a window with another of their group.
+
+    A window reaches half of what it has beside the minimizer's gram to one side at least, so two
+    contents that share one agree in the gram and that many bytes before it, or after it.
+    """
+    half = -(-(least - GRAM) // 2)
+    segments, anchors = frame["segment"].tolist(), frame["anchor"].tolist()
+    alike = np.zeros(len(frame), bool)
+    for near in (
+            [xxh64_intdigest(s[a - half:a + GRAM]) if a >= half else None
+             for s, a in zip(segments, anchors, strict=True)],
+            [xxh64_intdigest(s[a:a + GRAM + half]) if len(s) - a - GRAM >= half else None
+             for s, a in zip(segments, anchors, strict=True)]):
+        known = np.array([n is not None for n in near], bool)
+        sides = pd.DataFrame({"group": frame["minimizer"].to_numpy()[known],
+                              "side": np.array([n for n in near if n is not None], np.uint64)})
+        alike[known] |= sides.duplicated(keep=False).to_numpy()
+    return alike
+
+
 def _settled_in_blocks(segments: DataFrame, least: int) -> DataFrame:
     """``minimizer, content, at, windows``: repeated windows of contents, by suffix arrays."""
     keys = ["minimizer"]
 
     def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in whole_groups(batches, keys, least=GROUP_LIMIT):
+        alike = (f[might_share(f, least)] for f in whole_groups(batches, keys, least=GROUP_LIMIT))
+        for frame in gathered(alike, least=GROUP_LIMIT):
             flags = repeated_windows(frame["segment"].tolist(), least)
             found = [(i, *stretches(f)) for i, f in enumerate(flags) if f.any()]
             if not found:
@@ -291,7 +330,7 @@ def _settled_in_blocks(segments: DataFrame, least: int) -> DataFrame:
                 "at": np.concatenate([a for _, a, _ in found]),
                 "windows": np.concatenate([n for _, _, n in found]).astype(np.int32)})
 
-    return (segments.select("minimizer", "content", "segment")
+    return (segments.select("minimizer", "content", "anchor", "segment")
             .repartition(*keys).sortWithinPartitions(*keys)
             .mapInPandas(settle, "minimizer long, content long, at long, windows int"))
 
@@ -306,31 +345,29 @@ def narrowed(segments: DataFrame, least: int, width: int) -> DataFrame:
     def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for minimizer, content, copies, segment in batch.itertuples(index=False):
-                grams = gram_hashes(np.frombuffer(segment, np.uint8))
-                anchor = int((grams & ~LOW).argmin())
+            for minimizer, content, copies, anchor, segment in batch.itertuples(index=False):
                 last = len(segment) - least
                 for k in range(max(0, anchor - last) // width, anchor // width + 1):
                     first, end = max(0, anchor - k * width - width + 1), min(last, anchor - k * width)
                     if first <= end:
                         core = segment[anchor - k * width:
                                        anchor - k * width - width + 1 + least]
-                        rows.append((minimizer, content, copies, first,
+                        rows.append((minimizer, content, copies, first, anchor - first,
                                      xxh64_intdigest(core, k) - (1 << 63),
                                      segment[first:end + least]))
-            yield pd.DataFrame(rows, columns=["minimizer", "content", "copies", "first", "core",
-                                              "segment"])
+            yield pd.DataFrame(rows, columns=["minimizer", "content", "copies", "first", "anchor",
+                                              "core", "segment"])
 
-    return segments.select("minimizer", "content", "copies", "segment").mapInPandas(
-        narrow, "minimizer long, content long, copies long, first long, core long, "
+    return segments.select("minimizer", "content", "copies", "anchor", "segment").mapInPandas(
+        narrow, "minimizer long, content long, copies long, first long, anchor int, core long, "
                 "segment binary")
 
 
 def settled(segments: DataFrame, least: int, widths: tuple[int, ...] = (16, 1)) -> DataFrame:
     """``minimizer, content, at, windows``: the repeated windows of distinct contents.
 
-    ``segments`` has ``minimizer, content, copies, crowd, segment``; ``crowd`` is the number of
-    contents of the minimizer. Contents with copies repeat as a whole.
+    ``segments`` has ``minimizer, content, copies, crowd, anchor, segment``; ``crowd`` is the number
+    of contents of the minimizer, ``anchor`` its place in the segment. Contents with copies repeat as a whole.
     """
     whole = segments.where("copies > 1").select(
         "minimizer", "content", F.lit(0).cast("long").alias("at"),
@@ -341,13 +378,14 @@ def settled(segments: DataFrame, least: int, widths: tuple[int, ...] = (16, 1))
     if not widths or not large.limit(1).count():
         return found
     parts = written(narrowed(large, least, widths[0]), "narrowed")
-    contents = parts.groupBy("core", "segment").agg(F.sum("copies").alias("copies"))
+    contents = parts.groupBy("core", "segment").agg(
+        F.sum("copies").alias("copies"), F.min("anchor").alias("anchor"))
     crowd = contents.groupBy("core").agg(F.count("*").alias("crowd"), F.sum("copies").alias("all"))
     # A stretch whose common bytes are nowhere else has no repeated window.
     shared = contents.join(crowd.where("all > 1").drop("all"), "core")
     own = F.xxhash64("segment")
     inner = written(shared.select(F.col("core").alias("minimizer"), own.alias("content"),
-                                  "copies", "crowd", "segment"), "stretches")
+                                  "copies", "crowd", "anchor", "segment"), "stretches")
     within = settled(inner, least, widths[1:]).select(
         F.col("minimizer").alias("core"), F.col("content").alias("own"), "at", "windows")
     back = (parts.withColumn("own", own).join(within, ["core", "own"])
@@ -361,7 +399,7 @@ def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
 
     Rows of equal key and hash have equal runs; each stretch is given once for all of them.
     """
-    runs = runs_of(texts, least)
+    runs = written(runs_of(texts, least), "all-runs")
     # Written, so that the joins below deal both sides out and split a common minimizer.
     shared = (runs.groupBy("minimizer")
               .agg(F.count("*").alias("n"), F.min("content").alias("lo"),
@@ -370,9 +408,10 @@ def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
     runs = written(runs.join(written(shared, "shared"), "minimizer"), "runs")
     mixed = runs.where("mixed")
     contents = mixed.groupBy("minimizer", "content", "windows").agg(
-        F.count("*").alias("copies"), F.min(F.struct("key", "hash", "start")).alias("first"))
-    contents = written(contents.select("minimizer", "content", "windows", "copies", "first.*"),
-                       "contents")
+        F.count("*").alias("copies"), F.min("anchor").alias("anchor"),
+        F.min(F.struct("key", "hash", "start")).alias("first"))
+    contents = written(contents.select("minimizer", "content", "windows", "copies", "anchor",
+                                       "first.*"), "contents")
     crowd = written(contents.groupBy("minimizer").agg(F.count("*").alias("crowd")), "crowd")
     wanted = contents.join(crowd, "minimizer").withColumns({
         "piece": F.expr(f"cast(start div {PIECE} as int)"),
@@ -380,7 +419,7 @@ def repeated_starts(texts: DataFrame, least: int) -> DataFrame:
     cut = F.expr(f"substring(bytes, at + 1, windows + {least - 1})")
     segments = written(
         wanted.join(pieces_of(texts, least), ["key", "hash", "piece"])
-        .select("minimizer", "content", "copies", "crowd", cut.alias("segment"))
+        .select("minimizer", "content", "copies", "crowd", "anchor", cut.alias("segment"))
         .dropDuplicates(["minimizer", "content"]), "segments")
     part = settled(segments, least).select("minimizer", "content", "at",
                                            F.col("windows").alias("found"))
