@@ -49,6 +49,8 @@ RATE = 0.6
 #: Training tokens of a shard, and of a shard's tokens those that are shuffled among each other.
 SHARD_TOKENS = 4_000_000
 SHUFFLED = 200_000
+#: Tokens of documents that are scored by one matrix product.
+SCORED_TOGETHER = 20_000
 CACHED_WORDS = 200_000
 
 
@@ -196,11 +198,14 @@ def frequent(counts: DataFrame) -> Words:
                  tokens, distinct)
 
 
-def contexts(outputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The output before each token and the one before that; past the start there is none."""
+def contexts(outputs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The output before each token and the one before that; before a text's start there is none."""
     none = SINGLES + GROUPS
     near = np.append(none, outputs[:-1])
-    return near, np.append(none, near[:-1])
+    near[starts] = none
+    far = np.append(none, near[:-1])
+    far[starts] = none
+    return near, far
 
 
 def unigram(words: Words) -> np.ndarray:
@@ -266,8 +271,8 @@ class Trainer:
         return [Weights(*part).flat() for part in (self.values, self.squares)]
 
     def learn(self, outputs: list[np.ndarray]) -> None:
-        near, far = (np.concatenate(x) for x in zip(*map(contexts, outputs), strict=True))
-        target = np.concatenate(outputs)
+        target, lengths = np.concatenate(outputs), [len(x) for x in outputs]
+        near, far = contexts(target, np.cumsum(lengths) - lengths)
         order = self.random.permutation(len(target))
         for a in range(0, len(order), TOKENS_AT_ONCE):
             part = order[a:a + TOKENS_AT_ONCE]
@@ -397,31 +402,47 @@ def scored(docs: DataFrame, words: Words, weights: Weights, counts: DataFrame) -
         share = np.log10(words.output_tokens + words.output_distinct + 1.0)
         singles = min(SINGLES, len(words.names))
         row = TaskContext.get().partitionId() << 36
+
+        def several(held: list[tuple]) -> pd.DataFrame:
+            """Rows of documents that are scored together, each ``(key, no_id, tokens)``."""
+            nonlocal row
+            lengths = np.array([len(t) for _, _, t in held])
+            starts = np.cumsum(lengths) - lengths
+            tokens = [t for _, _, own in held for t in own]
+            numbers, outputs, rare = lexicon.read(tokens)
+            near, far = contexts(outputs, starts)
+            logit = np.einsum("ij,ij->i", weights.near[near] + weights.far[far],
+                              weights.output[outputs]) + weights.bias[outputs]
+            known = gain[numbers]
+            grouped = (numbers < 0) | (numbers >= singles)
+            network, base, within = (np.add.reduceat(x.astype(float), starts).tolist() for x in (
+                logit - normaliser(near, far), known,
+                np.where(grouped, known - share[outputs], 0.0)))
+            owner = np.searchsorted(starts, rare, "right") - 1
+            unknown = np.bincount(owner, minlength=len(held)).tolist()
+            out = []
+            for k, (key, no_id, own) in enumerate(held):
+                document = {"doc_id": key, "no_id": no_id, "n_tokens": len(own),
+                            "n_known": len(own) - unknown[k],
+                            "base": base[k] - len(own) * floor,
+                            "score": network[k] / np.log(10) + within[k]}
+                # Words hold no space, so this one meets no count and spreads evenly.
+                out.append((row + 1 + k, b" %d" % (row + 1 + k), 0, document))
+            out += [(row + 1 + k, w, n, None) for (k, w), n in Counter(
+                zip(owner.tolist(), map(tokens.__getitem__, rare), strict=True)).items()]
+            row += len(held)
+            return pd.DataFrame(out, columns=["row", "word", "times", "document"])
+
         for batch in batches:
-            out: list[tuple] = []
+            held, size = [], 0
             for key, no_id, text in batch.itertuples(index=False):
-                row += 1
-                tokens = words_of(text)
-                numbers, outputs, rare = lexicon.read(tokens)
-                near, far = contexts(outputs)
-                logit = np.einsum("ij,ij->i", weights.near[near] + weights.far[far],
-                                  weights.output[outputs]) + weights.bias[outputs]
-                network = float((logit - normaliser(near, far)).sum(dtype=np.float64))
-                known = gain[numbers]
-                grouped = (numbers < 0) | (numbers >= singles)
-                within = float((known - share[outputs])[grouped].sum())
-                document = {"doc_id": key, "no_id": no_id, "n_tokens": len(tokens),
-                            "n_known": len(tokens) - len(rare),
-                            "base": float(known.sum()) - len(tokens) * floor,
-                            "score": network / np.log(10) + within}
-                # Words hold no space, so this one meets no count and spreads evenly.
-                out.append((row, b" %d" % row, 0, document))
-                out += [(row, w, n, None) for w, n in Counter(tokens[i] for i in rare).items()]
-                if len(out) > 50_000:
-                    yield pd.DataFrame(out, columns=["row", "word", "times", "document"])
-                    out = []
-            if out:
-                yield pd.DataFrame(out, columns=["row", "word", "times", "document"])
+                held.append((key, no_id, words_of(text)))
+                size += len(held[-1][2])
+                if size > SCORED_TOGETHER:
+                    yield several(held)
+                    held, size = [], 0
+            if held:
+                yield several(held)
 
     rows = docs.select(
         F.coalesce(F.col("doc_id"), F.lit(0)).cast("long").alias("key"),
