@@ -15,7 +15,8 @@ def _both_ways(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     """Larger neighbours of each node move to its smallest neighbour."""
     ways = _both_ways(links)
-    least = ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # Written, here and below, so that the join deals both sides out and can split a hub.
+    least = written(ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     return (ways.join(least, "a").where("b > a")
             .select(F.col("m").alias("a"), "b").where("a < b").distinct())
 
@@ -23,7 +24,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of them."""
     down = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a").select(F.col("m").alias("a"), "b").where("a < b")
     kept = least.select(F.col("m").alias("a"), F.col("a").alias("b"))
     return moved.union(kept).distinct()

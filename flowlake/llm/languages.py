@@ -31,6 +31,8 @@ LENGTHS = (1, 2, 3)
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
 ROWS_AT_ONCE = 256
+#: Shares of a language that are ranked by themselves first.
+SHARES = 64
 
 
 @dataclass(frozen=True)
@@ -112,11 +114,13 @@ def training_sample(docs: DataFrame, per_language: int = 150,
     """
     rows = docs.where(F.col("lang").isNotNull() & (F.length("text") <= max_chars))
     order = F.xxhash64("doc_id", F.lit(29))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy("o", "doc_id"))
-    ids = (rows.where("doc_id is not null").select("doc_id", "lang").distinct()
-           .withColumn("o", order).withColumn("turn", turn)
-           .where(F.col("turn") <= per_language)
-           .select(F.col("doc_id").alias("sample_id"), F.col("lang").alias("sample_lang"), "o"))
+    # First within shares of a language, so that no task sees more of one than of their best.
+    ids = rows.where("doc_id is not null").select("doc_id", "lang").distinct().withColumns(
+        {"o": order, "share": F.pmod(order, F.lit(SHARES))})
+    for groups in (["lang", "share"], ["lang"]):
+        turn = F.row_number().over(Window.partitionBy(*groups).orderBy("o", "doc_id"))
+        ids = ids.withColumn("turn", turn).where(F.col("turn") <= per_language)
+    ids = ids.select(F.col("doc_id").alias("sample_id"), F.col("lang").alias("sample_lang"), "o")
     sample = rows.join(F.broadcast(ids), (F.col("doc_id") == F.col("sample_id"))
                        & (F.col("lang") == F.col("sample_lang")))
     found = (sample.groupBy("o", "sample_id", "sample_lang").agg(smallest_text().alias("text"))
