@@ -105,10 +105,11 @@ def heavy_hitters_approx(flows: DataFrame, entity: str = "dst_ip", window: str =
                          k: int = 10, tracked: int = 10_000) -> DataFrame:
     """The ``min(k, entities)`` entities with the most flows per window (batch).
 
-    A sketch names candidates, and these are counted exactly. An entity that is
-    no candidate has at most the least candidate's estimate and ``ERROR /
-    tracked`` of the window's flows; where the ``k``-th count does not exceed
-    that, the window is counted as a whole. Flows without an entity don't count.
+    A sketch per window names candidates, and only their flows are counted exactly. Estimates are
+    off by ``ERROR / tracked`` of a window's flows at most, so an entity that is no candidate has
+    no more than the least candidate's estimate and that. Where the ``k``-th estimate does not
+    clear it by twice the error, all flows of the window are counted. Flows without an entity
+    don't count. The flows are read twice: for the sketches, and for the counts.
     """
     named = flows.where(F.col(entity).isNotNull()).withColumn("window", F.window("ts", window))
     wanted = min(4 * k, tracked)
@@ -117,20 +118,15 @@ def heavy_hitters_approx(flows: DataFrame, entity: str = "dst_ip", window: str =
         F.expr(f"approx_top_k({entity}, {wanted}, {int(tracked)})").alias("_top"),
     )
     error = F.ceil(F.col("_flows") * F.lit(ERROR / tracked))
-    least = F.when(F.size("_top") < wanted, F.lit(0)).otherwise(F.array_min(
-        F.transform("_top", lambda item: item["count"])))
+    estimates = F.sort_array(F.transform("_top", lambda item: item["count"]), asc=False)
+    least = F.when(F.size("_top") < wanted, F.lit(0)).otherwise(F.array_min(estimates))
+    kth = F.coalesce(F.get(estimates, F.lit(k - 1)), F.lit(0))
     candidates = sketched.select(
-        "window", F.greatest(error, least).alias("_bound"),
-        F.explode(F.transform("_top", lambda item: item["item"])).alias(entity))
+        F.col("window").alias("_window"), (kth <= least + 2 * error).alias("_open"),
+        F.transform("_top", lambda item: item["item"]).alias("_candidates"))
     counted = (
-        named.join(candidates, ["window", entity])
-        .groupBy("window", entity, "_bound").agg(F.count("*").alias("flow_count"))
+        named.join(candidates, F.col("window") == F.col("_window"))
+        .where(F.col("_open") | F.array_contains("_candidates", F.col(entity)))
+        .groupBy("window", entity).agg(F.count("*").alias("flow_count"))
     )
-    best = top_k_per(counted, ["window"], "flow_count", k, entity)
-    settled = (
-        best.where((F.col("rank") == k) & (F.col("flow_count") > F.col("_bound")))
-        .select("window")
-    )
-    open_windows = named.join(settled, "window", "left_anti").drop("window")
-    return best.join(settled, "window", "left_semi").drop("_bound").unionByName(
-        heavy_hitters(open_windows, entity, window, k))
+    return top_k_per(counted, ["window"], "flow_count", k, entity)

@@ -249,7 +249,8 @@ FROM messages GROUP BY 1, 2""", MESSAGES),
         "ORDER BY flow_count DESC, dst_service LIMIT 10", ENRICHED),
     "layer_counts": _with(
         "\nUNION ALL ".join(
-            f"SELECT '{layer}' AS layer, count(*) AS row_count, TRUE AS has_files FROM {table}"
+            f"SELECT '{layer}' AS layer, count(*) AS row_count, TRUE AS has_files, "
+            f"TRUE AS files_agree FROM {table}"
             for layer, table in _LAYERS.items()), ALERTS),
     "top_destinations": _with(_DESTINATIONS_HOURLY),
     "top_talkers": _with(_rollup("src_ip", "1 hour", f"{TARGETS}, {PORTS}")),

@@ -23,7 +23,7 @@ from flowlake.operators.rollup import (
     rollup,
     rollup_widths,
 )
-from flowlake.plans.lake import EventLake, lake_of
+from flowlake.plans.lake import EventLake, lake_of, state_of
 from flowlake.sources.events import FLOOD_TARGET, flows_of_events, messages_of_events
 from flowlake.sources.layers import entity_history, inventory, read_layer
 from flowlake.sources.streams import follow_layer
@@ -194,19 +194,23 @@ def service_distribution(spark, sf_dir):
 
 @register
 def layer_counts(spark, sf_dir):
+    """Rows per layer, and whether the files counted are those that the storage lists."""
     lake = event_lake(spark, sf_dir)
     layers = {
         "bronze": lake.bronze(),
         "silver": lake.silver(),
-        **{
-            table: lake.gold(table, ALERT_WINDOW)
-            for table in ("top_destinations", "top_talkers", "router_summary")
-        },
+        **{table: lake.gold(table, ALERT_WINDOW) for table in STANDARD_TABLES},
         "alerts": lake.alerts(ALERT_WINDOW),
     }
+    paths = {"bronze": lake.cfg.bronze, "silver": lake.cfg.silver, **{
+        table: lake.cfg.gold(f"{table}_{ALERT_WINDOW.replace(' ', '_')}")
+        for table in (*STANDARD_TABLES, "alerts")}}
+    listed = {layer: sum(name.endswith(".parquet") for name, _, _ in state_of(lake.spark, path))
+              for layer, path in paths.items()}
+    stored = F.create_map(*(F.lit(x) for pair in listed.items() for x in pair))
     return inventory(layers).select(
-        "layer", "row_count", (F.col("files") > 0).alias("has_files")
-    )
+        "layer", "row_count", (F.col("files") > 0).alias("has_files"),
+        (F.col("files") == stored[F.col("layer")]).alias("files_agree"))
 
 
 # --- rollups --------------------------------------------------------------------

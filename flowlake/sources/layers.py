@@ -108,9 +108,12 @@ def write_layer(df: DataFrame, path: str, partition_by: str | None = None,
     writer.parquet(path)
 
 
-def _file_of(df: DataFrame) -> Column:
-    """The file a row was read from; the frame of a missing layer knows no files."""
-    return F.col("_metadata.file_path") if df.inputFiles() else F.lit("none")
+def _with_file(df: DataFrame) -> DataFrame:
+    """The file each row was read from; the frame of a missing layer knows no files."""
+    try:
+        return df.select(F.col("_metadata.file_path").alias("_file"))
+    except AnalysisException:
+        return df.select(F.lit("none").alias("_file"))
 
 
 def inventory(layers: dict[str, DataFrame]) -> DataFrame:
@@ -120,7 +123,7 @@ def inventory(layers: dict[str, DataFrame]) -> DataFrame:
     that has not been written has no files and no rows.
     """
     counted = [
-        df.groupBy(_file_of(df).alias("_file"))
+        _with_file(df).groupBy("_file")
         .agg(F.count("*").alias("_rows"))
         .agg(
             F.count("*").alias("files"),

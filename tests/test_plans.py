@@ -42,6 +42,8 @@ STORED = {
     "flag_suspect_destinations", "flag_suspect_talkers", "baseline_verdicts",
     "baseline_suppressed_alerts", "alert_severity_labels", "recent_alerts", "attack_status",
     "alert_feed", "alert_type_counts", "alert_severity_mean", "most_targeted", "deduped_alerts",
+    "alert_incidents", "entity_flows", "gold_sketch_rollup", "gold_total_rollup", "shared_sources",
+    "gold_top_ports", "gold_heavy_hitters", "bitmap_unique_sources", "sliding_destinations",
 }
 
 
