@@ -7,8 +7,8 @@ the sum of their position-dependent vectors, times the outputs' vectors, plus a
 trained in numpy on every training document, in rounds: shards of a fixed number of tokens take
 noise-contrastive steps from common weights, which are then averaged by tokens.
 
-A text's probability is normalised: the softmax over all outputs, in batched matrix products
-per distinct context, times the word's share in its output. Shares need the exact counts of all
+A text's probability is normalised: the softmax over all outputs, its denominators for all
+contexts by one matrix product, times the word's share in its output. Shares need the exact counts of all
 words. Those of the most frequent ones are broadcast, a fixed number of short words; words
 beyond it meet their counts in a join.
 
@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -365,35 +366,30 @@ def learner(shared, turn: int):
 
 
 class Normaliser:
-    """Logarithms of the softmax's denominators, computed once per context."""
+    """Logarithms of the softmax's denominators of all contexts.
+
+    A context's logits are the sum of one part for each of its two words, so the exponentials
+    are products of two, and one matrix product over the outputs sums them for all contexts.
+    """
 
     def __init__(self, weights: Weights):
-        self.weights = weights
-        n = len(weights.near)
-        self.known = np.full(n * n, np.nan, np.float32)
+        near = weights.near.astype(float) @ weights.output.T
+        far = weights.far.astype(float) @ weights.output.T + weights.bias
+        tops = near.max(1)[:, None], far.max(1)[:, None]
+        sums = np.exp(near - tops[0]) @ np.exp(far - tops[1]).T
+        self.known = (tops[0] + tops[1].T + np.log(sums)).astype(np.float32)
 
     def __call__(self, near: np.ndarray, far: np.ndarray) -> np.ndarray:
-        w = self.weights
-        code = near.astype(np.int64) * len(w.far) + far
-        missing = np.unique(code[np.isnan(self.known[code])])
-        for a in range(0, len(missing), 4096):
-            part = missing[a:a + 4096]
-            q = w.near[part // len(w.far)] + w.far[part % len(w.far)]
-            logits = q @ w.output.T + w.bias
-            top = logits.max(1)
-            logits -= top[:, None]
-            self.known[part] = top + np.log(np.exp(logits).sum(1))
-        return self.known[code]
-
-
-DOCUMENT = ("doc_id long, no_id boolean, n_tokens long, n_known long, base double, score double")
+        return self.known[near, far]
 
 
 def scored(docs: DataFrame, words: Words, weights: Weights, counts: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, n_known, base_score, score`` of each row of ``docs(doc_id, body)``."""
     shared = docs.sparkSession.sparkContext.broadcast((words, weights))
+    schema = ("row long, word binary, doc_id long, n_tokens long, n_known long, base double, "
+              "score double")
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, weights = shared.value
         lexicon, normaliser = Lexicon(words), Normaliser(weights)
         gain = np.append(np.log10(words.counts + 1.0), 0.0)  # the last is for rare words
@@ -403,62 +399,56 @@ def scored(docs: DataFrame, words: Words, weights: Weights, counts: DataFrame) -
         singles = min(SINGLES, len(words.names))
         row = TaskContext.get().partitionId() << 36
 
-        def several(held: list[tuple]) -> pd.DataFrame:
-            """Rows of documents that are scored together, each ``(key, no_id, tokens)``."""
+        def several(ids: pa.Array, texts: list[list[bytes]]) -> pa.RecordBatch:
+            """Rows of documents that are scored together, and of their rare words."""
             nonlocal row
-            lengths = np.array([len(t) for _, _, t in held])
+            lengths = np.array([len(t) for t in texts])
             starts = np.cumsum(lengths) - lengths
-            tokens = [t for _, _, own in held for t in own]
+            tokens = [t for own in texts for t in own]
             numbers, outputs, rare = lexicon.read(tokens)
             near, far = contexts(outputs, starts)
             logit = np.einsum("ij,ij->i", weights.near[near] + weights.far[far],
                               weights.output[outputs]) + weights.bias[outputs]
             known = gain[numbers]
             grouped = (numbers < 0) | (numbers >= singles)
-            network, base, within = (np.add.reduceat(x.astype(float), starts).tolist() for x in (
+            network, base, within = (np.add.reduceat(x.astype(float), starts) for x in (
                 logit - normaliser(near, far), known,
                 np.where(grouped, known - share[outputs], 0.0)))
             owner = np.searchsorted(starts, rare, "right") - 1
-            unknown = np.bincount(owner, minlength=len(held)).tolist()
-            out = []
-            for k, (key, no_id, own) in enumerate(held):
-                document = {"doc_id": key, "no_id": no_id, "n_tokens": len(own),
-                            "n_known": len(own) - unknown[k],
-                            "base": base[k] - len(own) * floor,
-                            "score": network[k] / np.log(10) + within[k]}
-                # Words hold no space, so this one meets no count and spreads evenly.
-                out.append((row + 1 + k, b" %d" % (row + 1 + k), 0, document))
-            out += [(row + 1 + k, w, n, None) for (k, w), n in Counter(
-                zip(owner.tolist(), map(tokens.__getitem__, rare), strict=True)).items()]
-            row += len(held)
-            return pd.DataFrame(out, columns=["row", "word", "times", "document"])
+            rows = row + np.arange(len(texts))
+            row += len(texts)
+            # Words hold no space, so a document's own meets no count and spreads evenly.
+            names = [b" %d" % r for r in rows.tolist()] + [tokens[i] for i in rare]
+            of_document = [ids, *map(pa.array, (
+                lengths, lengths - np.bincount(owner, minlength=len(texts)),
+                base - lengths * floor, network / np.log(10) + within))]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.append(rows, rows[owner])), pa.array(names, pa.binary()),
+                 *(pa.concat_arrays([c, pa.nulls(len(rare), c.type)]) for c in of_document)],
+                ["row", "word", "doc_id", "n_tokens", "n_known", "base", "score"])
 
         for batch in batches:
-            held, size = [], 0
-            for key, no_id, text in batch.itertuples(index=False):
-                held.append((key, no_id, words_of(text)))
-                size += len(held[-1][2])
-                if size > SCORED_TOGETHER:
-                    yield several(held)
-                    held, size = [], 0
-            if held:
-                yield several(held)
-
-    rows = docs.select(
-        F.coalesce(F.col("doc_id"), F.lit(0)).cast("long").alias("key"),
-        F.col("doc_id").isNull().alias("no_id"), "body",
-    ).mapInPandas(score, f"row long, word binary, times long, document struct<{DOCUMENT}>")
-    added = rows.join(counts, "word", "left").select(
-        "row", "document", "times",
-        (F.col("times") * F.log10(F.coalesce("count", F.lit(0)) + 1)).alias("gain"),
-        F.when(F.col("count").isNotNull(), F.col("times")).otherwise(0).alias("known"))
-    d = F.col("document")
+            ids, held, size, first = batch.column("doc_id"), [], 0, 0
+            for at, text in enumerate(batch.column("body").to_pylist(), 1):
+                held.append(words_of(text))
+                size += len(held[-1])
+                if size > SCORED_TOGETHER or at == batch.num_rows:
+                    yield several(ids.slice(first, len(held)), held)
+                    held, size, first = [], 0, at
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "body").mapInArrow(
+        score, schema)
+    gain = F.log10(F.coalesce("count", F.lit(0)) + 1)
+    is_word = F.col("n_tokens").isNull()
+    added = rows.join(counts, "word", "left").withColumns({
+        "gain": F.when(is_word, gain).otherwise(0.0),
+        "known": F.when(is_word & F.col("count").isNotNull(), 1).otherwise(0)})
     return added.groupBy("row").agg(
-        F.max(F.when(~d["no_id"], d["doc_id"])).alias("doc_id"),
-        F.max(d["n_tokens"]).alias("n_tokens"),
-        (F.max(d["n_known"]) + F.sum("known")).alias("n_known"),
-        (F.max(d["base"]) + F.sum("gain")).alias("base_score"),
-        (F.max(d["score"]) + F.sum("gain")).alias("score")).drop("row")
+        F.max("doc_id").alias("doc_id"),
+        F.max("n_tokens").alias("n_tokens"),
+        (F.max("n_known") + F.sum("known")).alias("n_known"),
+        (F.max("base") + F.sum("gain")).alias("base_score"),
+        (F.max("score") + F.sum("gain")).alias("score")).drop("row")
 
 
 def bodies(docs: DataFrame) -> DataFrame:
