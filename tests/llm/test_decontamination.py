@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from flowlake.llm import decontamination as dc
@@ -134,3 +135,37 @@ def test_further_copies_and_items_without_an_id(spark):
     assert [(m.item_id, m.start) for m in got[1]] == [(None, 4)] and not got[2]
     parted = {r.doc_id: r.matches for r in dc.matched(rows, items, 12, 20).collect()}
     assert parted == got
+
+
+def least_distances(items, text):
+    """Of each item the smallest edit distance to any part of the text, a letter at a time."""
+    width = max(map(len, items))
+    codes = np.zeros((len(items), width), np.int64)
+    for row, item in zip(codes, items, strict=True):
+        row[:len(item)] = [ord(c) for c in item]
+    lengths, step = np.array([len(i) for i in items]), np.arange(width + 1)
+    table = np.broadcast_to(step, (len(items), width + 1)).copy()
+    best = lengths.copy()
+    for letter in text:
+        free = np.minimum(table[:, 1:] + 1, table[:, :-1] + (codes != ord(letter)))
+        table[:, 1:], table[:, 0] = free, 0
+        table = np.minimum.accumulate(table - step, axis=1) + step
+        best = np.minimum(best, table[np.arange(len(items)), lengths])
+    return best
+
+
+def test_query_equals_brute_force_over_the_whole_table(spark):
+    docs = helpers.sql(helpers.SMALL, "select doc_id, text from '$/documents.parquet'")
+    items = [(i, dc.normal(t)) for i, t in helpers.sql(
+        helpers.SMALL, "select item_id, text from '$/benchmark.parquet' where text is not null")]
+    items = [(i, t) for i, t in items if t]
+    budgets = np.array([len(t) // queries.BENCHMARK_PER_ERROR for _, t in items])
+    want = {}
+    for doc_id, text in docs:
+        best = least_distances([t for _, t in items], dc.normal(text))
+        want |= {(doc_id, items[k][0]): int(best[k]) for k in np.flatnonzero(best <= budgets)}
+    got = {}
+    for r in queries.op7_decontamination(spark, helpers.SMALL).collect():
+        key = (r.doc_id, r.item_id)
+        got[key] = min(r.distance, got.get(key, r.distance))
+    assert got == want and len(want) > 3
