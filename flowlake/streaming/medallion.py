@@ -3,7 +3,9 @@
 messages -> received -> bronze -> silver -> gold tables -> alerts, and received
 -> quarantine. Each layer follows the committed files of the one before, so the
 log is read once, bronze and quarantine together hold exactly what was received,
-and the alert rules are plain filters over gold. All layers are stored by date.
+and the alert rules are plain filters over gold. Layers of flows, gold and alerts are
+stored by date; what was received and the quarantine are not, as a text that cannot be
+decoded has no date. With a retention set their logs forget old files like all others.
 """
 
 from __future__ import annotations
