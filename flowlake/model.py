@@ -71,7 +71,7 @@ GOLD = {
 }
 
 # Which addresses of a block occur, per window and destination.
-SOURCE_BITS = of_types(window=WINDOW, dst_ip="string", block="long", other="string", bits="binary")
+SOURCE_BITS = of_types(window=WINDOW, dst_ip="string", block="long", other="string", bits="long")
 
 # For scan alerts ``unique_sources`` carries the number of distinct
 # destinations; the column name is part of the contract.

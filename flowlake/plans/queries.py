@@ -420,7 +420,8 @@ def sliding_destinations(spark, sf_dir):
     sources = mergeable.counted_bits(
         mergeable.merged_bits(bits, "dst_ip", "6 hours", "1 hour"), "dst_ip", "unique_sources")
     sources = sources.withColumnsRenamed({"window": "_window", "dst_ip": "_key"})
-    return _flat(sums.join(sources, F.col("window").eqNullSafe(F.col("_window"))
+    # Either side has a row per window and key; its size, guessed from the panes, is too low.
+    return _flat(sums.join(sources.hint("merge"), F.col("window").eqNullSafe(F.col("_window"))
                            & F.col("dst_ip").eqNullSafe(F.col("_key"))).drop("_window", "_key"))
 
 

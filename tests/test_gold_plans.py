@@ -73,3 +73,66 @@ def test_lookups_reach_the_scan(spark):
     text = plan.toString()
     assert "EqualTo(dst_ip,172.16.1.20)" in text and "EqualTo(src_ip,172.16.1.20)" in text
     assert "PartitionFilters: [isnotnull(date" in text
+
+
+def operators_of(df):
+    """The physical plan's operators, one per line, before stages are run."""
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_bitmaps_merge_in_hash_tables(spark):
+    # A wide bitmap has no place in a hash table: all its copies would be sorted.
+    flows = _flows(spark, SMALL)
+    bits = mergeable.address_bits(flows, "dst_ip", "src_ip", "1 hour")
+    slides = mergeable.merged_bits(bits, "dst_ip", "6 hours", "1 hour")
+    plan = operators_of(mergeable.counted_bits(slides, "dst_ip", "unique_sources"))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_copies_for_sliding_windows_are_not_shuffled(spark):
+    flows = _flows(spark, SMALL)
+    panes = mergeable.panes(flows, mergeable.DESTINATION_PANES, "1 hour")
+    bits = mergeable.address_bits(flows, "dst_ip", "src_ip", "1 hour")
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for slides in (mergeable.merged(panes, mergeable.DESTINATION_PANES, "6 hours", "1 hour"),
+                   mergeable.merged_bits(bits, "dst_ip", "6 hours", "1 hour")):
+        lines = slides._jdf.queryExecution().executedPlan().toString().splitlines()
+        copied = next(i for i, line in enumerate(lines) if "Generate" in line)
+        assert not any("Exchange" in line for line in lines[:copied])
+        below = next(line for line in lines[copied:] if "Exchange" in line)
+        assert f", {6 * shuffles})" in below
+
+
+@pytest.mark.parametrize("width,slide", [(6, 1), (6, 4), (3, 3), (2, 5)])
+def test_sliding_windows_hold_what_brute_force_finds(spark, width, slide):
+    hour = 3600
+    rows = [(10 * hour + 60, "a", "10.0.0.1"), (10 * hour + 70, "a", "10.0.0.1"),
+            (11 * hour, "a", "10.0.0.63"), (14 * hour, "a", "10.0.0.64"), (14 * hour, "a", "::1"),
+            (15 * hour, "a", "10.0.0.1"), (15 * hour, "a", "::1"), (15 * hour, "a", None),
+            (40 * hour, None, "255.255.255.255"), (41 * hour, None, "0.0.0.63")]
+    flows = spark.createDataFrame(rows, "at long, dst_ip string, src_ip string").select(
+        F.timestamp_seconds("at").alias("ts"), "dst_ip", "src_ip", F.lit(5).alias("bytes"),
+        F.lit(2).alias("packets"))
+    expected = {}
+    for at, target, source in rows:
+        for start in range(0, 50):
+            if start % slide == 0 and start * hour <= at < (start + width) * hour:
+                expected.setdefault((start * hour, target), []).append(source)
+    span, step = f"{width} hours", f"{slide} hours"
+    bits = mergeable.address_bits(flows, "dst_ip", "src_ip", "1 hour")
+    counted = mergeable.counted_bits(
+        mergeable.merged_bits(bits, "dst_ip", span, step), "dst_ip", "sources")
+    got = {(int(r.start), r.dst_ip): r.sources for r in counted.select(
+        F.unix_seconds("window.start").alias("start"), "dst_ip", "sources").collect()}
+    assert got == {k: len(set(v) - {None}) for k, v in expected.items()}
+    panes = mergeable.panes(flows, mergeable.DESTINATION_PANES, "1 hour")
+    sums = mergeable.merged(panes, mergeable.DESTINATION_PANES, span, step).select(
+        F.unix_seconds("window.start").alias("start"),
+        (F.unix_seconds("window.end") - F.unix_seconds("window.start")).alias("length"),
+        "dst_ip", "flow_count", "total_bytes").collect()
+    assert {((r.start, r.dst_ip), r.length, r.flow_count, r.total_bytes) for r in sums} == {
+        (k, width * hour, len(v), 5 * len(v)) for k, v in expected.items()}
+
+
+def test_sliding_sums_and_sources_are_not_broadcast(spark):
+    assert "Broadcast" not in operators_of(REGISTRY["sliding_destinations"](spark, SMALL))
