@@ -111,8 +111,7 @@ class Medallion:
         if self.rules:
             gold = {rule.table: self.gold(rule.table, flows()) for rule in self.rules}
             alerts = detect_all(gold, self.rules)
-            queries.append(
-                self._append(alerts, cfg.alerts, "gold_alerts", cfg.trigger, "window_start"))
+            queries.append(self._alerts(alerts, cfg.trigger))
         return queries
 
     def run_forever(self) -> None:
@@ -157,8 +156,7 @@ class Medallion:
                 rule.table: self.follow(cfg.gold(rule.table), GOLD[rule.table])
                 for rule in self.rules
             }
-            alerts = detect_all(gold, self.rules)
-            return self._append(alerts, cfg.alerts, "gold_alerts", trigger, "window_start")
+            return self._alerts(detect_all(gold, self.rules), trigger)
 
         if self.open_messages:
             yield [received]
@@ -193,11 +191,23 @@ class Medallion:
             gold = gold.repartition(self.cfg.gold_files, gold.columns[1])
         return self._append(gold, self.cfg.gold(table), f"gold_{table}", trigger, "window.start")
 
-    def _append(self, df, path, sink, trigger, time: str | None = None) -> StreamingQuery:
-        """Start a layer's sink, stored by the date of ``time`` if one is given."""
+    def _alerts(self, alerts: DataFrame, trigger: str | None) -> StreamingQuery:
+        # Few rows, but found by every task that reads gold: each would write a file per date,
+        # and what follows the alerts takes so many files per batch.
+        return self._append(alerts, self.cfg.alerts, "gold_alerts", trigger, "window_start",
+                            rebalanced=True)
+
+    def _append(self, df, path, sink, trigger, time: str | None = None,
+                rebalanced: bool = False) -> StreamingQuery:
+        """Start a layer's sink, stored by the date of ``time`` if one is given.
+
+        ``rebalanced`` gathers the rows of a date in a batch in as many files as their size asks.
+        """
         df = observed(df, time)
         if time:
             df = df.withColumn("date", F.to_date(time))
+        if rebalanced:
+            df = df.hint("rebalance", "date")
         return append_files(
             df, path, self.cfg.checkpoint(sink), sink, trigger,
             partition_by="date" if time else None, retention=self.cfg.retention,

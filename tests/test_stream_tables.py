@@ -157,6 +157,26 @@ def test_incidents_open_extend_join_and_close_over_batches(spark, tmp_path):
     assert state == {"a": False, "b": False, "c": True}
 
 
+def test_alerts_of_a_batch_make_one_file_per_date(spark, tmp_path):
+    cfg = LakeConfig.under(str(tmp_path / "lake"), window="1 day")
+    rows = spark.range(240).select(
+        F.timestamp_seconds(F.lit(86_400) * (F.col("id") % 3)).alias("start"),
+        F.concat(F.lit("10.0.0."), F.col("id")).alias("dst_ip"))
+    gold = rows.select(
+        F.struct("start", (F.col("start") + F.expr("INTERVAL 1 DAY")).alias("end")).alias("window"),
+        "dst_ip", *(F.lit(100_000).cast("long").alias(c)
+                    for c in GOLD["destination_profile"].fieldNames()[2:]))
+    gold.withColumn("date", F.to_date("window.start")).repartition(40).write.partitionBy(
+        "date").parquet(cfg.gold("destination_profile"))
+    rule = replace(rules.FAN_IN, table="destination_profile")
+    lake = Medallion(spark, cfg, open_flows=lambda _: None, rules=(rule,), tables=())
+    [start_alerts] = list(lake._stages())[-1]
+    start_alerts(None).awaitTermination()
+    stored = spark.read.parquet(cfg.alerts)
+    assert stored.count() == stored.select("entity").distinct().count() == 240
+    assert len(stored.inputFiles()) == stored.select("date").distinct().count() == 3
+
+
 def test_states_of_a_stream_merge_like_the_flows(spark, inbox, tmp_path, drop_file):  # noqa: F811
     drop_file(inbox, "1.txt", flowgen.lines(TRAFFIC))
     drop_file(inbox, "2.txt", flowgen.lines(minute(90, 1)))
